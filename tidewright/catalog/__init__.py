@@ -13,7 +13,7 @@ from tidewright.session import prepare
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-SECTIONS = ("relational", "aggregates", "scalars", "storage", "graphs", "evaluation")
+SECTIONS = ("relational", "aggregates", "scalars", "storage", "graphs", "evaluation", "features")
 
 
 class Tables:
