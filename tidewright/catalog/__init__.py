@@ -13,7 +13,8 @@ from tidewright.session import prepare
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-SECTIONS = ("relational", "aggregates", "scalars", "storage", "graphs", "evaluation", "features")
+SECTIONS = ("relational", "aggregates", "scalars", "storage", "graphs", "evaluation", "features",
+            "patterns", "models")
 
 
 class Tables:
