@@ -14,7 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 SECTIONS = ("relational", "aggregates", "scalars", "storage", "graphs", "evaluation", "features",
-            "patterns", "models", "streams")
+            "patterns", "models", "streams", "jobs")
 
 
 class Tables:
