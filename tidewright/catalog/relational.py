@@ -4,8 +4,9 @@ from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from tidewright.catalog import query
-from tidewright.functions.columns import day_key, on_calendar_day, words
+from tidewright.functions.columns import day_key, on_calendar_day
 from tidewright.operators import relational as rel
+from tidewright.operators.aggregates import word_counts, word_rows
 
 # ---- projections ----------------------------------------------------------------------
 
@@ -42,9 +43,9 @@ SELECT doc_id, count(*) AS n_words, CAST(sum(length(w)) AS BIGINT) AS n_letters
 FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '[ \\r\\n]')) AS w FROM documents)
 WHERE regexp_matches(w, '[^ \\t\\n\\f\\r]') GROUP BY doc_id""")
 def _(spark, t):
-    w = t.documents.select("doc_id", F.explode(words(F.col("text"))).alias("w"))
+    w = word_rows(t.documents, keep=["doc_id"])
     return w.groupBy("doc_id").agg(F.count("*").alias("n_words"),
-                                   F.sum(F.length("w")).alias("n_letters"))
+                                   F.sum(F.length("word")).alias("n_letters"))
 
 
 @query("prj_05_flat_map_to_pairs", """
@@ -268,7 +269,6 @@ SELECT w AS word, count(*) AS n
 FROM (SELECT unnest(regexp_split_to_array(text, '[ \\r\\n]')) AS w FROM documents)
 WHERE regexp_matches(w, '[^ \\t\\n\\f\\r]') GROUP BY w ORDER BY n DESC, word LIMIT 10""")
 def _(spark, t):
-    from tidewright.operators.aggregates import word_counts
     return rel.top_n(word_counts(t.documents), 10, F.desc("n"), F.asc("word"))
 
 

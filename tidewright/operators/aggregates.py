@@ -7,13 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewright.functions.columns import access_log, day_key, words
+from tidewright.functions.columns import access_log, day_key
+
+
+def word_rows(df: DataFrame, text: str = "text", lower: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per word. Split, explode and filter run as generated code, unlike the
+    array form `words`, whose lambda is interpreted."""
+    c = F.lower(text) if lower else F.col(text)
+    return df.select(*keep, F.explode(F.split(c, "[ \r\n]")).alias("word")).filter(
+        F.col("word").rlike(r"[^ \t\n\f\r]"))
 
 
 def word_counts(df: DataFrame, text: str = "text", lower: bool = False) -> DataFrame:
     """Occurrences of every word; counted map-side before the shuffle."""
-    return df.select(F.explode(words(F.col(text), lower)).alias("word")).groupBy("word").agg(
-        F.count("*").alias("n"))
+    return word_rows(df, text, lower).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def log_traffic(lines: DataFrame, line: str = "value") -> DataFrame:

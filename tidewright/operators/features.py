@@ -10,7 +10,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.functions.columns import log_ratio, words
+from tidewright.functions.columns import log_ratio
+from tidewright.operators.aggregates import word_rows
 
 # ---- vectors as rows ------------------------------------------------------------------
 
@@ -181,7 +182,7 @@ def weigh_rare_terms(df: DataFrame, counts: str, name: str):
 
 def term_weights(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, tf, tfidf) keyed by the term itself, so no two terms share a slot."""
-    tf = docs.select(key, F.explode(words(F.col(text))).alias("term")).groupBy(key, "term").agg(
+    tf = word_rows(docs, text, keep=[key]).groupBy(key, F.col("word").alias("term")).agg(
         F.count("*").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     m = docs.agg(F.count("*")).scalar()

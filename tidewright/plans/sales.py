@@ -35,11 +35,11 @@ def forecast(days: DataFrame, model: LinearRegressionModel, highest: float) -> D
             .drop("_u", "label", "features", "prediction"))
 
 
-def live_forecast(sales: DataFrame, dates: DataFrame, prices: DataFrame, model: LinearRegressionModel,
-                  highest: float) -> DataFrame:
+def live_forecast(sales: DataFrame, days: DataFrame, model: LinearRegressionModel, highest: float) -> DataFrame:
     """Actual and predicted units of every finished day of a sales stream.
 
-    dates: (date, values); prices: (date, price), the usual price of the day.
+    days: (date, values, price), date inputs and usual price, one small row per date. Read it
+    from a saved table: the static side is evaluated again in every batch.
     """
-    days = day_totals(sales).select(F.col("day").alias("date"), F.col("units").alias("actual"), "n")
-    return forecast(with_dates(with_dates(days, dates), prices), model, highest)
+    live = day_totals(sales).select(F.col("day").alias("date"), F.col("units").alias("actual"), "n")
+    return forecast(with_dates(live, days), model, highest)

@@ -62,3 +62,18 @@ def settle(df: DataFrame) -> DataFrame:
     """Cut the lineage of `df` by a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def lay_out(df: DataFrame, parts: int, *keys: str) -> DataFrame:
+    """Checkpoint `df` hash-partitioned and sorted by `keys`, in a way later joins can see:
+    a join on these keys then neither moves nor sorts this side.
+
+    Adaptive planning is off for this one job, since it would hide the partitioning.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return settle(df.repartition(parts, *keys).sortWithinPartitions(*keys))
+    finally:
+        conf.set("spark.sql.adaptive.enabled", before)
