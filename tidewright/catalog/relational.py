@@ -237,7 +237,7 @@ def _(spark, t):
 @query("jn_08_lookup_by_date_text", """
 WITH daily AS (SELECT strftime(l_shipdate, '%Y-%m-%d') AS day,
                       avg(l_extendedprice / l_quantity) AS price FROM lineitem GROUP BY ALL)
-SELECT l_orderkey, l_linenumber, l_partkey, day, round(price, 4) AS price
+SELECT l_orderkey, l_linenumber, l_partkey, day, round(price, 6) AS price
 FROM lineitem JOIN daily ON strftime(l_shipdate, '%Y-%m-%d') = day""")
 def _(spark, t):
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey",
@@ -246,7 +246,7 @@ def _(spark, t):
     daily = li.groupBy("day").agg(F.avg("unit").alias("price"))
     return (li.join(daily, "day")
             .select("l_orderkey", "l_linenumber", "l_partkey", "day",
-                    F.round("price", 4).alias("price")))
+                    F.round("price", 6).alias("price")))
 
 
 @query("jn_10_left_join_scores", """
