@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -55,10 +55,15 @@ def save_to_database(df: DataFrame, url: str, table: str,
 
 
 def save_counted(df: DataFrame, path: str, **counters) -> dict:
-    """Save as parquet and return named aggregates gathered during that same pass."""
-    seen = Observation()
-    save_table(df.observe(seen, *[c.alias(k) for k, c in counters.items()]), path)
-    return seen.get
+    """Save as parquet and return named aggregates over what was saved.
+
+    The aggregates read only their own columns of the new files. An `Observation` would
+    gather them in the same pass, but once a session has used one, it can no longer score
+    models that carry a training summary (the session stops being serialisable).
+    """
+    save_table(df, path)
+    row = df.sparkSession.read.parquet(path).agg(*[c.alias(k) for k, c in counters.items()]).first()
+    return row.asDict()
 
 
 def side_effect_total(df: DataFrame, column: str) -> float:
