@@ -314,19 +314,19 @@ def _(spark, t):
 @query("fe_27_word_vectors_of_documents", """
 SELECT count(*) AS n_docs, TRUE AS three_wide, TRUE AS all_finite FROM documents""")
 def _(spark, t):
-    out, _ = fe.embed_words(doc_words(t), "words", "v", partitions=8)
+    out, _ = fe.embed_words(doc_words(t), "words", "v")
     v = out.select(vector_to_array("v").alias("v"))
     return v.agg(F.count("*").alias("n_docs"), F.every(F.size("v") == 3).alias("three_wide"),
                  F.every(F.forall("v", lambda x: ~F.isnan(x))).alias("all_finite"))
 
 
 @query("fe_28_near_words", """
-SELECT CAST(40 AS BIGINT) AS n, TRUE AS descending, CAST(0 AS BIGINT) AS same_word, CAST(40 AS BIGINT) AS known""")
+SELECT CAST(40 AS BIGINT) AS n, TRUE AS at_most_one, CAST(0 AS BIGINT) AS same_word, CAST(40 AS BIGINT) AS known""")
 def _(spark, t):
-    _, model = fe.embed_words(doc_words(t), "words", "v", partitions=8)
+    _, model = fe.embed_words(doc_words(t), "words", "v")
     near = model.findSynonyms("the", 40)
     w = near.join(model.getVectors().select("word").distinct(), "word", "left_semi")
-    return near.agg(F.count("*").alias("n"), (F.max("similarity") <= 1.000001).alias("descending"),
+    return near.agg(F.count("*").alias("n"), (F.max("similarity") <= 1.000001).alias("at_most_one"),
                     F.count_if(F.col("word") == "the").alias("same_word"),
                     w.agg(F.count("*")).scalar().alias("known"))
 

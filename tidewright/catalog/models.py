@@ -312,7 +312,7 @@ def ids(df):
 @query("rc_01_factors", f"SELECT count(*) AS predicted, TRUE AS fits, CAST(0 AS BIGINT) AS unknown_predicted FROM {RATED}")
 def _(spark, t):
     r = ids(ratings(t))
-    m = rc.fit_factors(r, rank=4, rounds=5, reg=0.1, blocks=8, seed=5)
+    m = rc.fit_factors(r, rank=4, rounds=5, reg=0.1, seed=5)
     scored = m.transform(r)
     strangers = m.transform(r.select((-F.col("user") - 1).alias("user"), "item"))
     base = r.agg(F.stddev_pop("rating")).scalar()
@@ -325,7 +325,7 @@ def _(spark, t):
 SELECT CAST(rank AS INTEGER) AS rank, TRUE AS finite, CAST(1 AS BIGINT) AS n_chosen FROM (SELECT unnest([4, 8, 12]) AS rank)""")
 def _(spark, t):
     train, validation = key_split(ids(ratings(t)), ["user", "item"], [0.8, 0.2], 3)
-    best, _, errors = rc.choose_rank(train, validation, (4, 8, 12), rounds=3, blocks=8, seed=5)
+    best, _, errors = rc.choose_rank(train, validation, (4, 8, 12), rounds=3, seed=5)
     rows = spark.createDataFrame([(r, float(e)) for r, e in errors.items()], "rank int, rmse double")
     n = rows.filter((F.col("rank") == best) & (F.col("rmse") == min(errors.values()))).count()
     return rows.select("rank", (F.col("rmse") < 1e6).alias("finite"), F.lit(n).cast("bigint").alias("n_chosen"))
@@ -345,7 +345,7 @@ SELECT CAST(25 AS BIGINT) AS listed, CAST(0 AS BIGINT) AS already_rated, TRUE AS
 def _(spark, t):
     mine = new_ratings(t)
     all_ratings = ids(ratings(t)).unionByName(mine)
-    m = rc.fit_factors(all_ratings, rank=4, rounds=3, blocks=8, seed=5)
+    m = rc.fit_factors(all_ratings, rank=4, rounds=3, seed=5)
     titles = t.part.select(F.col("p_partkey").cast("int").alias("item"), F.col("p_name").alias("title"))
     best = rc.recommend_for(m, NEW_USER, titles.select("item"), all_ratings, titles)
     return best.agg(F.count("*").alias("listed"),
@@ -370,7 +370,7 @@ SELECT CAST(p_partkey AS INTEGER) AS item, p_name AS title, p_partkey IN (SELECT
 FROM part WHERE contains(p_name, 'ring')""")
 def _(spark, t):
     r = ids(ratings(t))
-    m = rc.fit_factors(r, rank=4, rounds=3, blocks=8, seed=5)
+    m = rc.fit_factors(r, rank=4, rounds=3, seed=5)
     titles = t.part.select(F.col("p_partkey").cast("int").alias("item"), F.col("p_name").alias("title"))
     return rc.search_titles(m, titles, "ring", 1).select("item", "title", F.col("prediction").isNotNull().alias("predicted"))
 

@@ -93,17 +93,18 @@ def day_curve(hourly: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """24 rows per day with the running total of the day; an empty hour keeps the last value.
 
     Hours after the last sale of a day stay 0, as they have not been reached yet. Input is
-    the small table of `hourly_totals`, so every window holds at most 24 rows.
+    the table of `hourly_totals`, one row per hour, and is read once: a day gathers its at
+    most 24 hours in a map, and every window holds 24 rows.
     """
     keys = [*by, "day"]
-    slots = (hourly.groupBy(*keys).agg(F.max("hour").alias("last_hour"))
+    hours = F.map_from_entries(F.collect_list(F.struct("hour", F.col("total").cast("double"))))
+    slots = (hourly.groupBy(*keys).agg(F.max("hour").alias("_last"), hours.alias("_hours"))
              .withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23)))))
     upto = Window.partitionBy(*keys).orderBy("hour").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    filled = slots.join(hourly, [*keys, "hour"], "left")
-    running = F.sum(F.coalesce("total", F.lit(0.0))).over(upto)
-    return filled.select(*keys, "hour", F.when(F.col("hour") <= F.col("last_hour"), running)
-                         .otherwise(0.0).alias("so_far"))
+    here = F.coalesce(F.try_element_at("_hours", F.col("hour")), F.lit(0.0))
+    return slots.withColumn("_running", F.sum(here).over(upto)).select(
+        *keys, "hour", F.when(F.col("hour") <= F.col("_last"), F.col("_running")).otherwise(0.0).alias("so_far"))
 
 
 def last_run(daily: DataFrame, day: str, series: Sequence[str] = (), keep: int = 7) -> DataFrame:

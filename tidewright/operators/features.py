@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.columns import log_ratio
 from tidewright.operators.aggregates import word_rows
+from tidewright.session import settle
 
 # ---- vectors as rows ------------------------------------------------------------------
 
@@ -181,9 +182,13 @@ def weigh_rare_terms(df: DataFrame, counts: str, name: str):
 
 
 def term_weights(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, tf, tfidf) keyed by the term itself, so no two terms share a slot."""
-    tf = word_rows(docs, text, keep=[key]).groupBy(key, F.col("word").alias("term")).agg(
-        F.count("*").alias("tf"))
+    """(key, term, tf, tfidf) keyed by the term itself, so no two terms share a slot.
+
+    The counted terms are saved once: they feed both the document frequencies and the result,
+    and texts are split a single time.
+    """
+    tf = settle(word_rows(docs, text, keep=[key]).groupBy(key, F.col("word").alias("term")).agg(
+        F.count("*").alias("tf")))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     m = docs.agg(F.count("*")).scalar()
     return tf.join(df, "term").select(
@@ -191,8 +196,12 @@ def term_weights(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def embed_words(df: DataFrame, column: str, name: str, size: int = 3, min_count: int = 0, seed: int = 0,
-                rounds: int = 1, partitions: int = 1):
-    """Document vectors as the mean of word vectors; the model also finds near words."""
+                rounds: int = 1, partitions: int | None = None):
+    """Document vectors as the mean of word vectors; the model also finds near words.
+
+    Training runs in as many partitions as the cluster has cores, unless given.
+    """
+    partitions = partitions or df.sparkSession.sparkContext.defaultParallelism
     model = ft.Word2Vec(vectorSize=size, minCount=min_count, seed=seed, maxIter=rounds,
                         numPartitions=partitions, inputCol=column, outputCol=name).fit(df)
     return model.transform(df), model

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.operators.evaluation import best_threshold, threshold_counts
+from tidewright.session import shared_dir
 
 # ---- classes --------------------------------------------------------------------------
 
@@ -51,6 +52,7 @@ def forest_classifier(df: DataFrame, trees: int = 3, seed: int = 0, **params):
 
 
 def boosted_classifier(df: DataFrame, rounds: int = 3, **params):
+    shared_dir(df.sparkSession)  # long fits checkpoint there
     return classification.GBTClassifier(**{"maxIter": rounds, "maxDepth": 5, **params}).fit(df)
 
 
@@ -87,6 +89,7 @@ def forest_regressor(df: DataFrame, trees: int = 3, seed: int = 0, **params):
 
 
 def boosted_regressor(df: DataFrame, rounds: int = 3, **params):
+    shared_dir(df.sparkSession)
     return regression.GBTRegressor(**{"maxIter": rounds, "maxDepth": 5, **params}).fit(df)
 
 
@@ -120,6 +123,7 @@ def within_cost(scored: DataFrame, centers: Sequence[Sequence[float]], features:
 
 
 def topics(df: DataFrame, k: int, rounds: int = 10, seed: int = 0, **params):
+    shared_dir(df.sparkSession)
     return clustering.LDA(k=k, maxIter=rounds, seed=seed, **params).fit(df)
 
 

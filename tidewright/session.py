@@ -59,9 +59,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage of `df` by a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage of `df`: write it as parquet in the shared folder and read it back.
+
+    Unlike a checkpoint of rows the copy is columnar, and its size is known to the planner.
+    """
+    path = fresh_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def lay_out(df: DataFrame, parts: int, *keys: str) -> DataFrame:
@@ -74,6 +78,7 @@ def lay_out(df: DataFrame, parts: int, *keys: str) -> DataFrame:
     before = conf.get("spark.sql.adaptive.enabled")
     conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        return settle(df.repartition(parts, *keys).sortWithinPartitions(*keys))
+        shared_dir(df.sparkSession)
+        return df.repartition(parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
     finally:
         conf.set("spark.sql.adaptive.enabled", before)
