@@ -235,18 +235,18 @@ def _(spark, t):
 
 
 @query("jn_08_lookup_by_date_text", """
-WITH daily AS (SELECT strftime(l_shipdate, '%Y-%m-%d') AS day,
-                      avg(l_extendedprice / l_quantity) AS price FROM lineitem GROUP BY ALL)
-SELECT l_orderkey, l_linenumber, l_partkey, day, round(price, 6) AS price
+WITH daily AS (SELECT strftime(l_shipdate, '%Y-%m-%d') AS day, sum(l_extendedprice) AS price_sum,
+                      count(*) AS lines FROM lineitem GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, l_partkey, day, round(price_sum, 2) AS price_sum, lines
 FROM lineitem JOIN daily ON strftime(l_shipdate, '%Y-%m-%d') = day""")
 def _(spark, t):
-    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey",
-                           day_key(F.col("l_shipdate")).alias("day"),
-                           (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit"))
-    daily = li.groupBy("day").agg(F.avg("unit").alias("price"))
-    return (li.join(daily, "day")
-            .select("l_orderkey", "l_linenumber", "l_partkey", "day",
-                    F.round("price", 6).alias("price")))
+    # The parts of the mean, not the mean: a sum of cents rounds alike in any order of adding,
+    # while a mean may lie on the border between two roundings.
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
+                           day_key(F.col("l_shipdate")).alias("day"))
+    daily = li.groupBy("day").agg(F.sum("l_extendedprice").alias("price_sum"), F.count("*").alias("lines"))
+    return li.join(daily, "day").select("l_orderkey", "l_linenumber", "l_partkey", "day",
+                                        F.round("price_sum", 2).alias("price_sum"), "lines")
 
 
 @query("jn_10_left_join_scores", """
