@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+PACKAGE = os.path.dirname(os.path.abspath(__file__))
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -22,9 +28,28 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings every function here relies on. Sizing is left to the cluster."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once, so that Python functions of its modules load
+    there wherever the program was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tidewright_shipped", False):
+        return
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="tidewright-"))
+    archive = os.path.join(folder, "tidewright.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for top, _, names in os.walk(PACKAGE):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(top, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(PACKAGE)))
+    sc.addPyFile(archive)
+    sc._tidewright_shipped = True
+
+
 def build_session(app: str = "tidewright", master: str | None = None,
                   **settings: str) -> SparkSession:
     """A session with the settings above; `settings` win over them."""
@@ -68,6 +93,69 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Queries planned inside remove their shuffle files when they end, instead of whenever
+    the driver collects its garbage. For writes, whose plans are run once."""
+    before = spark.conf.get(CLEAN_SHUFFLES, None)
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_SHUFFLES)
+        else:
+            spark.conf.set(CLEAN_SHUFFLES, before)
+
+
+class Scratch:
+    """Tables written in the shared folder, each removed when it is no longer read.
+
+    `with Scratch(spark) as scratch:` removes all that are left at the end; a result that
+    still reads some of them keeps them with `scratch.keep(df)`.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.tables: dict[int, tuple[DataFrame, str]] = {}
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop(*[df for df, _ in self.tables.values()])
+
+    def path(self, label: str) -> str:
+        return fresh_path(self.spark, label)
+
+    def settle(self, df: DataFrame, label: str = "settled") -> DataFrame:
+        """Write `df` as parquet and read it back: lineage, and the shuffles before it, end here."""
+        path = self.path(label)
+        with shuffles_removed(self.spark):
+            df.write.option("compression", "zstd").parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        self.tables[id(back)] = (back, path)
+        return back
+
+    def keep(self, *dfs: DataFrame) -> None:
+        """Leave these tables in place, for a result that reads them."""
+        for df in dfs:
+            self.tables.pop(id(df), None)
+
+    def drop(self, *dfs: DataFrame) -> None:
+        """Remove tables through the file system they are in."""
+        for df in dfs:
+            _, path = self.tables.pop(id(df), (None, None))
+            if path:
+                remove(self.spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store, whatever file system that is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def lay_out(df: DataFrame, parts: int, *keys: str) -> DataFrame:
     """Checkpoint `df` hash-partitioned and sorted by `keys`, in a way later joins can see:
     a join on these keys then neither moves nor sorts this side.
