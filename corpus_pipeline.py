@@ -1,8 +1,90 @@
-"""The corpus pipeline."""
+"""From raw documents to packed sequences: five stages, each one of the corpus operators.
 
-STAGES = []
+A stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept. Stages are written as
+Parquet and read again in between, so each starts from a table in the shared folder.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewright.llm import jaccard, language, mixing, packing, suffixes
+from tidewright.session import Scratch, prepare
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: A text is rejected when fewer than this share of its n-grams are known in any one language.
+LEAST_SCORE = 0.4
+#: Near duplicates share this percentage of their runs of five words.
+WORDS, PERCENT = 5, 80
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text is in one of the languages that the labelled rows teach."""
+    learned = language.train(docs)
+    judged = language.predict(docs, learned, keep=[F.col(c) for c in COLUMNS])
+    return judged.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that near-duplicate links join, the one with the smallest doc_id; rows without doc_id stay."""
+    groups = jaccard.jaccard_components(docs, words=WORDS, percent=PERCENT)
+    stay = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("stays")).distinct()
+    known = docs.filter("doc_id IS NOT NULL").join(stay, F.col("doc_id") == F.col("stays"), "left_semi")
+    return known.dropDuplicates(["doc_id"]).select(*COLUMNS).union(docs.filter("doc_id IS NULL").select(*COLUMNS))
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that stand anywhere twice; a text that is nothing else goes.
+
+    A character of which a byte is removed is removed whole.
+    """
+    cut = suffixes.remove_repeats(docs, keep=[F.col(c) for c in COLUMNS])
+    whole = F.col("n_removed") == 0
+    rest = F.decode_utf8(F.col("kept_bytes")) if hasattr(F, "decode_utf8") else F.col("kept_bytes").cast("string")
+    text = F.when(whole, F.col("text")).otherwise(F.regexp_replace(rest, "�", ""))
+    return cut.withColumn("text", text).filter(whole | (F.length(F.trim("text")) > 0)).withColumn(
+        "n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*COLUMNS)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    marked = docs.select(*COLUMNS).withColumn("_mark", F.xxhash64(*COLUMNS))
+    taken = mixing.mix(marked, key="_mark").groupBy(F.col("_mark").alias("_of")).agg(
+        F.sum("copies").cast("int").alias("_copies")).filter("_copies > 0")
+    rows = marked.dropDuplicates(["_mark"]).join(taken, F.col("_mark") == F.col("_of"))
+    return rows.select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 1024 tokens."""
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", in_a_language),
+    ("ngram_jaccard", one_of_each_group),
+    ("suffix_dedup", without_repeats),
+    ("mixing", mixed),
+    ("packing", packed),
+]
+
+#: Learned filters, exact links, rates and tokens have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    scratch = Scratch(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (name, stage) in enumerate(STAGES):
+        out = stage(spark, docs, sf_dir)
+        if i == len(STAGES) - 1:
+            return out
+        old, docs = docs, scratch.settle(out, name)
+        scratch.drop(old)
+    return docs

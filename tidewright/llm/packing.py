@@ -121,7 +121,8 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", source: str = "so
     filled by deficit round-robin: a source may put in its share of all tokens, what it is short of a whole
     token is carried to its next turn, over windows and over the partitions its queue is spread over.
     The turns have a closed form (`pieces`), so a row needs only the number of tokens before it in its
-    queue, and no queue, however long, passes through one task. All queues end together; only the last
+    queue, and no queue, however long, passes through one task. Sources of less than one token a window
+    are one queue, the first, so that no turn is ever negative. All queues end together; only the last
     sequence of all can be short.
 
     Texts are tokenised once; the ids are written with running counts per task and source and read
@@ -135,13 +136,20 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", source: str = "so
     sums = ids.groupBy("source", "part").agg(F.sum("n").alias("sum"))
     ahead = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     per_source = sums.groupBy("source").agg(F.sum("sum").alias("all"))
-    up = Window.orderBy("source").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.orderBy("source").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranges = per_source.select(F.col("source").alias("of"), F.sum("all").over(up).alias("high"),
-                               (F.sum("all").over(up) - F.col("all")).alias("low"), F.sum("all").over(whole).alias("total"))
+    total = F.sum("all").over(Window.orderBy("source").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    sized = per_source.select("source", "all", total.alias("total")).withColumn(
+        "large", F.col("all").cast("decimal(38,0)") * (sequence * window) >= F.col("total"))
+    up = Window.orderBy("large", "source").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    small = F.sum(F.when(F.col("large"), 0).otherwise(F.col("all"))).over(
+        Window.orderBy("source").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    places = sized.withColumn("high", F.sum("all").over(up)).withColumn("low", F.col("high") - F.col("all")).withColumn("small", small)
+    ranges = places.select(
+        F.col("source").alias("of"), "total", F.when(F.col("large"), F.col("high")).otherwise(F.col("small")).alias("high"),
+        F.when(F.col("large"), F.col("low")).otherwise(0).alias("low"),
+        F.when(F.col("large"), 0).otherwise(F.col("low")).alias("earlier"))
     starts = scratch.settle(
         sums.withColumn("skip", F.coalesce(F.sum("sum").over(ahead), F.lit(0)))
-        .join(ranges, F.col("source") == F.col("of"))
+        .join(ranges, F.col("source") == F.col("of")).withColumn("skip", F.col("skip") + F.col("earlier"))
         .select(F.col("source").alias("of"), F.col("part").alias("of_part"), "skip", "low", "high", "total"))
     placed = ids.join(starts, (F.col("source") == F.col("of")) & (F.col("part") == F.col("of_part"))).select(
         "key", "wide", "ids", (F.col("skip") + F.col("before")).alias("x"), "low", "high", "total")

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import line_rules, mixing, packing, sharding, warc
+from tidewright.llm import embeddings, jaccard, language, line_rules, mixing, packing, scoring, sharding, suffixes, warc
 from tidewright.session import fresh_path, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,34 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op1_ngram_jaccard")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, folder, "documents"))
+
+
+@query("op2_lm_scoring")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    good = table(spark, folder, "labels").filter("quality = 1").select("doc_id")
+    return scoring.score(table(spark, folder, "documents"), good)
+
+
+@query("op3_suffix_dedup")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    done = suffixes.remove_repeats(table(spark, folder, "documents"), keep=[F.col("doc_id")])
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+def held_out(key: str = "doc_id"):
+    return F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2
+
+
+@query("op4_language")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    learned = language.train(docs.filter(~held_out()))
+    return language.predict(docs, learned, keep=[F.col("doc_id"), held_out().alias("held_out")])
+
+
 @query("op5_packing")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
@@ -105,3 +133,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     warc.write_archive(table(spark, folder, "pages"), path)
     back = warc.read_archive(spark, path)
     return back.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op10_embedding_near_dups")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, folder, "embeddings"))

@@ -46,7 +46,7 @@ def one_line(value: Column) -> Column:
 
 def write_archive(pages: DataFrame, path: str, key: str = "page_id", uri: str = "url", payload: str = "html",
                   least_bytes: int = LEAST_BYTES, date: str = "1970-01-01T00:00:00Z") -> None:
-    """Write `pages` as two tables under `path`: `payloads` (strong, length, sha1, bytes), each payload once,
+    """Write `pages` as two tables under `path`: `payloads` (strong, length, bytes), each payload once,
     and `headers` (key, record_type, refers_to, header, strong, sha1, length), one row per page.
 
     Of pages with equal payloads of at least `least_bytes` bytes, that with the smallest key is a response
@@ -56,7 +56,7 @@ def write_archive(pages: DataFrame, path: str, key: str = "page_id", uri: str =
     Null payload is empty; a null key sorts last and is written empty; rows that repeat key and payload
     of the response are responses of the same capture; other columns are not looked at. The smallest key
     of a digest is found with partial sums before the shuffle, so a payload in a third of all pages is
-    a few rows; payload bytes move once, to keep one row of each.
+    a few rows; of payload bytes each task sends one copy of each, once.
     """
     data = F.coalesce(F.col(payload).cast("binary"), F.lit("").cast("binary"))
     rows = pages.select(F.col(key).alias("key"), one_line(F.col(uri)).alias("uri"), data.alias("bytes"))
@@ -75,15 +75,11 @@ def write_archive(pages: DataFrame, path: str, key: str = "page_id", uri: str =
                      F.col("sha1"), F.when(is_first, F.col("length")).otherwise(0),
                      F.when(~is_first, name(F.col("first")))).alias("header"),
         "strong", "sha1", "length")
-    stored = (rows.select(F.sha2("bytes", STRONG_BITS).alias("strong"), F.octet_length("bytes").cast("long").alias("length"),
-                          "key", "bytes")
-              .join(first, own & F.col("key").eqNullSafe(F.col("first")), "left_semi")
-              .select("strong", "length", "bytes"))
+    stored = (rows.groupBy(F.sha2("bytes", STRONG_BITS).alias("strong"), F.octet_length("bytes").cast("long").alias("length"))
+              .agg(F.any_value("bytes").alias("bytes")))
     with shuffles_removed(pages.sparkSession):
         headers.write.option("compression", "zstd").parquet(f"{path}/headers")
-        # Rows that repeat key and payload are all found; one of each payload is kept.
-        (stored.dropDuplicates(["strong", "length"]).withColumn("sha1", base32_sha1(F.col("bytes")))
-         .write.option("compression", "zstd").parquet(f"{path}/payloads"))
+        stored.write.option("compression", "zstd").parquet(f"{path}/payloads")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
