@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidewright.llm import embeddings, jaccard, suffixes
@@ -80,6 +81,13 @@ def test_jaccard_on_the_smallest_tables(spark):
     assert got == brute_components(rows, 3, 90)
 
 
+def test_words_of_many_texts():
+    texts = [f"Été {i} d'où\u00a0 là  x{i}" if i % 7 else None for i in range(1500)]
+    hashes = [h for own in jaccard.shingle_sets(pa.array(texts), 3) for h in own.tolist()]
+    alone = [h for t in texts for own in jaccard.shingle_sets(pa.array([t], pa.string()), 3) for h in own.tolist()]
+    assert hashes == alone and len(hashes) > 3000
+
+
 def test_jaccard_of_nothing(spark):
     assert jaccard.jaccard_components(spark.createDataFrame([], DOCS)).collect() == []
 

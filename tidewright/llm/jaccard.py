@@ -30,8 +30,7 @@ BLOCK = 1 << 21
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of all words in order, number of words per text); A-Z count as a-z."""
-    texts = pc.fill_null(texts, "").cast(pa.large_string())
-    words = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
     flat = words.flatten()
     size = np.diff(words.offsets.to_numpy())
     full = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
