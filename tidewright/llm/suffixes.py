@@ -19,8 +19,10 @@ SEED = 80
 #: Bytes looked at together; a longer text goes through in pieces that overlap.
 CHUNK = 1 << 17
 BATCHES = 4
-#: Different surroundings of one seed compared in a task; more of them are compared window by window.
-CROWD = 512
+#: Different surroundings of one seed compared in a task (some 50 MB); more of them are compared window by window.
+CROWD = 16_384
+#: Surroundings that a task gathers, of as many seeds as that takes, before it compares them.
+GATHER = 4096
 
 _MASK = np.uint64((1 << 20) - 1)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -206,7 +208,7 @@ def runs(row: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return row[first], before[first], before[last]
 
 
-def compare_contexts(rows: DataFrame, length: int, crowd: int) -> DataFrame:
+def compare_contexts(rows: DataFrame, length: int) -> DataFrame:
     """(uid, start, stop) of the repeated stretches of the rows (key, uid, at, low, high, open, bytes) of few surroundings
     a seed. Rows of a key stand together, and tasks compare them a few thousand at a time."""
 
@@ -228,7 +230,7 @@ def compare_contexts(rows: DataFrame, length: int, crowd: int) -> DataFrame:
 
         for batch in batches:
             held.append(batch)
-            if sum(len(b) for b in held) < 8 * crowd:
+            if sum(len(b) for b in held) < GATHER:
                 continue
             table = pa.Table.from_batches(held)
             keys = table.column("key").to_numpy()
@@ -295,7 +297,7 @@ def stretches(docs: DataFrame, scratch: Scratch, batches: int, length: int, seed
 
     contexts = scratch.settle(docs.dropDuplicates(["uid"]).join(per_doc, "uid").select("uid", "bytes", "asks").mapInPandas(
         cut, "key bigint, uid bigint, at bigint, low smallint, high smallint, open int, rings bigint, bytes binary"))
-    few = compare_contexts(contexts.filter(F.col("rings") <= crowd), length, crowd)
+    few = compare_contexts(contexts.filter(F.col("rings") <= crowd), length)
     many = compare_windows(contexts.filter(F.col("rings") > crowd), length)
     # Stretches that follow each other within a task are few when joined here, before they move.
     spans = scratch.settle(closed.union(few).union(many).groupBy("uid").agg(
