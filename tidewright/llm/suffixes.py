@@ -274,7 +274,10 @@ def stretches(docs: DataFrame, scratch: Scratch, batches: int, length: int, seed
     suffixes = arrays[0]
     for more in arrays[1:]:
         suffixes = suffixes.union(more)
-    hits = scratch.settle(suffixes.join(index.repeated(), "key"))
+    # Written first: a join with a plain table is one that Spark splits at a hot seed.
+    repeated = scratch.settle(index.repeated())
+    hits = scratch.settle(suffixes.join(repeated, "key"))
+    scratch.drop(repeated)
     index.close()
     scratch.drop(*arrays)
     mark = F.xxhash64("uid", "at")
