@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tidewright.llm import embeddings, jaccard, suffixes
+from tidewright.llm import embeddings, jaccard, suffixes, wordhash
 
 DOCS = "doc_id bigint, text string, source string, key string"
 
@@ -83,11 +83,22 @@ def test_jaccard_on_the_smallest_tables(spark):
 
 def test_words_of_many_texts():
     texts = [f"Été {i} d'où\u00a0 là  x{i}" if i % 7 else None for i in range(1500)]
-    hashes = [h for own in jaccard.shingle_sets(pa.array(texts), 3) for h in own.tolist()]
-    alone = [h for t in texts for own in jaccard.shingle_sets(pa.array([t], pa.string()), 3) for h in own.tolist()]
+    hashes = [h for own in wordhash.shingle_sets(pa.array(texts), 3) for h in own.tolist()]
+    alone = [h for t in texts for own in wordhash.shingle_sets(pa.array([t], pa.string()), 3) for h in own.tolist()]
     assert hashes == alone and len(hashes) > 3000
 
 
+def test_words_of_long_texts():
+    r = random.Random(8)
+    words = ["".join(r.choice("abXYé") for _ in range(r.randrange(1, 9))) for _ in range(60_000)] + ["Q" * (wordhash.BLOCK + 5), "end"]
+    text = " \n".join(words)
+    hashes, size = wordhash.word_hashes(pa.array(["first", text, None, "", "end"]))
+    assert size.tolist() == [1, len(words), 0, 0, 1]
+    assert hashes[-1] == hashes[-2] and len(set(hashes.tolist())) == len({low(w) for w in words} | {"first"})
+    alone = {w: wordhash.word_hashes(pa.array([w]))[0][0] for w in words[:50]}
+    assert [alone[w] for w in words[:50]] == hashes[1:51].tolist()
+
+
 def test_jaccard_of_nothing(spark):
     assert jaccard.jaccard_components(spark.createDataFrame([], DOCS)).collect() == []
 

@@ -7,12 +7,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm.graph import components
+from tidewright.llm.wordhash import mixed, shingle_sets
 from tidewright.session import Scratch
 
 WORDS = 3
@@ -24,51 +23,6 @@ SUBSET = 2
 SCAN_COST = 6
 #: Counters of the frequency sketch that orders shingles; of fixed size for any corpus.
 SKETCH = 1 << 16
-#: Words of a text hashed at once.
-BLOCK = 1 << 21
-
-
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all words in order, number of words per text); A-Z count as a-z."""
-    words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
-    flat = words.flatten()
-    size = np.diff(words.offsets.to_numpy())
-    full = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
-    if not full.all():  # white space at an end gives an empty piece
-        owner = np.repeat(np.arange(len(size)), size)
-        size = np.bincount(owner[full], minlength=len(size))
-        flat = flat.filter(pa.array(full))
-    coded = flat.dictionary_encode()
-    named = np.fromiter((xxhash.xxh64_intdigest(w) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
-    return named[coded.indices.to_numpy()] if len(flat) else np.zeros(0, np.uint64), size
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
-    return x ^ (x >> np.uint64(32))
-
-
-def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
-    """For each text the sorted hashes of its distinct n-grams; all words as one where there are fewer."""
-    for low in range(0, len(texts), 512):
-        hashes, size = word_hashes(texts.slice(low, 512))
-        ends = np.cumsum(size)
-        rolled = np.zeros(len(hashes), np.uint64)
-        for k in range(words):
-            moved = np.zeros_like(hashes)
-            moved[:len(hashes) - k] = hashes[k:]
-            rolled = mixed(rolled + moved) + np.uint64(k)
-        for start, n in zip(ends - size, size):
-            if n >= words:
-                yield np.unique(rolled[start:start + n - words + 1])
-            elif n:
-                whole = np.uint64(n)
-                for h in hashes[start:start + n]:
-                    whole = mixed(np.array([whole ^ h]))[0]
-                yield np.array([whole])
-            else:
-                yield np.zeros(0, np.uint64)
 
 
 def sketch(docs: DataFrame, words: int) -> np.ndarray:

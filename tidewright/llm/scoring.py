@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import word_count
-from tidewright.llm.jaccard import mixed, word_hashes
+from tidewright.llm.wordhash import mixed, word_hashes
 from tidewright.session import Scratch
 
 #: A word of the shared vocabulary is at least this share of the words read, so it has at most 1 / SHARE words.
