@@ -23,6 +23,8 @@ SUBSET = 2
 SCAN_COST = 6
 #: Counters of the frequency sketch that orders shingles; of fixed size for any corpus.
 SKETCH = 1 << 16
+#: Counters by which pairs are sifted before their sets are read.
+SIEVE = 256
 
 
 def sketch(docs: DataFrame, words: int) -> np.ndarray:
@@ -31,10 +33,15 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SKETCH, np.int64)
         for batch in batches:
+            held, size = [], 0
             for own in shingle_sets(batch.column("text"), words):
-                total += np.bincount((own & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) if len(own) > 4096 else 0
-                if len(own) <= 4096:
-                    np.add.at(total, (own & np.uint64(SKETCH - 1)).astype(np.int64), 1)
+                held.append(own)
+                size += len(own)
+                if size >= SKETCH:
+                    total += np.bincount((np.concatenate(held) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+                    held, size = [], 0
+            if held:
+                total += np.bincount((np.concatenate(held) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
 
@@ -71,24 +78,26 @@ def boundary(sizes: dict[int, int], percent: int) -> int:
 
 
 def shingle_table(docs: DataFrame, words: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """(id, n, sig, sig2, prefix): size, 128-bit digest and least common shingles of every document's set."""
+    """(id, n, sig, sig2, prefix, sieve): size, 128-bit digest and least common shingles of every document's set, and
+    how many of its shingles fall in each of SIEVE counters."""
     classes = np.minimum(np.log2(np.maximum(counts, 1) / max(1.0, float(np.median(counts)))).clip(0) * 2, 63).astype(np.uint64)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, sig, sig2, prefix = [], [], [], []
+            n, sig, sig2, prefix, sieve = [], [], [], [], []
             for own in shingle_sets(batch.column("text"), words):
                 n.append(len(own))
                 sig.append(int(mixed(own).sum(dtype=np.uint64)))
                 sig2.append(int(mixed(own ^ np.uint64(0xA0761D6478BD642F)).sum(dtype=np.uint64)))
                 keep = reach(len(own), percent) + SUBSET - 1 if len(own) else 0
                 prefix.append(ordered(own, classes)[:keep].tobytes())
+                sieve.append(np.bincount((own >> np.uint64(56)).astype(np.int64), minlength=SIEVE).astype(np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays([
                 batch.column("id"), pa.array(n, pa.int64()), pa.array(np.array(sig, np.uint64).view(np.int64)),
-                pa.array(np.array(sig2, np.uint64).view(np.int64)), pa.array(prefix, pa.binary())],
-                ["id", "n", "sig", "sig2", "prefix"])
+                pa.array(np.array(sig2, np.uint64).view(np.int64)), pa.array(prefix, pa.binary()), pa.array(sieve, pa.binary())],
+                ["id", "n", "sig", "sig2", "prefix", "sieve"])
 
-    return docs.mapInArrow(describe, "id bigint, n bigint, sig bigint, sig2 bigint, prefix binary")
+    return docs.mapInArrow(describe, "id bigint, n bigint, sig bigint, sig2 bigint, prefix binary, sieve binary")
 
 
 def postings(reps: DataFrame, percent: int, limit: int) -> DataFrame:
@@ -147,7 +156,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     Equal sets are first brought to one. Shingles stand in one order, seldom ones first, and similar sets share
     SUBSET shingles among the first of both. Small sets enumerate these subsets, large sets scan inverted
     lists of single shingles, and the boundary between them is the one of least cost for the sizes at hand.
-    Each key links its members to its smallest one; what passes an exact count forms groups.
+    Each key links its members to its smallest one, and each document is compared with the first of those that its size and
+    counters (`sifted`) leave; what passes an exact count forms groups.
     Only keys that still join different groups compare the rest, so a group of near copies is a star and never
     all its pairs, and no pair of different groups is left out.
 
@@ -161,18 +171,19 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     filled = table.filter("n > 0 AND id IS NOT NULL")
     group = ["n", "sig", "sig2"]
     same = scratch.settle(filled.groupBy(*group).agg(F.min("id").alias("rep")))
-    reps = scratch.settle(filled.join(same, [*group], "inner").filter("id = rep").select("id", "n", "prefix").dropDuplicates(["id", "n"]))
+    reps = scratch.settle(filled.join(same, [*group], "inner").filter("id = rep").select("id", "n", "prefix", "sieve").dropDuplicates(["id", "n"]))
     sizes = {r["n"]: r["count"] for r in reps.groupBy("n").count().collect()}  # one row per size of a set
     index = scratch.settle(postings(reps, percent, boundary(sizes, percent)))
     lists = index.groupBy("key").agg(F.count("*").alias("c"), F.min("id").alias("lead")).filter("c > 1").drop("c")
     shared = scratch.settle(index.join(lists, "key"))
     scratch.drop(index)
-    star = scratch.settle(close_sizes(shared.filter("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), reps, percent))
+    leads = shared.filter("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    star = scratch.settle(sifted(leads, reps, percent).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     sets = shingle_store(read, star, scratch, words)
     links = scratch.settle(similar(star, sets, percent))
     scratch.drop(sets, star)
     named = scratch.settle(components(links, scratch))
-    rest = scratch.settle(cross_pairs(shared, named, reps, percent, scratch))
+    rest = scratch.settle(sifted(cross_pairs(shared, named, reps, percent, scratch), reps, percent))
     scratch.drop(shared)
     if not rest.isEmpty():
         sets = shingle_store(read, rest, scratch, words)
@@ -181,7 +192,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         named = scratch.settle(components(links.union(more), scratch))
     classes = scratch.settle(same.join(named.withColumnRenamed("node", "rep"), "rep", "left").select(
         *group, F.coalesce("component", "rep").alias("component_id")))
-    out = table.drop("prefix").join(classes, group, "left").select(
+    out = table.drop("prefix", "sieve").join(classes, group, "left").select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
     scratch.keep(table, classes)
@@ -189,12 +200,26 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return out
 
 
-def close_sizes(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose set sizes allow the similarity."""
-    n = reps.select("id", "n")
-    return (pairs.join(n.select(F.col("id").alias("a"), F.col("n").alias("na")), "a")
-            .join(n.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b")
-            .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b"))
+def sifted(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs that can be similar by the sizes of their sets and by their counters: two sets share in each counter at
+    most the smaller number, so no similar pair is lost."""
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, len(batch), 4096):
+                part = batch.slice(low, 4096)
+                x, y = (np.stack([np.frombuffer(v.as_buffer(), np.uint32) for v in part.column(c)]).astype(np.int64)
+                        for c in ("x", "y"))
+                common, both = np.minimum(x, y).sum(1), x.sum(1) + y.sum(1)
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(
+                    pa.array(100 * common >= percent * (both - common)))
+
+    known = reps.select("id", "n", "sieve")
+    left = known.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sieve").alias("x"))
+    right = known.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sieve").alias("y"))
+    sized = (pairs.join(left.drop("x"), "a").join(right.drop("y"), "b")
+             .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b"))
+    return sized.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(sift, "a bigint, b bigint")
 
 
 def cross_pairs(shared: DataFrame, named: DataFrame, reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
