@@ -55,51 +55,60 @@ def test_batch_twin_of_sliding_windows(spark, tmp_path):
     assert got.count() == closed.count() > 0 and got.exceptAll(closed).isEmpty()
 
 
-@pytest.fixture
-def rocksdb(spark):
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    spark.conf.set(key, buffers.ROCKSDB)
-    yield
-    spark.conf.set(key, before)
+def release(feed, **kw):
+    rows = feed.stream(**kw)
+    kind = F.when(F.col("event_id") == -1, "register").otherwise("unregister")
+    notes = rows.filter("event_id < 0").select(F.col("origin").alias("airport"), F.col("ts").alias("at"), kind.alias("kind"))
+    both = buffers.with_messages(rows.filter("event_id >= 0"), notes)
+    started, out = buffers.start_release(both, f"{feed.root}/release", f"{feed.root}/log")
+    run.drain([started])
+    return out.released()
 
 
-def test_buffers_release_full_chunks_and_backlog(spark, tmp_path, rocksdb):
+def test_buffers_release_full_chunks_and_backlog(spark, tmp_path):
     feed = Feed(spark, tmp_path, SCHEMA)
-
-    def chunks(lanes):
-        rows = feed.stream()
-        notes = rows.filter("event_id < 0").select(F.col("origin").alias("airport"), F.col("ts").alias("at"),
-                                                   F.when(F.col("event_id") == -1, "register").otherwise("unregister").alias("kind"))
-        return buffers.release_chunks(rows.filter("event_id >= 0"), notes, lanes=lanes)
-
     feed.add([(i, at(i), "A") for i in range(40)] + [(1000 + i, at(i), "B") for i in range(350)])
-    assert feed.drain(chunks(1)).count() == 0                          # nobody listens yet
+    assert release(feed).count() == 0                                  # nobody listens yet
     feed.add([(-1, at(500), "A")] + [(50 + i, at(501 + i), "A") for i in range(650)])
-    got = feed.drain(chunks(1)).groupBy("airport", "chunk", "reason").count().collect()
+    got = release(feed).groupBy("airport", "chunk", "reason").count().collect()
     assert sorted(map(tuple, got)) == [("A", 0, "registered", 40), ("A", 1, "full", 300), ("A", 2, "full", 300)]
     feed.add([(-2, at(2000), "A"), (-1, at(2000), "B")] + [(5000 + i, at(2001 + i), "A") for i in range(400)])
-    later = feed.drain(chunks(1))
+    later = release(feed)
     assert later.filter("airport = 'A'").count() == 640                # unregistered again: held back
     assert later.filter("airport = 'B'").select("chunk", "reason").distinct().collect()[0][:] == (0, "registered")
     assert later.filter("airport = 'B'").count() == 350
-    assert later.select("event_id").distinct().count() == later.count()
+    feed.add([(-1, at(3000), "A"), (9000, at(3001), "A")])
+    last = release(feed).filter("airport = 'A' AND chunk = 3")
+    assert last.count() == 450 and {r["reason"] for r in last.collect()} == {"registered"}
+    held = spark.read.parquet(f"{feed.root}/release/state/3/held")
+    assert [r["seq"] for r in held.collect()] == [9000]
 
 
-def test_lanes_lose_nothing(spark, tmp_path, rocksdb):
+@pytest.mark.parametrize("batch", ["100", "10000"])
+def test_busy_airport_is_released_in_its_order(spark, tmp_path, batch):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, batch)
+    try:
+        feed = Feed(spark, tmp_path, SCHEMA)
+        feed.add([(i, at(2 * i), "A") for i in range(30_000)] + [(-1, at(2 * 15_000 + 1), "A"), (-2, at(2 * 15_000 + 3), "A")])
+        out = release(feed)
+        assert out.count() == 15_001
+        assert {r["reason"] for r in out.select("reason").distinct().collect()} == {"registered"}
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_a_batch_that_comes_again_gives_the_same(spark, tmp_path):
     feed = Feed(spark, tmp_path, SCHEMA)
-    feed.add([(-1, at(0), "A")] + [(i, at(1 + i), "A") for i in range(500)] + [(-1, at(9000), "A")])
-    rows = feed.stream()
-    notes = rows.filter("event_id < 0").select(F.col("origin").alias("airport"), F.col("ts").alias("at"), F.lit("register").alias("kind"))
-    out = feed.drain(buffers.release_chunks(rows.filter("event_id >= 0"), notes, lanes=4, release_at=20))
-    assert sorted(r["event_id"] for r in out.collect()) == list(range(500))
-    assert out.select("lane").distinct().count() == 4
-    assert out.filter("reason = 'full'").groupBy("lane", "chunk").count().filter("count <> 20").isEmpty()
-
-
-def test_buffers_need_their_store(spark):
-    with pytest.raises(ValueError, match="providerClass"):
-        buffers.release_chunks(spark.createDataFrame([], SCHEMA), spark.createDataFrame([], "airport string, at timestamp, kind string"))
+    rows = spark.createDataFrame([(i, at(i), "A") for i in range(700)], SCHEMA)
+    notes = spark.createDataFrame([("A", at(-1), "register")], "airport string, at timestamp, kind string")
+    both = buffers.with_messages(rows, notes)
+    handle = buffers.ChunkRelease(spark, f"{feed.root}/r", "event_id: bigint, ts: timestamp, origin: string")
+    for number in (0, 0, 1, 1):
+        handle(both if number == 0 else both.filter("kind = 'data'"), number)
+    got = handle.released().groupBy("batch", "chunk", "reason").count().collect()
+    assert sorted(map(tuple, got)) == [(0, 0, "full", 300), (0, 1, "full", 300), (1, 2, "full", 300), (1, 3, "full", 300)]
 
 
 def test_repeated_batch_leaves_no_double_rows(spark, tmp_path):

@@ -275,13 +275,16 @@ def _(spark, t):
 
 
 @query("fe_23b_idf_model", f"""
-WITH {DOC_WORDS}, c AS (SELECT doc_id, i, len(list_filter(words, lambda x: x = {COMMON}[i])) AS tf FROM w, range(1, 4) r(i)),
-df AS (SELECT i, count(*) FILTER (tf > 0) AS df, count(*) AS m FROM c GROUP BY i)
-SELECT doc_id, CAST(i - 1 AS INTEGER) AS pos, round(tf * ln((m + 1) / (df + 1)), 6) AS x FROM c JOIN df USING (i)""")
-def _(spark, t):
-    counted = fe.count_given_terms(doc_words(t), "words", "counts", COMMON)
-    return fe.vector_rows(fe.weigh_rare_terms(counted, "counts", "w")[0], ["doc_id"], "w").withColumn(
-        "x", F.round("x", 6))
+WITH {DOC_WORDS}, tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS term FROM w) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term)
+SELECT doc_id, term, round(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 6) AS x FROM tf JOIN df USING (term)""")
+def _(spark, t):
+    # The whole vocabulary: as many terms as there are, found in one document or more.
+    terms = doc_words(t).select(F.explode("words")).distinct().count()
+    counted, model = fe.count_terms(doc_words(t), "words", "counts", terms, 1)
+    weighed = fe.vector_rows(fe.weigh_rare_terms(counted, "counts", "w")[0], ["doc_id"], "w", sparse=True)
+    names = spark.createDataFrame(list(enumerate(model.vocabulary)), "pos int, term string")
+    return weighed.join(names, "pos").select("doc_id", "term", F.round("x", 6).alias("x"))
 
 
 @query("fe_24_vector_assembler", f"""

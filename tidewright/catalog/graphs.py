@@ -46,7 +46,7 @@ def _(spark, t):
     return graphs.transitive_closure(part_tree(t))
 
 
-WIDTH, STEP = 10, 0.1
+WIDTH, STEP = 64, 0.1
 
 
 def descent_sql():
@@ -67,7 +67,7 @@ def descent_sql():
 def _(spark, t):
     points = t.embeddings.select(
         F.when(F.col("label") < 5, 1.0).otherwise(-1.0).alias("y"),
-        F.transform(F.slice("embedding", 1, WIDTH), lambda v: v.cast("double")).alias("x"))
+        F.col("embedding").cast("array<double>").alias("x"))
     w = graphs.logistic_descent(points, [i / 10 for i in range(1, WIDTH + 1)], ROUNDS, STEP)
     return spark.createDataFrame(list(enumerate(w)), "pos int, weight double").withColumn(
         "weight", F.round("weight", 6))

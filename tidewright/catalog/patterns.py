@@ -8,11 +8,10 @@ from tidewright.catalog.features import vectors
 from tidewright.operators import algebra, patterns
 from tidewright.operators.features import assemble, principal_components
 
-BASKET_SQL = """b AS (SELECT DISTINCT l_orderkey, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey),
-n AS (SELECT count(DISTINCT l_orderkey) AS n FROM b),
-one AS (SELECT p_brand AS a, count(*) AS f FROM b GROUP BY 1 HAVING count(*) >= ceil(0.02 * (SELECT n FROM n))),
-two AS (SELECT x.p_brand AS a, y.p_brand AS b, count(*) AS f FROM b x JOIN b y ON x.l_orderkey = y.l_orderkey AND x.p_brand < y.p_brand
- GROUP BY 1, 2 HAVING count(*) >= ceil(0.02 * (SELECT n FROM n)))"""
+BASKET_SQL = """b AS (SELECT l_orderkey, list_sort(list_distinct(list(p_brand))) AS items FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1),
+sets AS (SELECT items, count(*) AS f FROM (SELECT list_filter(items, lambda x, i: (m >> (i - 1)) & 1 = 1) AS items
+  FROM (SELECT items, unnest(range(1, CAST(2 ** len(items) AS BIGINT))) AS m FROM b))
+  GROUP BY items HAVING count(*) >= ceil(0.002 * (SELECT count(*) FROM b)))"""
 
 
 def brand_baskets(t):
@@ -23,40 +22,40 @@ def brand_baskets(t):
 
 
 @query("fp_01_frequent_sets", f"""
-WITH {BASKET_SQL} SELECT a AS items, f AS freq FROM one UNION ALL SELECT a || ',' || b, f FROM two""")
+WITH {BASKET_SQL} SELECT array_to_string(items, ',') AS items, f AS freq FROM sets""")
 def _(spark, t):
-    model = patterns.frequent_sets(brand_baskets(t), support=0.02)
-    return model.freqItemsets.filter(F.size("items") <= 2).select(
-        F.array_join(F.array_sort("items"), ",").alias("items"), "freq")
+    model = patterns.frequent_sets(brand_baskets(t), support=0.002)
+    return model.freqItemsets.select(F.array_join(F.array_sort("items"), ",").alias("items"), "freq")
 
 
 RULES_SQL = f"""
-WITH {BASKET_SQL}, r AS (SELECT a AS x, b AS y, f FROM two UNION ALL SELECT b, a, f FROM two)
-SELECT x AS antecedent, y AS consequent, round(r.f / one.f, 6) AS confidence FROM r JOIN one ON x = one.a WHERE r.f / one.f >= 0.15"""
+WITH {BASKET_SQL}, r AS (SELECT list_filter(items, lambda x: x <> y) AS a, y, f FROM (SELECT items, f, unnest(items) AS y FROM sets WHERE len(items) > 1))
+SELECT array_to_string(a, ',') AS antecedent, y AS consequent, round(r.f / sets.f, 6) AS confidence FROM r JOIN sets ON a = sets.items WHERE r.f / sets.f >= 0.12"""
 
 
 @query("fp_02_association_rules", RULES_SQL)
 def _(spark, t):
-    model = patterns.frequent_sets(brand_baskets(t), support=0.02, confidence=0.15)
-    return model.associationRules.filter(F.size("antecedent") == 1).select(
-        F.array_join("antecedent", ",").alias("antecedent"), F.array_join("consequent", ",").alias("consequent"),
+    model = patterns.frequent_sets(brand_baskets(t), support=0.002, confidence=0.12)
+    return model.associationRules.select(
+        F.array_join(F.array_sort("antecedent"), ",").alias("antecedent"), F.array_join("consequent", ",").alias("consequent"),
         F.round("confidence", 6).alias("confidence"))
 
 
 @query("fp_02b_rules_from_saved_sets", RULES_SQL)
 def _(spark, t):
-    sets = patterns.frequent_sets(brand_baskets(t), support=0.02).freqItemsets
-    return patterns.rules_from_sets(sets, 0.15).filter(F.size("antecedent") == 1).select(
+    sets = patterns.frequent_sets(brand_baskets(t), support=0.002).freqItemsets
+    return patterns.rules_from_sets(sets, 0.12).select(
         F.array_join("antecedent", ",").alias("antecedent"), "consequent", F.round("confidence", 6).alias("confidence"))
 
 
 @query("fp_03_frequent_sequences", """
 WITH h AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d, hour(ts) // 6 AS h, event_type AS e FROM events),
-n AS (SELECT ceil(0.1 * count(*)) AS m FROM (SELECT DISTINCT user_id, d FROM h)),
-p AS (SELECT e AS pattern, user_id, d FROM h
- UNION ALL SELECT DISTINCT x.e || '+' || y.e, x.user_id, x.d FROM h x JOIN h y USING (user_id, d) WHERE x.h = y.h AND x.e < y.e
- UNION ALL SELECT DISTINCT x.e || '>' || y.e, x.user_id, x.d FROM h x JOIN h y USING (user_id, d) WHERE x.h < y.h)
-SELECT pattern, count(*) AS freq FROM (SELECT DISTINCT * FROM p) GROUP BY pattern HAVING count(*) >= (SELECT m FROM n)""")
+s AS (SELECT user_id, d, list({'h': h, 'e': e} ORDER BY h, e) AS l FROM h GROUP BY ALL),
+m AS (SELECT user_id, d, list_filter(l, lambda x, i: (k >> (i - 1)) & 1 = 1) AS f
+  FROM (SELECT *, unnest(range(1, CAST(2 ** len(l) AS BIGINT))) AS k FROM s) WHERE bit_count(k) <= 5),
+p AS (SELECT DISTINCT user_id, d, array_to_string(list_transform(f, lambda x, i:
+  (CASE WHEN i = 1 THEN '' WHEN f[i - 1].h = x.h THEN '+' ELSE '>' END) || x.e), '') AS pattern FROM m)
+SELECT pattern, count(*) AS freq FROM p GROUP BY pattern HAVING count(*) >= (SELECT ceil(0.002 * count(*)) FROM s)""")
 def _(spark, t):
     # A day of a user is at most four quarters of at most five kinds of event.
     kinds = t.events.select("user_id", F.to_date("ts").alias("d"), F.floor(F.hour("ts") / 6).alias("h"),
@@ -64,7 +63,7 @@ def _(spark, t):
     sets = kinds.groupBy("user_id", "d", "h").agg(F.sort_array(F.collect_set("event_type")).alias("kinds"))
     days = sets.groupBy("user_id", "d").agg(F.sort_array(F.collect_list(F.struct("h", "kinds"))).alias("s")).select(
         F.col("s.kinds").alias("sequence"))
-    found = patterns.frequent_sequences(days, support=0.1, max_length=2)
+    found = patterns.frequent_sequences(days, support=0.002, max_length=5)
     text = F.array_join(F.transform("sequence", lambda s: F.array_join(F.array_sort(s), "+")), ">")
     return found.select(text.alias("pattern"), "freq")
 

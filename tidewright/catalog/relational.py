@@ -191,10 +191,12 @@ JOIN a ON p_partkey = a.l_partkey
 JOIN (SELECT l_partkey, count(DISTINCT l_suppkey) AS suppliers FROM lineitem GROUP BY l_partkey) sold
   ON p_partkey = sold.l_partkey""")
 def _(spark, t):
-    by_part = t.lineitem.withColumnRenamed("l_partkey", "p_partkey").groupBy("p_partkey")
-    rated = by_part.agg(F.count("*").alias("n"), F.avg("l_quantity").alias("q"))
-    spread = by_part.agg(F.count_distinct("l_suppkey").alias("suppliers"))
-    return (rated.join(t.part.select("p_partkey", "p_name"), "p_partkey").join(spread, "p_partkey")
+    # Both views of the lines group by the same key: one pass sums per supplier first, which also counts them.
+    per_supplier = t.lineitem.withColumnRenamed("l_partkey", "p_partkey").groupBy("p_partkey", "l_suppkey").agg(
+        F.count("*").alias("n"), F.sum("l_quantity").alias("qty"), F.count("l_quantity").alias("m"))
+    rated = per_supplier.groupBy("p_partkey").agg(
+        F.sum("n").alias("n"), (F.sum("qty") / F.sum("m")).alias("q"), F.count("l_suppkey").alias("suppliers"))
+    return (rated.join(t.part.select("p_partkey", "p_name"), "p_partkey")
             .select("p_partkey", "p_name", "n", F.round("q", 6).alias("avg_qty"), "suppliers"))
 
 

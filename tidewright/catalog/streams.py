@@ -9,7 +9,7 @@ from tidewright.catalog import query
 from tidewright.catalog.aggregates import FLIGHTS_SQL, airports, flights
 from tidewright.functions.columns import day_key
 from tidewright.plans.flights import parse_flights, place
-from tidewright.session import fresh_path
+from tidewright.session import Scratch, fresh_path
 from tidewright.sources import live
 from tidewright.streaming import buffers, run, sales, windows
 
@@ -86,7 +86,8 @@ def _(spark, t):
 WITH d AS (SELECT strftime(ts, '%Y-%m-%d') AS date, round(avg(value), 4) AS usual FROM events GROUP BY 1)
 SELECT event_id, date, usual FROM events JOIN d ON strftime(ts, '%Y-%m-%d') = date""")
 def _(spark, t):
-    dates = t.events.groupBy(day_key(F.col("ts")).alias("date")).agg(F.round(F.avg("value"), 4).alias("usual"))
+    # Saved first: the static side of a stream is read again in every batch.
+    dates = Scratch(spark).settle(t.events.groupBy(day_key(F.col("ts")).alias("date")).agg(F.round(F.avg("value"), 4).alias("usual")))
     stream = Live(t).events.select("event_id", day_key(F.col("ts")).alias("date"))
     return finished(spark, sales.with_dates(stream, dates), "dated")
 
@@ -120,13 +121,16 @@ def _(spark, t):
     return finished(spark, parse_flights(live.replay_lines(spark, folder, 2)), "parsed")
 
 
-@query("st_04_windowed_delays_by_direction", f"""
+WINDOWED_SQL = f"""
 WITH {FLIGHTS_SQL}, w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) - k * INTERVAL 5 MINUTE AS s, origin, region, status FROM marked, range(3) r(k)),
 c AS (SELECT s, origin, region, count(*) AS n, count(*) FILTER (status = 'ontime') AS a, count(*) FILTER (status = 'delay_minor') AS b,
   count(*) FILTER (status = 'delay_major') AS c FROM w WHERE s + INTERVAL 15 MINUTE <= {CLOSED} GROUP BY ALL)
 SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS start, strftime(s + INTERVAL 15 MINUTE, '%Y-%m-%d %H:%M:%S') AS end, origin, region,
  n AS flights, CAST(floor(a / n * 100 + 0.5) AS INTEGER) AS ontime, CAST(floor(b / n * 100 + 0.5) AS INTEGER) AS delay_minor,
- CAST(floor(c / n * 100 + 0.5) AS INTEGER) AS delay_major FROM c""")
+ CAST(floor(c / n * 100 + 0.5) AS INTEGER) AS delay_major FROM c"""
+
+
+@query("st_04_windowed_delays_by_direction", WINDOWED_SQL)
 def _(spark, t):
     placed = place(flights(Live(t)), airports(t))
     return stamped(finished(spark, windows.delay_windows(placed, slide="5 minutes"), "delays"))
@@ -143,19 +147,15 @@ x AS (SELECT d.user_id, event_id, seg, CASE WHEN seg = 0 THEN 0 ELSE i // 5 END
 SELECT CAST(user_id AS VARCHAR) AS airport, dense_rank() OVER (PARTITION BY user_id ORDER BY seg, sub) - 1 AS chunk, reason, event_id
 FROM x WHERE reason IS NOT NULL""")
 def _(spark, t):
-    # Signups register their user; all other events are buffered. One lane keeps event order.
+    # Signups register their user; all other events are buffered.
     e = Live(t).events
     data = e.filter("event_type <> 'signup'").select("user_id", "ts", "event_id", "event_type", "value")
     notes = e.filter("event_type = 'signup'").select(
         F.col("user_id").alias("airport"), F.col("ts").alias("at"), F.lit("register").alias("kind"))
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    spark.conf.set(provider, buffers.ROCKSDB)
-    try:
-        out = buffers.release_chunks(data, notes, airport="user_id", release_at=5, lanes=1)
-        return finished(spark, out, "released").select("airport", "chunk", "reason", "event_id")
-    finally:
-        spark.conf.set(provider, before)
+    both = buffers.with_messages(data, notes, airport="user_id")
+    started, release = buffers.start_release(both, fresh_path(spark, "release"), fresh_path(spark, "log"), release_at=5)
+    run.drain([started])
+    return release.released().select("airport", "chunk", "reason", "event_id")
 
 
 @query("st_06_day_closes", f"""
@@ -195,7 +195,7 @@ def _(spark, t):
                              F.from_json("props", "k int").getField("k").cast("double").alias("units"))
 
     history = sold(t.events)
-    dates = history.groupBy("date").agg(F.count("*").alias("day_sales"))
+    dates = Scratch(spark).settle(history.groupBy("date").agg(F.count("*").alias("day_sales")))
     model = Pipeline(stages=[VectorAssembler(inputCols=["price"], outputCol="features"),
                              LinearRegression(labelCol="units", solver="normal")]).fit(history)
     live_sales = sales.scored(sold(Live(t).events), dates, model)

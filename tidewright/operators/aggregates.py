@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,8 +16,9 @@ def word_rows(df: DataFrame, text: str = "text", lower: bool = False, keep: Sequ
     """One row per word. Split, explode and filter run as generated code, unlike the
     array form `words`, whose lambda is interpreted."""
     c = F.lower(text) if lower else F.col(text)
-    return df.select(*keep, F.explode(F.split(c, "[ \r\n]")).alias("word")).filter(
-        F.col("word").rlike(r"[^ \t\n\f\r]"))
+    blanks = F.translate(c, "\r\n", "  ")
+    return df.select(*keep, F.explode(F.split(blanks, " ")).alias("word")).filter(
+        F.btrim("word", F.lit(" \t\n\f\r")) != "")
 
 
 def word_counts(df: DataFrame, text: str = "text", lower: bool = False) -> DataFrame:
@@ -50,9 +53,10 @@ def item_pages(df: DataFrame, key: str, item: str, span: int = 1000) -> DataFram
 
 
 def vector_sum(df: DataFrame, vector: str) -> DataFrame:
-    """Element-wise sum of an array column as rows (pos, total)."""
-    return df.select(F.posexplode(vector).alias("pos", "x")).groupBy("pos").agg(
-        F.sum(F.col("x").cast("double")).alias("total"))
+    """Element-wise sum of an array column as rows (pos, total): one vector per task is sent on, not one row per component."""
+    added = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("v")).agg(
+        Summarizer.sum(F.col("v")).alias("v"))
+    return added.select(F.posexplode(vector_to_array("v")).alias("pos", "total"))
 
 
 def share_of_max(df: DataFrame, value: str, name: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewright.functions.columns import log_ratio
 from tidewright.operators.aggregates import word_rows
@@ -21,8 +22,17 @@ def as_vector(df: DataFrame, array: str, name: str = "features") -> DataFrame:
     return df.withColumn(name, array_to_vector(F.transform(array, lambda x: x.cast("double"))))
 
 
-def vector_rows(df: DataFrame, keys: Sequence[str], vector: str, value: str = "x") -> DataFrame:
-    """(keys, pos, value): one row per component."""
+@F.udf(T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("x", T.DoubleType())])))
+def stored_components(vector):
+    """What a sparse vector stores; used where its width is far above that."""
+    return [] if vector is None else [(int(i), float(x)) for i, x in zip(vector.indices, vector.values)]
+
+
+def vector_rows(df: DataFrame, keys: Sequence[str], vector: str, value: str = "x", sparse: bool = False) -> DataFrame:
+    """(keys, pos, value): one row per component, or per stored component of sparse vectors."""
+    if sparse:
+        return df.select(*keys, F.explode(stored_components(vector)).alias("_c")).select(
+            *keys, "_c.pos", F.col("_c.x").alias(value))
     return df.select(*keys, F.posexplode(vector_to_array(vector)).alias("pos", value))
 
 

@@ -8,22 +8,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewright.session import settle
+from tidewright.session import Scratch, settle
 
 # ---- joins ----------------------------------------------------------------------------
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: str | Sequence[str],
            defaults: dict[str, object]) -> DataFrame:
-    """Left join that fills the columns of `dim` with `defaults` where no row matches.
+    """Left join that fills the columns of `dim` with `defaults` where no row matches. A null that
+    stands in a matching row stays.
 
     No broadcast hint: Spark broadcasts `dim` while its size is under
     `spark.sql.autoBroadcastJoinThreshold`, and shuffles (with skew splits) beyond it.
     """
-    joined = df.join(dim, on, "left")
+    joined = df.join(dim.withColumn("_matched", F.lit(True)), on, "left")
     return joined.select(*[
-        F.coalesce(F.col(c), F.lit(defaults[c])).alias(c) if c in defaults else F.col(c)
-        for c in joined.columns])
+        F.when(F.col("_matched"), F.col(c)).otherwise(F.lit(defaults[c])).alias(c) if c in defaults else F.col(c)
+        for c in joined.columns if c != "_matched"])
 
 
 def not_in(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -75,17 +76,17 @@ def rows_at_max(df: DataFrame, metric: str) -> DataFrame:
 
 
 def running_totals(df: DataFrame, order: Sequence[Column], totals: dict[str, Column],
-                   slices: int | None = None) -> DataFrame:
+                   slices: int | None = None, scratch: Scratch | None = None) -> DataFrame:
     """Cumulative sums over the whole table in the given order, computed in parallel.
 
     The table is range-partitioned by `order` and pinned by a checkpoint (range bounds are
     sampled, so they must not be drawn twice). Sums inside each slice are ordinary windows;
     each slice then adds the total of the slices before it. Order keys should be unique:
-    aggregate first, which also removes hot keys.
+    aggregate first, which also removes hot keys. `scratch` removes the written table when it closes.
     """
     spark = df.sparkSession
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pinned = settle(df.repartitionByRange(n, *order).withColumn("_slice", F.spark_partition_id()))
+    pinned = (scratch or Scratch(spark)).settle(df.repartitionByRange(n, *order).withColumn("_slice", F.spark_partition_id()))
     per_slice = pinned.groupBy("_slice").agg(*[F.sum(v).alias(f"_sum_{k}") for k, v in totals.items()])
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     # One row per slice, so this ordered window is bounded by the slice count.

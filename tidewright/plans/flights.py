@@ -70,3 +70,20 @@ def departures(schedule: DataFrame, origin, carrier: str) -> DataFrame:
     spark = schedule.sparkSession
     return spark.sql("SELECT flight_num, destination FROM {s} WHERE origin = :o AND carrier = :c",
                      args={"o": origin, "c": carrier}, s=schedule)
+
+
+def run_live(flights: DataFrame, messages: DataFrame, airports: DataFrame, path: str, **window) -> tuple[DataFrame, DataFrame]:
+    """The flight job over two streams, run to the end of what is there: delay shares per window, airport and
+    direction, and the placed flights that registered airports have been sent, chunk by chunk.
+
+    flights: (ts, event_id, origin, destination, delay, ...); messages: (airport, at, kind).
+    """
+    from tidewright.streaming import buffers, run, windows
+
+    placed = place(flights, airports)
+    shares = windows.delay_windows(placed, **window)
+    saving = run.start_files(shares, f"{path}/shares", f"{path}/shares-log")
+    sending, release = buffers.start_release(
+        buffers.with_messages(placed, messages), f"{path}/release", f"{path}/release-log")
+    run.drain([saving, sending])
+    return placed.sparkSession.read.schema(shares.schema).parquet(f"{path}/shares"), release.released()

@@ -22,6 +22,8 @@ RUNTIME_SETTINGS = {
     # filters on them still reach the scan (a cast in the plan would block both).
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
 }
+#: Settings of the context: checkpoints go when nothing refers to them any more.
+CONTEXT_SETTINGS = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -56,7 +58,7 @@ def build_session(app: str = "tidewright", master: str | None = None,
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_SETTINGS, **settings}.items():
+    for key, value in {**RUNTIME_SETTINGS, **CONTEXT_SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -137,6 +139,13 @@ class Scratch:
         self.tables[id(back)] = (back, path)
         return back
 
+    def parts(self, df: DataFrame, target: int = 128 << 20) -> int:
+        """How many partitions of about `target` stored bytes a settled table needs, and never fewer than
+        `spark.sql.shuffle.partitions`."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(self.tables[id(df)][1])
+        size = place.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+        return max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-size // target))
+
     def keep(self, *dfs: DataFrame) -> None:
         """Leave these tables in place, for a result that reads them."""
         for df in dfs:
@@ -160,13 +169,13 @@ def lay_out(df: DataFrame, parts: int, *keys: str) -> DataFrame:
     """Checkpoint `df` hash-partitioned and sorted by `keys`, in a way later joins can see:
     a join on these keys then neither moves nor sorts this side.
 
-    Adaptive planning is off for this one job, since it would hide the partitioning.
+    Adaptive planning is off while this one copy is planned, since it would hide the partitioning.
     """
     conf = df.sparkSession.conf
+    shared_dir(df.sparkSession)
     before = conf.get("spark.sql.adaptive.enabled")
     conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        shared_dir(df.sparkSession)
         return df.repartition(parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
     finally:
         conf.set("spark.sql.adaptive.enabled", before)

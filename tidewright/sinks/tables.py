@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
@@ -33,13 +34,27 @@ def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame],
                 rebuild: bool = False) -> DataFrame:
     """The table saved at `path`; built and saved first if it is missing or `rebuild` is set.
 
-    A write cut short leaves no success marker and is built again.
+    A write cut short leaves no success marker and is built again. A rebuild is written beside the good copy
+    and takes its place when it is complete.
     """
-    if rebuild or not is_saved(spark, path):
+    if not is_saved(spark, path):
         save_table(build(), path)
+    elif rebuild:
+        beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+        save_table(build(), beside)
+        replace(spark, beside, path)
     return spark.read.parquet(path)
 
 
+def replace(spark: SparkSession, new: str, old: str) -> None:
+    """Put the folder `new` where `old` is, through the file system both are in."""
+    new_path, old_path = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (new, old))
+    store = new_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.delete(old_path, True)
+    if not store.rename(new_path, old_path):
+        raise OSError(f"{new} could not be renamed to {old}")
+
+
 def save_to_database(df: DataFrame, url: str, table: str,
                      properties: Mapping[str, str] | None = None) -> str:
     """Write to a JDBC table; if it exists, replace its content. Returns the mode that took."""
@@ -48,7 +63,7 @@ def save_to_database(df: DataFrame, url: str, table: str,
         df.write.jdbc(url, table, mode="errorifexists", properties=props)
         return "errorifexists"
     except AnalysisException as e:
-        if "exist" not in str(e).lower():
+        if e.getCondition() != "TABLE_OR_VIEW_ALREADY_EXISTS" and f"'{table}' already exists" not in str(e):
             raise
         df.write.jdbc(url, table, mode="overwrite", properties={**props, "truncate": "true"})
         return "overwrite"

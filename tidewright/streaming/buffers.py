@@ -1,105 +1,109 @@
-"""Per-key buffers that release their rows in chunks."""
+"""Per-key buffers that release their rows in chunks, decided batch by batch in column expressions."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.query import StreamingQuery
 
 from tidewright.fixed import RELEASE_AT
+from tidewright.operators.relational import running_totals
+from tidewright.session import Scratch, remove
+from tidewright.streaming.run import start_batches
+
+ORDER = ["airport", "carried", "at", "seq", "kind"]
+
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
-
-
-class ChunkRelease(StatefulProcessor):
-    """Holds packed rows per key. A registration releases what is held; while registered,
-    every `release_at` rows are released together."""
-
-    def __init__(self, release_at: int, ttl_ms: int | None):
-        self.release_at = release_at
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.held = handle.getListState("held", "row string", ttlDurationMs=self.ttl_ms)
-        self.mark = handle.getValueState("mark", "held bigint, is_open boolean, chunk bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n, is_open, chunk = self.mark.get() if self.mark.exists() else (0, False, 0)
-        for batch in rows:
-            batch = batch.sort_values(["at", "seq"], kind="stable")
-            # Every message starts a block; the data rows behind it are handled together.
-            for _, block in batch.groupby((batch["kind"] != "data").cumsum(), sort=True):
-                kind = block["kind"].iloc[0]
-                if kind == "register":
-                    if n:
-                        yield from self._release(key, chunk, "registered")
-                        n, chunk = 0, chunk + 1
-                    is_open = True
-                elif kind == "unregister":
-                    is_open = False
-                data = block.loc[block["kind"] == "data", "packed"].tolist()
-                while data:
-                    room = max(self.release_at - n, 1) if is_open else len(data)
-                    part, data = data[:room], data[room:]
-                    self.held.appendList([(row,) for row in part])
-                    n += len(part)
-                    if is_open and n >= self.release_at:
-                        yield from self._release(key, chunk, "full")
-                        n, chunk = 0, chunk + 1
-        self.mark.update((n, is_open, chunk))
-
-    def _release(self, key, chunk: int, reason: str) -> Iterator[pd.DataFrame]:
-        """What is held, in pieces, so that a long backlog is never in memory at once."""
-        piece = []
-        for (row,) in self.held.get():
-            piece.append(row)
-            if len(piece) == 10_000:
-                yield self._rows(key, chunk, reason, piece)
-                piece = []
-        if piece:
-            yield self._rows(key, chunk, reason, piece)
-        self.held.clear()
-
-    @staticmethod
-    def _rows(key, chunk: int, reason: str, piece: list[str]) -> pd.DataFrame:
-        return pd.DataFrame({"airport": key[0], "lane": key[1], "chunk": chunk, "reason": reason, "packed": piece})
-
-    def close(self) -> None:
-        pass
-
-
-def release_chunks(flights: DataFrame, messages: DataFrame, airport: str = "origin", at: str = "ts",
-                   order: str = "event_id", release_at: int = RELEASE_AT, lanes: int = 8,
-                   ttl_ms: int | None = None) -> DataFrame:
-    """Rows (airport, lane, chunk, reason, flight columns) as their buffers are released.
-
-    `messages` (airport, at, kind) registers and unregisters airports. An airport buffers in
-    `lanes` independent lanes, so one that owns a third of all flights is handled by many
-    tasks; every lane gets every message. Full chunks have `release_at` rows.
-
-    Rows are taken as they arrive (within one transfer batch by `at`, then `order`), so chunk
-    borders depend on arrival. Rows of airports never registered are held until `ttl_ms`.
+def with_messages(flights: DataFrame, messages: DataFrame, airport: str = "origin", at: str = "ts",
+                  order: str = "event_id") -> DataFrame:
+    """One stream of flights and messages: (airport, kind, at, seq, row), row being null for messages.
+
+    `messages` (airport, at, kind) has the kinds register and unregister.
     """
-    spark = flights.sparkSession
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass") != ROCKSDB:
-        raise ValueError(f"set spark.sql.streaming.stateStore.providerClass to {ROCKSDB}")
-    lane = F.pmod(F.xxhash64(order), F.lit(lanes)).cast("int")
     data = flights.select(
-        F.col(airport).cast("string").alias("airport"), lane.alias("lane"), F.lit("data").alias("kind"),
-        F.col(at).alias("at"), F.col(order).cast("bigint").alias("seq"),
-        F.to_json(F.struct(*flights.columns), JSON).alias("packed"))
-    notes = messages.select(
-        F.col("airport").cast("string").alias("airport"), F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"),
-        F.col("kind").alias("kind"), F.col("at").alias("at"), F.lit(-1).cast("bigint").alias("seq"),
-        F.lit("").alias("packed"))
-    released = data.union(notes).groupBy("airport", "lane").transformWithStateInPandas(
-        ChunkRelease(release_at, ttl_ms),
-        outputStructType="airport string, lane int, chunk bigint, reason string, packed string",
-        outputMode="append", timeMode="ProcessingTime" if ttl_ms else "None")
-    return released.select("airport", "lane", "chunk", "reason",
-                           F.from_json("packed", flights.schema, JSON).alias("packed")).select(
-        "airport", "lane", "chunk", "reason", "packed.*")
+        F.col(airport).cast("string").alias("airport"), F.lit("data").alias("kind"), F.col(at).alias("at"),
+        F.col(order).cast("bigint").alias("seq"), F.struct(*flights.columns).alias("row"))
+    notes = messages.select(F.col("airport").cast("string").alias("airport"), F.col("kind").alias("kind"), F.col("at").alias("at"),
+                            F.lit(-1).cast("bigint").alias("seq"), F.lit(None).cast(data.schema["row"].dataType).alias("row"))
+    return data.unionByName(notes)
+
+
+class ChunkRelease:
+    """Holds the rows of each airport. A registration releases what is held; while registered, every
+    `release_at` rows are released together; after an unregistration rows are held again.
+
+    A micro-batch is taken in the order of its rows (at, then messages before data, then seq), whatever
+    way it was transferred. The running counts over this order come from `running_totals`, so an airport
+    with a third of all flights is spread over many tasks. What is held, and for each airport whether it is
+    registered and its next chunk, is a table with a version for each batch in `path`; a batch that comes again
+    after a failure starts from the same version and overwrites its own results.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, release_at: int = RELEASE_AT):
+        self.spark, self.path, self.release_at = spark, path, release_at
+        self.rows = f"airport string, kind string, at timestamp, seq bigint, row struct<{schema}>"
+
+    def place(self, number: int, part: str) -> str:
+        return f"{self.path}/state/{number}/{part}"
+
+    def before(self, number: int) -> tuple[DataFrame, DataFrame]:
+        """(held rows, airports) as the batch before left them."""
+        held, airports = self.rows, "airport string, is_open boolean, next_chunk bigint"
+        if number == 0:
+            return self.spark.createDataFrame([], held), self.spark.createDataFrame([], airports)
+        return (self.spark.read.schema(held).parquet(self.place(number - 1, "held")),
+                self.spark.read.schema(airports).parquet(self.place(number - 1, "airports")))
+
+    def __call__(self, batch: DataFrame, number: int) -> None:
+        with Scratch(self.spark) as scratch:
+            self.decide(batch, number, scratch)
+
+    def decide(self, batch: DataFrame, number: int, scratch: Scratch) -> None:
+        held, airports = self.before(number)
+        columns = ["airport", "kind", "at", "seq", "row"]
+        rows = held.select(*columns, F.lit(0).alias("carried")).unionByName(batch.select(*columns, F.lit(1).alias("carried")))
+        is_ = lambda kind: (F.col("kind") == kind).cast("long")
+        counted = running_totals(rows, [F.col(c) for c in ORDER], {
+            "block": is_("register"), "leaves": is_("unregister"), "upto": is_("data")}, scratch=scratch)
+        # A block runs from one registration of an airport to the next; the first one goes on from the batch before.
+        blocks = counted.groupBy("airport", "block").agg(
+            F.min(F.col("upto") - is_("data")).alias("base"), F.max("upto").alias("end"), F.max(is_("register")).alias("opens"),
+            F.min(F.when(F.col("kind") == "unregister", F.col("upto"))).alias("leaves_at"))
+        n = F.lit(self.release_at)
+        known = blocks.join(airports.withColumnRenamed("airport", "of"), F.col("airport") == F.col("of"), "left")
+        opened = (F.col("opens") == 1) | F.coalesce("is_open", F.lit(False))
+        w = Window.partitionBy("airport").orderBy("block")
+        placed = known.withColumn("last", F.lead("block").over(w).isNull()).withColumn(
+            "full", F.when(opened, F.floor((F.coalesce("leaves_at", "end") - F.col("base")) / n)).otherwise(0)).withColumn(
+            "rest", (F.col("end") - F.col("base") - F.col("full") * n > 0) & ~F.col("last")).withColumn(
+            "chunks", F.col("full") + F.col("rest").cast("long")).withColumn(
+            "first", F.coalesce("next_chunk", F.lit(0)) + F.coalesce(
+                F.sum("chunks").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        i = F.col("upto") - F.col("base") - 1
+        sub = F.least(F.floor(i / n), F.col("full"))
+        marks = placed.select(F.col("airport").alias("of"), F.col("block").alias("of_block"), "base", "full", "first", "last")
+        decided = counted.filter("kind = 'data'").join(
+            marks, (F.col("airport") == F.col("of")) & (F.col("block") == F.col("of_block"))).withColumn("sub", sub).select(
+            *columns, (F.col("first") + F.col("sub")).alias("chunk"),
+            F.when(F.col("sub") < F.col("full"), "full").when(~F.col("last"), "registered").alias("reason"))
+        decided.filter("reason IS NOT NULL").select("airport", "chunk", "reason", "row.*").write.mode("overwrite").parquet(
+            f"{self.path}/released/batch={number}")
+        decided.filter("reason IS NULL").select(*columns).write.mode("overwrite").parquet(self.place(number, "held"))
+        ends = placed.filter("last").select(
+            "airport", (opened & F.col("leaves_at").isNull()).alias("is_open"), (F.col("first") + F.col("chunks")).alias("next_chunk"))
+        quiet = airports.join(ends.select("airport"), "airport", "left_anti")
+        ends.unionByName(quiet).write.mode("overwrite").parquet(self.place(number, "airports"))
+        if number >= 2:
+            remove(self.spark, f"{self.path}/state/{number - 2}")
+
+    def released(self) -> DataFrame:
+        """(airport, chunk, reason, flight columns, batch) of all released rows."""
+        return self.spark.read.parquet(f"{self.path}/released")
+
+
+def start_release(stream: DataFrame, path: str, checkpoint: str, release_at: int = RELEASE_AT,
+                  interval: str | None = None) -> tuple[StreamingQuery, ChunkRelease]:
+    """Run a stream made by `with_messages`; `released()` of the second result reads what has come out."""
+    fields = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in stream.schema["row"].dataType.fields)
+    release = ChunkRelease(stream.sparkSession, path, fields, release_at)
+    return start_batches(stream, release, checkpoint, interval=interval), release
