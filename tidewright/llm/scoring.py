@@ -20,6 +20,8 @@ SHARE = 1e-6
 LEAST = 2
 ALPHA = 0.1
 UNKNOWN, BEGIN = np.uint64(1), np.uint64(2)
+#: Texts, and pairs of their words, that a task works on at once.
+TEXTS, PAIRS = 512, 1 << 20
 
 
 @dataclass
@@ -39,8 +41,8 @@ class Vocabulary:
 def pairs_of(texts: pa.Array, vocabulary: Vocabulary) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(text number, places of the words before, pairs, how often) of each text; a text begins with BEGIN."""
     begin = np.searchsorted(vocabulary.words, BEGIN)
-    for low in range(0, len(texts), 512):
-        hashes, size = word_hashes(texts.slice(low, 512))
+    for low in range(0, len(texts), TEXTS):
+        hashes, size = word_hashes(texts.slice(low, TEXTS))
         places = vocabulary.place(hashes)
         ends = np.cumsum(size)
         for i, (start, n) in enumerate(zip(ends - size, size)):
@@ -62,9 +64,10 @@ def learn_words(train: DataFrame, share: float) -> Vocabulary:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flag = batch.column("is_target").to_numpy(zero_copy_only=False).astype(bool)
-            hashes, size = word_hashes(batch.column("text"))
-            own = np.repeat(flag, size)
-            yield summed([(hashes, own.astype(np.int64), (~own).astype(np.int64))], "word")
+            for low in range(0, len(batch), TEXTS):
+                hashes, size = word_hashes(batch.column("text").slice(low, TEXTS))
+                own = np.repeat(flag[low:low + TEXTS], size)
+                yield summed([(hashes, own.astype(np.int64), (~own).astype(np.int64))], "word")
 
     counts = train.select("is_target", "text").mapInArrow(count, "word bigint, t bigint, b bigint").groupBy("word").agg(
         F.sum("t").alias("t"), F.sum("b").alias("b"))
@@ -91,7 +94,13 @@ def learn_pairs(train: DataFrame, vocabulary: Vocabulary, least: int) -> DataFra
         own = sent.value
         for batch in batches:
             flag = batch.column("is_target").to_numpy(zero_copy_only=False).astype(bool)
-            parts = [(pairs, n * flag[i], n * (not flag[i])) for i, _, pairs, n in pairs_of(batch.column("text"), own)]
+            parts, size = [], 0
+            for i, _, pairs, n in pairs_of(batch.column("text"), own):
+                parts.append((pairs, n * flag[i], n * (not flag[i])))
+                size += len(pairs)
+                if size >= PAIRS:
+                    yield summed(parts, "pair")
+                    parts, size = [], 0
             if parts:
                 yield summed(parts, "pair")
 
@@ -137,9 +146,12 @@ def score(docs: DataFrame, is_target: DataFrame, key: str = "doc_id", text: str
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
         after = [np.log(c + alpha * v) for c in (own.target, own.background)]
+        def rows(out: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["row", "pair", "n", "t0", "b0"])
+
         for batch in batches:
             ids = batch.column("row").to_numpy()
-            out = [[], [], [], [], []]
+            out, size = [[], [], [], [], []], 0
             for i, before, found, n in pairs_of(batch.column("text"), own):
                 # One more row per text, of a pair that no text has, holds what needs no lookup.
                 own_pair = -1 - int(mixed(ids[i:i + 1].view(np.uint64))[0] >> np.uint64(2))
@@ -150,8 +162,12 @@ def score(docs: DataFrame, is_target: DataFrame, key: str = "doc_id", text: str
                     extra = np.zeros(len(found) + 1)
                     extra[-1] = after[k][before].sum()
                     out[3 + k].append(extra)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["row", "pair", "n", "t0", "b0"])
+                size += len(found) + 1
+                if size >= PAIRS:
+                    yield rows(out)
+                    out, size = [[], [], [], [], []], 0
+            if size:
+                yield rows(out)
 
     numbered = read.withColumn("row", F.monotonically_increasing_id())
     looked = numbered.select("row", "text").mapInArrow(look, "row bigint, pair bigint, n bigint, t0 double, b0 double")
