@@ -172,7 +172,9 @@ def score(docs: DataFrame, is_target: DataFrame, key: str = "doc_id", text: str
     numbered = read.withColumn("row", F.monotonically_increasing_id())
     looked = numbered.select("row", "text").mapInArrow(look, "row bigint, pair bigint, n bigint, t0 double, b0 double")
     log = lambda c: F.log(F.coalesce(c, F.lit(0)) + F.lit(alpha)) * F.col("n")
-    sums = looked.join(pairs, "pair", "left").groupBy("row").agg(
+    # The pairs of the model are few beside those of all texts and stand once each, so each partition of theirs is
+    # held as a hash table and the texts' side, a hundred times as large, need not be sorted.
+    sums = looked.join(pairs.hint("shuffle_hash"), "pair", "left").groupBy("row").agg(
         F.sum("n").alias("n_tokens"), F.sum(F.col("t0") - log("t")).alias("lt"), F.sum(F.col("b0") - log("b")).alias("lb"))
     per = F.greatest("n_tokens", F.lit(1))
     keys = scratch.settle(numbered.select("row", "key"))
