@@ -92,3 +92,21 @@ def test_recommendations(spark):
     guess = items.select("item", F.lit(1.0).alias("prediction"))
     counts = spark.createDataFrame([(1, 30), (2, 24), (3, 25)], "item int, ratings long")
     assert [r["item"] for r in rc.report(guess, titles, counts).collect()] == [1, 3]
+
+
+def test_a_constant_guess_is_not_better_than_itself(spark):
+    from tidewright.catalog.models import constant_error, held_out
+
+    df = spark.createDataFrame([(float(i % 5 == 0),) for i in range(100)], "label double")
+
+    class Constant:
+        def transform(self, rows):
+            return rows.withColumn("prediction", F.lit(0.0))
+
+    class Perfect:
+        def transform(self, rows):
+            return rows.withColumn("prediction", F.col("label"))
+
+    assert abs(spark.range(1).select(constant_error(df)).first()[0] - 0.2) < 1e-12
+    assert held_out(Constant(), df, df).collect()[0][:] == (200, False)
+    assert held_out(Perfect(), df, df).collect()[0][:] == (200, True)

@@ -1,4 +1,4 @@
-"""A share of the registered queries against their SQL on the smallest tables.
+"""The registered queries against their SQL on the smallest tables; `-m slow` runs those that take longer.
 
 `python tools/check.py` does the same for all of them at any scale.
 """
@@ -13,7 +13,7 @@ import __spark_entry__ as se
 from tools.check import TABLES, plain
 
 FOLDER = "/root/testdata/sf0.001"
-QUICK = [n for n in se.queries() if re.match(r"(prj|flt|jn_0[1-8]|ag|win|srt|set|idx|fn|ev_0)", n)]
+QUICK = [n for n in se.catalog.QUERIES if re.match(r"(prj|flt|jn_0[1-8]|ag|win|srt|set|idx|fn|ev_0)", n)]
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +24,10 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", QUICK)
+REST = [n for n in se.catalog.QUERIES if n not in QUICK]
+
+
+@pytest.mark.parametrize("name", [*QUICK, *[pytest.param(n, marks=pytest.mark.slow) for n in REST]])
 def test_same_rows_as_sql(spark, duck, name):
     df = se.queries()[name](spark, FOLDER)
     cols = sorted(df.columns)

@@ -68,3 +68,25 @@ def test_lookup_defaults_and_not_in(spark):
     dim = spark.createDataFrame([(1, 7.0)], "k int, v double")
     assert Counter(rows(rel.lookup(df, dim, "k", {"v": 0.0}))) == Counter([(1, 7.0), (2, 0.0), (None, 0.0)])
     assert Counter(rows(rel.not_in(df, dim, ["k"]))) == Counter([(2,), (None,)])
+
+
+def test_large_samples_and_equal_rows(spark):
+    many = spark.range(300_000).select((F.col("id") % 3).alias("v"))
+    got = rel.take_sample(many, 100_000, seed=4)
+    assert got.count() == 100_000
+    assert all(30_000 < r["count"] < 37_000 for r in got.groupBy("v").count().collect())
+    assert rel.take_sample(spark.createDataFrame([(1,), (1,), (2,)], "v int"), 2).count() == 2
+
+
+def test_many_rows_of_a_hot_group(spark):
+    rows = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 50).alias("g"), "id")
+    got = rel.top_n_each(rows, 5000, ["g"], F.desc("id"))
+    hot = got.filter("g = -1")
+    assert hot.count() == 5000 and hot.agg(F.min("id")).first()[0] == 59_997 - 3 * 4999
+    assert sorted(r["rank"] for r in hot.select("rank").collect()) == list(range(1, 5001))
+
+
+def test_lookup_keeps_nulls_that_matched(spark):
+    left = spark.createDataFrame([(1,), (2,)], "k int")
+    dim = spark.createDataFrame([(1, None)], "k int, v int")
+    assert sorted(map(tuple, rel.lookup(left, dim, "k", {"v": 9}).collect())) == [(1, None), (2, 9)]

@@ -51,18 +51,25 @@ def bag_subtract(df: DataFrame, other: DataFrame) -> DataFrame:
 
 
 def top_n(df: DataFrame, n: int, *order: Column) -> DataFrame:
-    """The first n rows by `order`: every task keeps its best n, only those are merged."""
+    """The first n rows by `order`, for reports: every task keeps its best n and one task merges them, so n
+    should be a number of rows that a reader looks at. For large n, filter a `dense_index`."""
     return df.orderBy(*order).limit(n)
 
 
 def top_n_each(df: DataFrame, n: int, by: Sequence[str], *order: Column,
-               rank: str = "rank") -> DataFrame:
-    """The first n rows of every group, numbered from 1.
+               rank: str = "rank", lanes: int = 32) -> DataFrame:
+    """The first n rows of every group, numbered from 1. `order` should be unique within a group.
 
-    The rank filter is applied before the shuffle too, so each map task sends at most n
-    rows per group and a hot group does not pile up.
+    Up to `spark.sql.optimizer.windowGroupLimitThreshold` rows, Spark itself drops what can't be among the
+    first n before the shuffle. Beyond it, each group is first ranked in `lanes` parts, so a group of a third of
+    all rows is sorted by many tasks and at most n rows of each part meet in one.
     """
     w = Window.partitionBy(*by).orderBy(*order)
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n > limit:
+        parts = df.withColumn("_lane", F.pmod(F.xxhash64(*df.columns), F.lit(lanes)))
+        inside = Window.partitionBy(*by, "_lane").orderBy(*order)
+        df = parts.withColumn("_rank", F.row_number().over(inside)).filter(F.col("_rank") <= n).drop("_lane", "_rank")
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
 
 
@@ -128,15 +135,20 @@ def take_sample(df: DataFrame, n: int, with_replacement: bool = False, seed: int
                 key: Sequence[str] | None = None) -> DataFrame:
     """Exactly n sampled rows (all rows if there are fewer and none may repeat).
 
-    Without replacement: the n smallest hashes of `key` (all columns by default). With
-    replacement: n drawn positions joined to the numbered table; the draws are grouped
-    first, so a position drawn often is joined once.
+    Rows stand in the order of a hash of `key`; without one, of all columns and of the number of the row among its
+    equals, so that equal rows are drawn apart. Without replacement: the first n. With replacement: n drawn
+    positions joined to the numbered table; the draws are grouped first, so a position drawn often is joined once.
+    Positions come from ranges, whatever n is; nothing is gathered in one task.
     """
-    mark = F.xxhash64(F.lit(seed), *(key or df.columns))
+    rows, names = df, list(key or df.columns)
+    if key is None:
+        rows = df.groupBy(*df.columns).agg(F.count("*").alias("_equal")).select(
+            *df.columns, F.explode(F.sequence(F.lit(1), F.col("_equal").cast("int"))).alias("_same"))
+        names = [*names, "_same"]
+    numbered = dense_index(rows.withColumn("_mark", F.xxhash64(F.lit(seed), *names)), F.col("_mark"),
+                           *map(F.col, names), name="_at").drop("_mark", "_same")
     if not with_replacement:
-        return top_n(df.withColumn("_mark", mark), n, F.col("_mark")).drop("_mark")
-    numbered = dense_index(df.withColumn("_mark", mark), F.col("_mark"),
-                           *map(F.col, key or df.columns), name="_at").drop("_mark")
+        return numbered.filter(F.col("_at") < n).drop("_at")
     size = numbered.count()
     if size == 0:
         return numbered.drop("_at")
