@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.session import Scratch
+
 UNKNOWN = "und"
 #: A filter holds the n-grams that are at least this share of a language's, so at most 1 / SHARE of them.
 SHARE = 1e-5
@@ -134,14 +136,16 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", share: float
     """
     known = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    counts = known.mapInPandas(count_grams, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(
-        F.sum("n").alias("n"))
+    scratch = Scratch(docs.sparkSession)
+    counts = scratch.settle(known.mapInPandas(count_grams, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(
+        F.sum("n").alias("n")))
     rows = counts.groupBy("lang").agg(F.sum("n").alias("all"))
     totals = {r["lang"]: r["all"] for r in rows.collect()}  # one row per language
     langs = sorted(totals)
     least = F.element_at(F.create_map(*[x for l in langs for x in (F.lit(l), F.lit(float(totals[l]) * share))]),
                          F.col("lang")) if langs else F.lit(0.0)
     kept = counts.filter((F.col("n") >= least) & (F.col("n") >= 2)).select("lang", "gram").toPandas()
+    scratch.drop(counts)
     words = [np.zeros(slots, np.uint64) for _ in range(-(-len(langs) // 64))]
     rate = np.zeros(len(langs))
     for i, name in enumerate(langs):
