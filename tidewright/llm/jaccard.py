@@ -192,10 +192,12 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         named = scratch.settle(components(links.union(more), scratch))
     classes = scratch.settle(same.join(named.withColumnRenamed("node", "rep"), "rep", "left").select(
         *group, F.coalesce("component", "rep").alias("component_id")))
-    out = table.drop("prefix", "sieve").join(classes, group, "left").select(
+    # What the result reads is small and stays; the rest goes with the other tables.
+    sized = scratch.settle(table.drop("prefix", "sieve"))
+    out = sized.join(classes, group, "left").select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
-    scratch.keep(table, classes)
+    scratch.keep(sized, classes)
     scratch.drop(*[df for df, _ in list(scratch.tables.values())])
     return out
 
