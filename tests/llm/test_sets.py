@@ -62,8 +62,9 @@ def near_rows(seed):
     return list(enumerate(rows)) + [(900, None), (901, ""), (902, " \n"), (903, rows[0]), (903, rows[0]), (None, rows[1])]
 
 
-@pytest.mark.parametrize("k,percent", [(3, 90), (5, 80)])
-def test_jaccard_as_brute_force(spark, k, percent):
+@pytest.mark.parametrize("k,percent,heavy", [(3, 90, 64), (5, 80, 2), (3, 70, 1)])
+def test_jaccard_as_brute_force(spark, monkeypatch, k, percent, heavy):
+    monkeypatch.setattr(jaccard, "HEAVY", heavy)
     rows = near_rows(k)
     df = spark.createDataFrame([(i, t, "s", "x") for i, t in rows], DOCS)
     got = jaccard.jaccard_components(df, words=k, percent=percent).collect()

@@ -22,7 +22,9 @@ SUBSET = 2
 #: What a posting that is scanned costs, in subsets that are enumerated.
 SCAN_COST = 6
 #: Counters of the frequency sketch that orders shingles; of fixed size for any corpus.
-SKETCH = 1 << 16
+SKETCH = 1 << 18
+#: An inverted list of more members that are not all in one group is heavy.
+HEAVY = 64
 #: Counters by which pairs are sifted before their sets are read.
 SIEVE = 256
 
@@ -100,25 +102,43 @@ def shingle_table(docs: DataFrame, words: int, percent: int, counts: np.ndarray)
     return docs.mapInArrow(describe, "id bigint, n bigint, sig bigint, sig2 bigint, prefix binary, sieve binary")
 
 
+def subsets(own: np.ndarray) -> np.ndarray:
+    """Even keys of all subsets of SUBSET elements."""
+    a, b = np.triu_indices(len(own), 1)
+    return mixed(mixed(own[a]) + own[b]) & ~np.uint64(1)
+
+
+def heavy_subsets(rows: DataFrame) -> DataFrame:
+    """(key, id): the subsets of the heavy shingles of each document, from rows (id, keys) in key order."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, len(batch), 512):
+                ids = batch.column("id").slice(low, 512).to_pylist()
+                keys = [subsets(np.array(k, np.int64).view(np.uint64)) for k in batch.column("keys").slice(low, 512).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(ids, [len(k) for k in keys]))], ["key", "id"])
+
+    return rows.mapInArrow(spread, "key bigint, id bigint")
+
+
 def postings(reps: DataFrame, percent: int, limit: int) -> DataFrame:
-    """(key, id): for small sets one row per subset of SUBSET prefix shingles, for large ones (and their possible
-    partners) one per prefix shingle."""
+    """(key, id): for small sets one row per subset of SUBSET prefix shingles (even keys), for large ones (and their
+    possible partners) one per prefix shingle (odd keys). Both prefixes are those in which similar sets share SUBSET."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, ids, room = [], [], 0
             for i, n, raw in zip(batch.column("id").to_pylist(), batch.column("n").to_pylist(), batch.column("prefix").to_pylist()):
                 own = np.frombuffer(raw, np.uint64)
-                p = int(reach(n, percent))
                 if n < limit and len(own) >= SUBSET:
-                    a, b = np.triu_indices(len(own), 1)
-                    keys.append(mixed(mixed(own[a]) + own[b]))
-                    ids.append(np.full(len(a), i))
-                    room += len(a)
+                    keys.append(subsets(own))
+                    ids.append(np.full(len(keys[-1]), i))
+                    room += len(keys[-1])
                 if n * 100 >= limit * percent:
-                    keys.append(mixed(own[:p] ^ np.uint64(0x2545F4914F6CDD1D)))
-                    ids.append(np.full(len(own[:p]), i))
-                    room += p
+                    keys.append(mixed(own ^ np.uint64(0x2545F4914F6CDD1D)) | np.uint64(1))
+                    ids.append(np.full(len(own), i))
+                    room += len(own)
                 if room > 500_000:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids))], ["key", "id"])
                     keys, ids, room = [], [], 0
@@ -155,7 +175,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     Equal sets are first brought to one. Shingles stand in one order, seldom ones first, and similar sets share
     SUBSET shingles among the first of both. Small sets enumerate these subsets, large sets scan inverted
-    lists of single shingles, and the boundary between them is the one of least cost for the sizes at hand.
+    lists of single shingles, and the boundary between them is the one of least cost for the sizes at hand. Where a list
+    is long, large sets enumerate subsets of such shingles too (`cross_pairs`).
     Each key links its members to its smallest one, and each document is compared with the first of those that its size and
     counters (`sifted`) leave; what passes an exact count forms groups.
     Only keys that still join different groups compare the rest, so a group of near copies is a star and never
@@ -165,6 +186,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     rows that repeat a key count as one document for links; an empty table gives an empty result; other columns
     are not looked at.
     """
+    if not 50 < percent <= 100:
+        raise ValueError("percent must be over 50, so that similar sets that differ share two shingles")
     scratch = Scratch(docs.sparkSession)
     read = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     table = scratch.settle(shingle_table(read, words, percent, sketch(read, words)))
@@ -174,7 +197,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     reps = scratch.settle(filled.join(same, [*group], "inner").filter("id = rep").select("id", "n", "prefix", "sieve").dropDuplicates(["id", "n"]))
     sizes = {r["n"]: r["count"] for r in reps.groupBy("n").count().collect()}  # one row per size of a set
     index = scratch.settle(postings(reps, percent, boundary(sizes, percent)))
-    lists = index.groupBy("key").agg(F.count("*").alias("c"), F.min("id").alias("lead")).filter("c > 1").drop("c")
+    lists = index.groupBy("key").agg(F.count("*").alias("c"), F.min("id").alias("lead")).filter("c > 1")
     shared = scratch.settle(index.join(lists, "key"))
     scratch.drop(index)
     leads = shared.filter("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
@@ -225,15 +248,37 @@ def sifted(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
 
 def cross_pairs(shared: DataFrame, named: DataFrame, reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Pairs of one key that are in different groups, once each."""
-    grouped = shared.select("key", "id").join(named.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("g")).join(reps.select("id", "n"), "id")
-    torn = grouped.groupBy("key").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low < high").select("key")
-    open_ = scratch.settle(grouped.join(torn, "key", "left_semi"))
+    """Pairs (a, b) of one key that are in different groups, once each.
+
+    A heavy list is not paired: similar sets share SUBSET prefix shingles, so either one of these has a light
+    list, which finds them, or all are heavy, and a subset of the heavy shingles finds them. Pairs from lists
+    of at most HEAVY members grow in proportion to the documents.
+    """
+    group = reps.select("id", "n").join(named.withColumnRenamed("node", "id"), "id", "left").select(
+        "id", "n", F.coalesce("component", "id").alias("g"))
+
+    def torn(rows: DataFrame) -> DataFrame:
+        """Rows (key, id, n, g, ...) of keys that stand in two groups or more."""
+        known = scratch.settle(rows.join(group, "id"))
+        keys = known.groupBy("key").agg(F.min("g").alias("low"), F.max("g").alias("high"), F.count("*").alias("c")).filter("low < high")
+        out = scratch.settle(known.join(keys.select("key", "c"), "key"))
+        scratch.drop(known)
+        return out
+
+    first = torn(shared.select("key", "id"))
+    heavy = (F.col("c") > HEAVY) & (F.col("key").bitwiseAND(1) == 1)
+    held = first.filter(heavy).groupBy("id").agg(F.sort_array(F.collect_list("key")).alias("keys")).filter(F.size("keys") >= SUBSET)
+    index = scratch.settle(heavy_subsets(held))
+    lists = index.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key")
+    second = torn(index.join(lists, "key"))
+    scratch.drop(index)
+    open_ = first.filter(~heavy).drop("c").unionByName(second.drop("c"))
     a, b = open_.alias("a"), open_.alias("b")
-    return a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.g") != F.col("b.g"))
-                  & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent)).select(
-        F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    pairs = scratch.settle(a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.g") != F.col("b.g"))
+                                  & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent)).select(
+        F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
+    scratch.drop(first, second)
+    return pairs
 
 
 def shingle_store(docs: DataFrame, pairs: DataFrame, scratch: Scratch, words: int) -> DataFrame:
