@@ -192,21 +192,20 @@ def test_scores_as_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in docs.collect()] + [(7000, None), (7001, ""), (7002, "never seen words")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     good = {r.doc_id for r in spark.read.parquet(f"{FOLDER}/labels.parquet").filter("quality = 1").collect()}
-    size = {i: len(brute_pairs(t)) for i, t in rows}
-    drawn = min(1.0, sum(size[i] for i in good if i in size) / sum(n for i, n in size.items() if i not in good))
+    size = {i: len((t or "").encode()) for i, t in rows}
+    drawn = min(1.0, sum(size[i] for i in good if i in size) / sum(size.values()))
     place = {r.doc_id: r.p for r in df.select("doc_id", (F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(1 << 30)) / float(1 << 30)).alias("p")).collect()}
-    sample = {i for i in size if i in good or place[i] < drawn}
-    count = collections.Counter(w for i, t in rows if i in sample for _, w in brute_pairs(t))
+    sample = [(True, t) for i, t in rows if i in good] + [(False, t) for i, t in rows if place[i] < drawn]
+    count = collections.Counter(w for _, t in sample for _, w in brute_pairs(t))
     total = sum(count.values())
     words = {w for w, n in count.items() if n >= max(2, 1e-6 * total)}
     code = lambda w: w if w in words or w == "<s>" else "<unk>"
     pair, before, v = ({True: collections.Counter(), False: collections.Counter()} for _ in range(3))
-    for i, t in rows:
-        if i in sample:
-            own = [(code(a), code(b)) for a, b in brute_pairs(t)]
-            pair[i in good].update(own)
-            before[i in good].update(b for _, b in own)
-            before[i in good]["<s>"] += 1
+    for flag, t in sample:
+        own = [(code(a), code(b)) for a, b in brute_pairs(t)]
+        pair[flag].update(own)
+        before[flag].update(b for _, b in own)
+        before[flag]["<s>"] += 1
     v = len(words) + 2
     got = {r.doc_id: r for r in scoring.score(df, spark.createDataFrame([(i,) for i in good], "doc_id bigint")).collect()}
     assert len(got) == len(rows)

@@ -113,7 +113,7 @@ def score(docs: DataFrame, is_target: DataFrame, key: str = "doc_id", text: str
     """(key, n_tokens, loss_target, loss_background, loss_difference) per row of `docs`.
 
     Two models of word pairs are learned: from all documents whose key is in `is_target`, and from a background
-    drawn by hash from the others, of about as many words. They share the vocabulary and the smoothing: after a word h the
+    drawn by hash of the key from all documents, of about as many bytes. They share the vocabulary and the smoothing: after a word h the
     chance of w is (count(h w) + alpha) / (count(h) + alpha * V). A loss is the mean of -log over the text's
     words; the difference, target less background, is low for texts like the target's.
 
@@ -127,16 +127,15 @@ def score(docs: DataFrame, is_target: DataFrame, key: str = "doc_id", text: str
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    wanted = is_target.select(F.col(key).alias("of")).filter("of IS NOT NULL").distinct()
+    wanted = is_target.select(F.col(key).alias("of")).filter("of IS NOT NULL")
     read = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    sizes = read.select("key", word_count("text").alias("n")).join(wanted, F.col("key") == F.col("of"), "left").groupBy(
-        F.col("of").isNotNull().alias("is_target")).agg(F.sum("n").alias("n")).collect()
-    words = {r["is_target"]: r["n"] for r in sizes}
-    drawn = min(1.0, words.get(True, 0) / max(1, words.get(False, 0)))
+    # Only texts of the target move: Spark sifts the documents by a filter of the keys wanted before the join.
+    target = read.join(wanted, F.col("key") == F.col("of"), "left_semi")
+    volume = F.coalesce(F.sum(F.octet_length("text")), F.lit(0))
+    drawn = min(1.0, target.agg(volume).first()[0] / max(1, read.agg(volume).first()[0]))
     place: Column = F.pmod(F.xxhash64(F.lit(17), "key"), F.lit(1 << 30)) / float(1 << 30)
-    train = scratch.settle(read.join(wanted, F.col("key") == F.col("of"), "left").select(
-        F.col("of").isNotNull().alias("is_target"), "text", place.alias("place")).filter(
-        F.col("is_target") | (F.col("place") < drawn)).drop("place"))
+    train = scratch.settle(target.select(F.lit(True).alias("is_target"), "text").union(
+        read.filter(place < drawn).select(F.lit(False).alias("is_target"), "text")))
     vocabulary = learn_words(train, share)
     pairs = scratch.settle(learn_pairs(train, vocabulary, least))
     scratch.drop(train)
