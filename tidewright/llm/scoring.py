@@ -10,7 +10,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import word_count
 from tidewright.llm.wordhash import mixed, word_hashes
 from tidewright.session import Scratch
 
@@ -69,19 +68,18 @@ def learn_words(train: DataFrame, share: float) -> Vocabulary:
                 own = np.repeat(flag[low:low + TEXTS], size)
                 yield summed([(hashes, own.astype(np.int64), (~own).astype(np.int64))], "word")
 
-    counts = train.select("is_target", "text").mapInArrow(count, "word bigint, t bigint, b bigint").groupBy("word").agg(
-        F.sum("t").alias("t"), F.sum("b").alias("b"))
-    texts = train.groupBy("is_target").count().collect()
-    total = train.agg(F.sum(word_count("text"))).first()[0] or 0
-    rows = counts.filter(F.col("t") + F.col("b") >= max(2.0, share * total)).toPandas()  # at most 1 / share
+    scratch = Scratch(train.sparkSession)
+    counts = scratch.settle(train.select("is_target", "text").mapInArrow(count, "word bigint, t bigint, b bigint").groupBy(
+        "word").agg(F.sum("t").alias("t"), F.sum("b").alias("b")))
+    sums = counts.agg(F.coalesce(F.sum("t"), F.lit(0)).alias("t"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
+    texts = {r["is_target"]: r["count"] for r in train.groupBy("is_target").count().collect()}
+    rows = counts.filter(F.col("t") + F.col("b") >= max(2.0, share * (sums["t"] + sums["b"]))).toPandas()  # at most 1 / share
+    scratch.drop(counts)
     words = rows["word"].to_numpy(np.int64).view(np.uint64)
     t, b = rows["t"].to_numpy(np.int64), rows["b"].to_numpy(np.int64)
-    by_flag = {r["is_target"]: r["count"] for r in texts}
     words = np.concatenate([words, np.array([UNKNOWN, BEGIN])])
-    all_words = train.groupBy("is_target").agg(F.sum(word_count("text")).alias("n")).collect()
-    rest = {r["is_target"]: r["n"] or 0 for r in all_words}
-    t = np.concatenate([t, [max(rest.get(True, 0) - t.sum(), 0), by_flag.get(True, 0)]])
-    b = np.concatenate([b, [max(rest.get(False, 0) - b.sum(), 0), by_flag.get(False, 0)]])
+    t = np.concatenate([t, [sums["t"] - t.sum(), texts.get(True, 0)]])
+    b = np.concatenate([b, [sums["b"] - b.sum(), texts.get(False, 0)]])
     order = np.argsort(words)
     return Vocabulary(words[order], t[order], b[order])
 
