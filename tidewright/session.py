@@ -21,6 +21,9 @@ RUNTIME_SETTINGS = {
     # Zone-less Parquet timestamps load as instants, so watermarks accept them and
     # filters on them still reach the scan (a cast in the plan would block both).
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
+    # A shuffled join with a small filtered side sifts the large side by a filter of its keys first,
+    # from this size of scan on.
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "32MB",
 }
 #: Settings of the context: checkpoints go when nothing refers to them any more.
 CONTEXT_SETTINGS = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
