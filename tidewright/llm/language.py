@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.llm.common import free_name
 from tidewright.session import Scratch
 
 UNKNOWN = "und"
@@ -171,15 +172,16 @@ def predict(docs: DataFrame, filters: Filters, text: str = "text", keep: list[Co
     sent = spark.sparkContext.broadcast(filters)
     columns = keep if keep is not None else [F.col(f"`{c}`") for c in docs.columns
                                              if c.lower() not in ("lang_pred", "score", "margin")]
-    named = docs.select(*columns, F.col(text).alias("_text_read"))
-    schema = named.drop("_text_read").schema
+    read = free_name(docs, "_text_read")
+    named = docs.select(*columns, F.col(text).alias(read))
+    schema = named.drop(read).schema
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = sent.value
         for batch in batches:
             n = len(batch)
             found, size = np.zeros((n, max(1, len(own.langs)))), np.zeros(n)
-            for owner, keys in grams(batch["_text_read"].fillna("").tolist()):
+            for owner, keys in grams(batch[read].fillna("").tolist()):
                 size += np.bincount(owner, minlength=n)
                 if own.langs:
                     found += own.hits(keys, owner, n)
@@ -191,7 +193,7 @@ def predict(docs: DataFrame, filters: Filters, text: str = "text", keep: list[Co
             rest = part.copy()
             rest[np.arange(n), best] = 0
             known = (size > 0) & bool(own.langs)
-            out = batch.drop(columns="_text_read")
+            out = batch.drop(columns=read)
             out["lang_pred"] = np.where(known, np.array(own.langs or [UNKNOWN], dtype=object)[best], UNKNOWN)
             out["score"] = np.where(known, np.minimum(score, 1.0), 0.0)
             out["margin"] = np.where(known, score - rest.max(1), 0.0)

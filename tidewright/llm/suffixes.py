@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewright.llm.common import free_name
 from tidewright.session import Scratch
 
 #: A repeat has this many bytes at least.
@@ -346,24 +347,24 @@ def remove_repeats(docs: DataFrame, text: str = "text", keep: list[Column] | Non
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
     read = docs.select(F.xxhash64(F.col(key), F.col(text)).alias("uid"), data.alias("bytes"))
     spans = stretches(read, scratch, batches, length, seed, crowd)
-    named = docs.select(*columns, F.xxhash64(F.col(key), F.col(text)).alias("_uid_read"), data.alias("_bytes_read"))
-    both = named.join(spans.withColumnRenamed("uid", "_uid_of").withColumnRenamed("spans", "_spans_of"),
-                      F.col("_uid_read") == F.col("_uid_of"), "left").drop("_uid_read", "_uid_of")
-    schema = both.drop("_bytes_read", "_spans_of").schema
+    uid, raw_bytes, of, found = (free_name(docs, x) for x in ("_uid_read", "_bytes_read", "_uid_of", "_spans_of"))
+    named = docs.select(*columns, F.xxhash64(F.col(key), F.col(text)).alias(uid), data.alias(raw_bytes))
+    both = named.join(spans.withColumnsRenamed({"uid": of, "spans": found}), F.col(uid) == F.col(of), "left").drop(uid, of)
+    schema = both.drop(raw_bytes, found).schema
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for low in range(0, len(batch), 500):
                 part = batch.iloc[low:low + 500]
-                cuts = [joined(s) if s is not None else [] for s in part["_spans_of"]]
+                cuts = [joined(s) if s is not None else [] for s in part[found]]
                 kept = []
-                for raw, cut in zip(part["_bytes_read"], cuts):
+                for raw, cut in zip(part[raw_bytes], cuts):
                     ends = [0, *[x for c in cut for x in c], len(raw)]
                     kept.append(b"".join(raw[ends[i]:ends[i + 1]] for i in range(0, len(ends), 2)))
-                out = part.drop(columns=["_bytes_read", "_spans_of"])
+                out = part.drop(columns=[raw_bytes, found])
                 out["kept_bytes"] = kept
                 out["spans"] = [[{"start": a, "stop": b} for a, b in c] for c in cuts]
-                out["n_bytes"] = [len(raw) for raw in part["_bytes_read"]]
+                out["n_bytes"] = [len(raw) for raw in part[raw_bytes]]
                 out["n_removed"] = out["n_bytes"] - [len(k) for k in kept]
                 out["n_spans"] = [len(c) for c in cuts]
                 yield out
