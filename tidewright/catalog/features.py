@@ -314,24 +314,39 @@ def _(spark, t):
     return cells(fe.slice_vector(named, "features", "y", indices=[1, 5], names=["f63"]), "y")
 
 
+def word_arrays(model):
+    return model.getVectors().select("word", vector_to_array("vector").alias("u"))
+
+
 @query("fe_27_word_vectors_of_documents", """
-SELECT count(*) AS n_docs, TRUE AS three_wide, TRUE AS all_finite FROM documents""")
+SELECT doc_id, TRUE AS is_mean_of_its_words FROM documents""")
 def _(spark, t):
-    out, _ = fe.embed_words(doc_words(t), "words", "v")
-    v = out.select(vector_to_array("v").alias("v"))
-    return v.agg(F.count("*").alias("n_docs"), F.every(F.size("v") == 3).alias("three_wide"),
-                 F.every(F.forall("v", lambda x: ~F.isnan(x))).alias("all_finite"))
+    docs = doc_words(t)
+    out, model = fe.embed_words(docs, "words", "v")
+    parts = docs.select("doc_id", F.size("words").alias("n"), F.explode("words").alias("word")).join(word_arrays(model), "word")
+    means = parts.select("doc_id", "n", F.posexplode("u").alias("pos", "x")).groupBy("doc_id", "pos").agg(
+        (F.sum("x") / F.max("n")).alias("mean"))
+    got = out.select("doc_id", F.posexplode(vector_to_array("v")).alias("pos", "x"))
+    both = got.join(means, ["doc_id", "pos"], "left").withColumn("off", F.abs(F.col("x") - F.coalesce("mean", F.lit(0.0))))
+    return both.groupBy("doc_id").agg(F.every(F.col("off") < 1e-5).alias("is_mean_of_its_words"))
 
 
 @query("fe_28_near_words", """
-SELECT CAST(40 AS BIGINT) AS n, TRUE AS at_most_one, CAST(0 AS BIGINT) AS same_word, CAST(40 AS BIGINT) AS known""")
+SELECT CAST(40 AS BIGINT) AS n, TRUE AS cosines_agree, TRUE AS none_nearer, CAST(0 AS BIGINT) AS same_word""")
 def _(spark, t):
     _, model = fe.embed_words(doc_words(t), "words", "v")
     near = model.findSynonyms("the", 40)
-    w = near.join(model.getVectors().select("word").distinct(), "word", "left_semi")
-    return near.agg(F.count("*").alias("n"), (F.max("similarity") <= 1.000001).alias("at_most_one"),
-                    F.count_if(F.col("word") == "the").alias("same_word"),
-                    w.agg(F.count("*")).scalar().alias("known"))
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    u = word_arrays(model)
+    the = u.filter("word = 'the'").select(F.col("u").alias("v"))
+    others = u.filter("word <> 'the'").select("word", "u", the.scalar().alias("v")).select(
+        "word", (dot("u", "v") / F.sqrt(dot("u", "u") * dot("v", "v"))).alias("cosine"))
+    both = others.join(near, "word", "left")
+    listed = F.col("similarity").isNotNull()
+    return both.agg(
+        F.count_if(listed).alias("n"), F.every(F.coalesce(F.abs(F.col("similarity") - F.col("cosine")) < 1e-4, F.lit(True))).alias("cosines_agree"),
+        (F.min("similarity") >= F.max(F.when(~listed, F.col("cosine"))) - 1e-4).alias("none_nearer"),
+        near.filter("word = 'the'").agg(F.count("*")).scalar().alias("same_word"))
 
 
 @query("fe_29_bias_term", f"""

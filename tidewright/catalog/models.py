@@ -299,17 +299,15 @@ def _(spark, t):
 
 
 @query("km_04_power_iteration", """
-SELECT count(*) AS nodes, TRUE AS two_groups FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM customer)""")
-def _(spark, t):
-    c = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("a"))
-    s = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("b"))
-    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    sides = t.lineitem.select("l_orderkey", "l_suppkey").join(o, "l_orderkey").join(c, "o_custkey").join(s, "l_suppkey")
-    edges = (sides.filter("a <> b").groupBy(F.least("a", "b").cast("bigint").alias("src"),
-                                            F.greatest("a", "b").cast("bigint").alias("dst"))
-             .agg(F.count("*").cast("double").alias("similarity")))
-    groups = md.power_iteration_groups(edges, 2, 10)
-    return groups.agg(F.count("*").alias("nodes"), (F.count_distinct("cluster") <= 2).alias("two_groups"))
+SELECT n_nationkey AS id, n_nationkey % 2 = 0 AS with_the_first FROM nation""")
+def _(spark, t):
+    # Two planted groups: nations of even and of odd number, tied strongly inside and weakly across.
+    n = t.nation.select(F.col("n_nationkey").cast("bigint").alias("src"))
+    pairs = n.join(n.select(F.col("src").alias("dst")), F.col("src") < F.col("dst"))
+    tie = F.when(F.col("src") % 2 == F.col("dst") % 2, 1.0).otherwise(0.01)
+    groups = md.power_iteration_groups(pairs.withColumn("similarity", tie), 2, 30)
+    first = groups.filter("id = 0").select("cluster").scalar()
+    return groups.select(F.col("id").cast("int").alias("id"), (F.col("cluster") == first).alias("with_the_first"))
 
 
 # ---- recommendation -------------------------------------------------------------------
