@@ -89,6 +89,12 @@ def test_words_of_many_texts():
     assert hashes == alone and len(hashes) > 3000
 
 
+def test_few_words():
+    for k in (1, 3, 5):
+        for texts in (["a"], ["a b", None], ["a b c d"], [""]):
+            assert [len(x) for x in wordhash.shingle_sets(pa.array(texts, pa.string()), k)] == [len(shingles(t, k)) for t in texts]
+
+
 def test_words_of_long_texts():
     r = random.Random(8)
     words = ["".join(r.choice("abXYé") for _ in range(r.randrange(1, 9))) for _ in range(60_000)] + ["Q" * (wordhash.BLOCK + 5), "end"]

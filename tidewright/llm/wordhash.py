@@ -115,7 +115,7 @@ def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
         rolled = np.zeros(len(hashes), np.uint64)
         for k in range(words):
             moved = np.zeros_like(hashes)
-            moved[:len(hashes) - k] = hashes[k:]
+            moved[:max(0, len(hashes) - k)] = hashes[k:]
             rolled = (rolled ^ (rolled >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + moved
         rolled = mixed(rolled)
         for start, n in zip((ends - size).tolist(), size.tolist()):
