@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,40 +23,57 @@ SUBSET = 2
 #: What a posting that is scanned costs, in subsets that are enumerated.
 SCAN_COST = 6
 #: Counters of the frequency sketch that orders shingles; of fixed size for any corpus.
-SKETCH = 1 << 18
+SKETCH, STRIP, LANES = 1 << 22, 1 << 16, 16
 #: An inverted list of more members that are not all in one group is heavy.
-HEAVY = 64
+HEAVY = 16
 #: Counters by which pairs are sifted before their sets are read.
 SIEVE = 256
 
 
 def sketch(docs: DataFrame, words: int) -> np.ndarray:
-    """How often shingles fall in each of SKETCH counters, over all texts (summed in tasks first)."""
+    """Frequency class of each of SKETCH counters, over the shingles of all texts.
+
+    Every task adds up its own counters and sends them in compressed strips; strips are added as they come, first in
+    LANES lanes and then all, so a task holds its strips once however many tasks sent some.
+    """
+
+    def rows(strips: dict[int, np.ndarray], lane: int) -> Iterator[pa.RecordBatch]:
+        for strip, counts in strips.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([strip], pa.int32()), pa.array([lane], pa.int32()),
+                 pa.array([pa.compress(counts.tobytes(), codec="zstd", asbytes=True)], pa.binary())], ["strip", "lane", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SKETCH, np.int64)
         for batch in batches:
-            held, size = [], 0
-            for own in shingle_sets(batch.column("text"), words):
-                held.append(own)
-                size += len(own)
-                if size >= SKETCH:
-                    total += np.bincount((np.concatenate(held) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-                    held, size = [], 0
-            if held:
-                total += np.bincount((np.concatenate(held) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
-
-    rows = docs.select("text").mapInArrow(count, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    total = np.zeros(SKETCH, np.int64)
-    total[rows["at"].to_numpy(np.int64)] = rows["n"]
-    return total
+            for low in range(0, len(batch), 1024):
+                held = [own for own in shingle_sets(batch.column("text").slice(low, 1024), words) if len(own)]
+                if held:
+                    at, n = np.unique(np.concatenate(held) & np.uint64(SKETCH - 1), return_counts=True)
+                    total[at.astype(np.int64)] += n
+        yield from rows({i: total[i * STRIP:(i + 1) * STRIP] for i in range(SKETCH // STRIP)},
+                        TaskContext.get().partitionId() % LANES)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        strips: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for strip, raw in zip(batch.column("strip").to_pylist(), batch.column("counts").to_pylist()):
+                own = np.frombuffer(pa.decompress(raw, decompressed_size=8 * STRIP, codec="zstd", asbytes=True), np.int64)
+                strips[strip] = strips[strip] + own if strip in strips else own
+        yield from rows(strips, 0)
+
+    kind = "strip int, lane int, counts binary"
+    sums = docs.select("text").mapInArrow(count, kind).repartition("strip", "lane").mapInArrow(add, kind)
+    classes = np.zeros(SKETCH, np.uint8)
+    for row in sums.repartition("strip").mapInArrow(add, kind).collect():  # SKETCH counters, compressed
+        counts = np.frombuffer(pa.decompress(row["counts"], decompressed_size=8 * STRIP, codec="zstd", asbytes=True), np.int64)
+        classes[row["strip"] * STRIP:(row["strip"] + 1) * STRIP] = np.minimum(2 * np.log2(1 + counts), 63).astype(np.uint8)
+    return classes
 
 
 def ordered(own: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """The shingles in one order for all documents: seldom ones first, by class of the counter, then by hash."""
-    rank = classes[(own & np.uint64(SKETCH - 1)).astype(np.int64)]
+    rank = classes[(own & np.uint64(SKETCH - 1)).astype(np.int64)].astype(np.uint64)
     return np.sort((rank << np.uint64(58)) | (own >> np.uint64(6)))
 
 
@@ -79,10 +97,10 @@ def boundary(sizes: dict[int, int], percent: int) -> int:
     return int(limits[np.argmin(subsets[np.arange(len(limits))] + postings[-1] - postings[large])])
 
 
-def shingle_table(docs: DataFrame, words: int, percent: int, counts: np.ndarray) -> DataFrame:
+def shingle_table(docs: DataFrame, words: int, percent: int, classes: np.ndarray) -> DataFrame:
     """(id, n, sig, sig2, prefix, sieve): size, 128-bit digest and least common shingles of every document's set, and
     how many of its shingles fall in each of SIEVE counters."""
-    classes = np.minimum(np.log2(np.maximum(counts, 1) / max(1.0, float(np.median(counts)))).clip(0) * 2, 63).astype(np.uint64)
+    sent = docs.sparkSession.sparkContext.broadcast(classes)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,7 +110,7 @@ def shingle_table(docs: DataFrame, words: int, percent: int, counts: np.ndarray)
                 sig.append(int(mixed(own).sum(dtype=np.uint64)))
                 sig2.append(int(mixed(own ^ np.uint64(0xA0761D6478BD642F)).sum(dtype=np.uint64)))
                 keep = reach(len(own), percent) + SUBSET - 1 if len(own) else 0
-                prefix.append(ordered(own, classes)[:keep].tobytes())
+                prefix.append(ordered(own, sent.value)[:keep].tobytes())
                 sieve.append(np.bincount((own >> np.uint64(56)).astype(np.int64), minlength=SIEVE).astype(np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays([
                 batch.column("id"), pa.array(n, pa.int64()), pa.array(np.array(sig, np.uint64).view(np.int64)),
