@@ -129,8 +129,10 @@ def score(docs: DataFrame, is_target: DataFrame, key: str = "doc_id", text: str
     read = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # Only texts of the target move: Spark sifts the documents by a filter of the keys wanted before the join.
     target = read.join(wanted, F.col("key") == F.col("of"), "left_semi")
-    volume = F.coalesce(F.sum(F.octet_length("text")), F.lit(0))
-    drawn = min(1.0, target.agg(volume).first()[0] / max(1, read.agg(volume).first()[0]))
+    lengths = read.select("key", F.octet_length("text").alias("n"))
+    volume = F.coalesce(F.sum("n"), F.lit(0))
+    drawn = min(1.0, lengths.join(wanted, F.col("key") == F.col("of"), "left_semi").agg(volume).first()[0]
+                / max(1, lengths.agg(volume).first()[0]))
     place: Column = F.pmod(F.xxhash64(F.lit(17), "key"), F.lit(1 << 30)) / float(1 << 30)
     train = scratch.settle(target.select(F.lit(True).alias("is_target"), "text").union(
         read.filter(place < drawn).select(F.lit(False).alias("is_target"), "text")))
