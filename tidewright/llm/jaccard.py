@@ -26,6 +26,8 @@ SCAN_COST = 6
 SKETCH, STRIP, LANES = 1 << 22, 1 << 16, 16
 #: An inverted list of more members that are not all in one group is heavy.
 HEAVY = 16
+#: Leaders that a document is compared with before the groups are known.
+LEADERS = 4
 #: Counters by which pairs are sifted before their sets are read.
 SIEVE = 256
 
@@ -195,8 +197,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     SUBSET shingles among the first of both. Small sets enumerate these subsets, large sets scan inverted
     lists of single shingles, and the boundary between them is the one of least cost for the sizes at hand. Where a list
     is long, large sets enumerate subsets of such shingles too (`cross_pairs`).
-    Each key links its members to its smallest one, and each document is compared with the first of those that its size and
-    counters (`sifted`) leave; what passes an exact count forms groups.
+    Each key has one member drawn as its leader, and each document is compared with the LEADERS of these that its size and
+    counters (`sifted`) let be most similar; what passes an exact count forms groups.
     Only keys that still join different groups compare the rest, so a group of near copies is a star and never
     all its pairs, and no pair of different groups is left out.
 
@@ -215,16 +217,19 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     reps = scratch.settle(filled.join(same, [*group], "inner").filter("id = rep").select("id", "n", "prefix", "sieve").dropDuplicates(["id", "n"]))
     sizes = {r["n"]: r["count"] for r in reps.groupBy("n").count().collect()}  # one row per size of a set
     index = scratch.settle(postings(reps, percent, boundary(sizes, percent)))
-    lists = index.groupBy("key").agg(F.count("*").alias("c"), F.min("id").alias("lead")).filter("c > 1")
+    lists = index.groupBy("key").agg(F.count("*").alias("c"), F.min_by("id", F.xxhash64("key", "id")).alias("lead")).filter("c > 1")
     shared = scratch.settle(index.join(lists, "key"))
     scratch.drop(index)
     leads = shared.filter("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    star = scratch.settle(sifted(leads, reps, percent).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    # A document has no more leaders than keys.
+    nearest = F.slice(F.sort_array(F.collect_list(F.struct("bound", "a")), False), 1, LEADERS)
+    star = scratch.settle(sifted(leads, reps, percent).groupBy("b").agg(nearest.alias("x")).select(
+        F.explode("x.a").alias("a"), "b"))
     sets = shingle_store(read, star, scratch, words)
     links = scratch.settle(similar(star, sets, percent))
     scratch.drop(sets, star)
     named = scratch.settle(components(links, scratch))
-    rest = scratch.settle(sifted(cross_pairs(shared, named, reps, percent, scratch), reps, percent))
+    rest = scratch.settle(sifted(cross_pairs(shared, named, reps, percent, scratch), reps, percent).drop("bound"))
     scratch.drop(shared)
     if not rest.isEmpty():
         sets = shingle_store(read, rest, scratch, words)
@@ -244,8 +249,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 
 def sifted(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs that can be similar by the sizes of their sets and by their counters: two sets share in each counter at
-    most the smaller number, so no similar pair is lost."""
+    """(a, b, bound) of the pairs that can be similar by the sizes of their sets and by their counters: two sets share in
+    each counter at most the smaller number, so no similar pair is lost. bound is the similarity that this allows."""
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,15 +259,15 @@ def sifted(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
                 x, y = (np.stack([np.frombuffer(v.as_buffer(), np.uint32) for v in part.column(c)]).astype(np.int64)
                         for c in ("x", "y"))
                 common, both = np.minimum(x, y).sum(1), x.sum(1) + y.sum(1)
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(
-                    pa.array(100 * common >= percent * (both - common)))
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(common / (both - common))],
+                                                 ["a", "b", "bound"]).filter(pa.array(100 * common >= percent * (both - common)))
 
     known = reps.select("id", "n", "sieve")
     left = known.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sieve").alias("x"))
     right = known.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sieve").alias("y"))
     sized = (pairs.join(left.drop("x"), "a").join(right.drop("y"), "b")
              .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b"))
-    return sized.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(sift, "a bigint, b bigint")
+    return sized.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(sift, "a bigint, b bigint, bound double")
 
 
 def cross_pairs(shared: DataFrame, named: DataFrame, reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
