@@ -65,6 +65,7 @@ def near_rows(seed):
 @pytest.mark.parametrize("k,percent,heavy", [(3, 90, 64), (5, 80, 2), (3, 70, 1)])
 def test_jaccard_as_brute_force(spark, monkeypatch, k, percent, heavy):
     monkeypatch.setattr(jaccard, "HEAVY", heavy)
+    monkeypatch.setattr(jaccard, "BLOCK", 8 if heavy < 64 else 1024)
     rows = near_rows(k)
     df = spark.createDataFrame([(i, t, "s", "x") for i, t in rows], DOCS)
     got = jaccard.jaccard_components(df, words=k, percent=percent).collect()
@@ -117,6 +118,21 @@ def test_chain_of_links_is_one_group(spark):
     assert got == set(brute_components([r[:2] for r in rows], 3, 90).values()) and 0 in got
 
 
+@pytest.mark.parametrize("block", [1024, 8])
+def test_family_of_edited_copies(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    r = random.Random(4)
+    base = [f"b{i}" for i in range(160)]
+    rows = []
+    for i in range(70):
+        own = list(base)
+        for _ in range(r.choice([2, 4, 6, 8])):
+            own[r.randrange(len(own))] = f"x{i}y{r.randrange(9)}"
+        rows.append((i, " ".join(own), "s", "x"))
+    got = {x.doc_id: x.component_id for x in jaccard.jaccard_components(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == brute_components([x[:2] for x in rows], 3, 90)
+
+
 def test_boundary_of_least_cost():
     sizes = {20: 1000, 40: 1000, 300: 1000}
     at = jaccard.boundary(sizes, 90)

@@ -26,6 +26,8 @@ SCAN_COST = 6
 SKETCH, STRIP, LANES = 1 << 22, 1 << 16, 16
 #: An inverted list of more members that are not all in one group is heavy.
 HEAVY = 16
+#: Members of a list that are compared with each other at once.
+BLOCK = 1024
 #: Leaders that a document is compared with before the groups are known.
 LEADERS = 4
 #: Counters by which pairs are sifted before their sets are read.
@@ -229,7 +231,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     links = scratch.settle(similar(star, sets, percent))
     scratch.drop(sets, star)
     named = scratch.settle(components(links, scratch))
-    rest = scratch.settle(sifted(cross_pairs(shared, named, reps, percent, scratch), reps, percent).drop("bound"))
+    rest = cross_pairs(shared, named, reps, percent, scratch)
     scratch.drop(shared)
     if not rest.isEmpty():
         sets = shingle_store(read, rest, scratch, words)
@@ -273,9 +275,10 @@ def sifted(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 def cross_pairs(shared: DataFrame, named: DataFrame, reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Pairs (a, b) of one key that are in different groups, once each.
 
-    A heavy list is not paired: similar sets share SUBSET prefix shingles, so either one of these has a light
-    list, which finds them, or all are heavy, and a subset of the heavy shingles finds them. Pairs from lists
-    of at most HEAVY members grow in proportion to the documents.
+    A heavy list of single shingles is not paired: similar sets share SUBSET prefix shingles, so either one of these
+    has a light list, which finds them, or all are heavy, and a subset of the heavy shingles finds them. Pairs from lists of at
+    most HEAVY members grow in proportion to the documents. Lists of subsets that are still longer, as those of a family of
+    edited copies, are compared in blocks (`long_lists`). All pairs are sifted by sizes and counters.
     """
     group = reps.select("id", "n").join(named.withColumnRenamed("node", "id"), "id", "left").select(
         "id", "n", F.coalesce("component", "id").alias("g"))
@@ -289,19 +292,82 @@ def cross_pairs(shared: DataFrame, named: DataFrame, reps: DataFrame, percent: i
         return out
 
     first = torn(shared.select("key", "id"))
-    heavy = (F.col("c") > HEAVY) & (F.col("key").bitwiseAND(1) == 1)
-    held = first.filter(heavy).groupBy("id").agg(F.sort_array(F.collect_list("key")).alias("keys")).filter(F.size("keys") >= SUBSET)
+    heavy = F.col("c") > HEAVY
+    alone = F.col("key").bitwiseAND(1) == 1
+    held = first.filter(heavy & alone).groupBy("id").agg(F.sort_array(F.collect_list("key")).alias("keys")).filter(F.size("keys") >= SUBSET)
     index = scratch.settle(heavy_subsets(held))
     lists = index.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key")
     second = torn(index.join(lists, "key"))
     scratch.drop(index)
-    open_ = first.filter(~heavy).drop("c").unionByName(second.drop("c"))
-    a, b = open_.alias("a"), open_.alias("b")
-    pairs = scratch.settle(a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.g") != F.col("b.g"))
-                                  & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent)).select(
-        F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
+    short = first.filter(~heavy).unionByName(second.filter(~heavy)).drop("c")
+    a, b = short.alias("a"), short.alias("b")
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.g") != F.col("b.g"))
+                   & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent)).select(
+        F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    long = first.filter(heavy & ~alone).unionByName(second.filter(heavy))
+    out = scratch.settle(sifted(pairs, reps, percent).select("a", "b").union(
+        long_lists(long, reps, percent)).distinct())
     scratch.drop(first, second)
-    return pairs
+    return out
+
+
+def long_lists(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the pairs of different groups in long lists, rows (key, id, n, g, c), that sizes and counters let be similar.
+
+    The members of a list are dealt into blocks, each pair of blocks is compared in one place, and only the pairs that
+    are left come out. A list of any length is spread over tasks in pieces of at most two blocks.
+    """
+    blocks = F.ceil(F.col("c") / BLOCK)
+    own = F.pmod(F.xxhash64("id"), blocks)
+    dealt = rows.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))).select(
+        "key", "id", "n", "g", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), (F.col("own") > F.col("with")).alias("second"))
+    known = dealt.join(reps.select("id", F.col("sieve").alias("x")), "id").select("key", "i", "j", "second", "n", "id", "g", "x")
+
+    def compare(part: pa.Table, out: list) -> None:
+        n, ids, g = (part.column(c).to_numpy() for c in ("n", "id", "g"))
+        x = np.stack([np.frombuffer(v, np.uint32) for v in part.column("x").to_pylist()]).astype(np.float32)
+        second = part.column("second").to_numpy().astype(bool)
+        mixed_blocks = part.column("i")[0].as_py() != part.column("j")[0].as_py()
+        order = np.argsort(n, kind="stable")
+        n, ids, g, x, second = n[order], ids[order], g[order], x[order], second[order]
+        ends = np.searchsorted(n, n * 100 // percent, "right")
+        for k in range(len(n) - 1):
+            other = np.arange(k + 1, ends[k])
+            other = other[(g[other] != g[k]) & ((second[other] != second[k]) if mixed_blocks else True)]
+            if len(other):
+                common = np.minimum(x[other], x[k]).sum(1, dtype=np.float64)
+                good = other[100 * common >= percent * (n[k] + n[other] - common)]
+                if len(good):
+                    out.append((np.minimum(ids[good], ids[k]), np.maximum(ids[good], ids[k])))
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            place = [table.column(c).to_numpy() for c in ("key", "i", "j")]
+            cuts = np.flatnonzero(np.any([p[1:] != p[:-1] for p in place], axis=0)) + 1
+            out: list = []
+            for low, high in zip([0, *cuts], [*cuts, len(table)]):
+                compare(table.slice(low, high - low), out)
+            if out:
+                pairs = np.unique(np.stack([np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+        for batch in batches:
+            held.append(batch)
+            if sum(len(h) for h in held) < 2 * BLOCK:
+                continue
+            table = pa.Table.from_batches(held)
+            last = [table.column(c).to_numpy() for c in ("key", "i", "j")]
+            cut = int(np.flatnonzero(np.any([p != p[-1] for p in last], axis=0))[-1]) + 1 if any((p != p[-1]).any() for p in last) else 0
+            if cut:
+                yield from flush(table.slice(0, cut))
+            held = table.slice(cut).combine_chunks().to_batches()
+        if held and sum(len(h) for h in held):
+            yield from flush(pa.Table.from_batches(held))
+
+    return (known.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+            .mapInArrow(walk, "a bigint, b bigint"))
 
 
 def shingle_store(docs: DataFrame, pairs: DataFrame, scratch: Scratch, words: int) -> DataFrame:
