@@ -62,7 +62,7 @@ def near_rows(seed):
     return list(enumerate(rows)) + [(900, None), (901, ""), (902, " \n"), (903, rows[0]), (903, rows[0]), (None, rows[1])]
 
 
-@pytest.mark.parametrize("k,percent,heavy", [(3, 90, 64), (5, 80, 2), (3, 70, 1)])
+@pytest.mark.parametrize("k,percent,heavy", [(3, 90, 64), (5, 80, 2), pytest.param(3, 70, 1, marks=pytest.mark.slow)])
 def test_jaccard_as_brute_force(spark, monkeypatch, k, percent, heavy):
     monkeypatch.setattr(jaccard, "HEAVY", heavy)
     monkeypatch.setattr(jaccard, "BLOCK", 8 if heavy < 64 else 1024)
@@ -118,7 +118,7 @@ def test_chain_of_links_is_one_group(spark):
     assert got == set(brute_components([r[:2] for r in rows], 3, 90).values()) and 0 in got
 
 
-@pytest.mark.parametrize("block", [1024, 8])
+@pytest.mark.parametrize("block", [pytest.param(1024, marks=pytest.mark.slow), 8])
 def test_family_of_edited_copies(spark, monkeypatch, block):
     monkeypatch.setattr(jaccard, "BLOCK", block)
     r = random.Random(4)
@@ -166,7 +166,7 @@ def check_removed(df, rows, **options):
     assert got == want
 
 
-@pytest.mark.parametrize("seed,crowd", [(0, 512), (1, 2)])
+@pytest.mark.parametrize("seed,crowd", [pytest.param(0, 512, marks=pytest.mark.slow), (1, 2)])
 def test_repeats_as_brute_force(spark, seed, crowd):
     r = random.Random(seed)
     letters = "abcdefghé"

@@ -99,7 +99,7 @@ def check_packed(rows, texts, sequence):
     assert full >= len(by_seq) - 1
 
 
-@pytest.mark.parametrize("sequence,window", [(1024, 64), (64, 2), (10, 1)])
+@pytest.mark.parametrize("sequence,window", [(1024, 64), (64, 2), pytest.param(10, 1, marks=pytest.mark.slow)])
 def test_packing_round_trip(spark, sequence, window):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").repartition(5)
     texts = {r.doc_id: r.text for r in docs.collect()}
