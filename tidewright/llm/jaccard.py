@@ -130,6 +130,11 @@ def subsets(own: np.ndarray) -> np.ndarray:
     return mixed(mixed(own[a]) + own[b]) & ~np.uint64(1)
 
 
+def first_subset(a: np.ndarray, b: np.ndarray) -> int:
+    """Key of the first subset of SUBSET elements that two ordered arrays share."""
+    return int(subsets(np.intersect1d(a, b, assume_unique=True)[:SUBSET].view(np.uint64)).view(np.int64)[0])
+
+
 def heavy_subsets(rows: DataFrame) -> DataFrame:
     """(key, id): the subsets of the heavy shingles of each document, from rows (id, keys) in key order."""
 
@@ -304,7 +309,8 @@ def cross_pairs(shared: DataFrame, named: DataFrame, reps: DataFrame, percent: i
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.g") != F.col("b.g"))
                    & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent)).select(
         F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
-    long = first.filter(heavy & ~alone).unionByName(second.filter(heavy))
+    none = F.array().cast("array<bigint>").alias("keys")
+    long = first.filter(heavy & ~alone).select("*", none).unionByName(second.filter(heavy).join(held, "id"))
     out = scratch.settle(sifted(pairs, reps, percent).select("a", "b").union(
         long_lists(long, reps, percent)).distinct())
     scratch.drop(first, second)
@@ -312,7 +318,8 @@ def cross_pairs(shared: DataFrame, named: DataFrame, reps: DataFrame, percent: i
 
 
 def long_lists(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of the pairs of different groups in long lists, rows (key, id, n, g, c), that sizes and counters let be similar.
+    """(a, b) of the pairs of different groups in long lists, rows (key, id, n, g, c, keys), that sizes and counters let be similar.
+    Of the lists that the subsets of two documents' heavy shingles `keys` share, the first one gives the pair.
 
     The members of a list are dealt into blocks, each pair of blocks is compared in one place, and only the pairs that
     are left come out. A list of any length is spread over tasks in pieces of at most two blocks.
@@ -320,8 +327,8 @@ def long_lists(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     blocks = F.ceil(F.col("c") / BLOCK)
     own = F.pmod(F.xxhash64("id"), blocks)
     dealt = rows.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))).select(
-        "key", "id", "n", "g", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), (F.col("own") > F.col("with")).alias("second"))
-    known = dealt.join(reps.select("id", F.col("sieve").alias("x")), "id").select("key", "i", "j", "second", "n", "id", "g", "x")
+        "key", "id", "n", "g", "keys", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), (F.col("own") > F.col("with")).alias("second"))
+    known = dealt.join(reps.select("id", F.col("sieve").alias("x")), "id").select("key", "i", "j", "second", "n", "id", "g", "keys", "x")
 
     def compare(part: pa.Table, out: list) -> None:
         n, ids, g = (part.column(c).to_numpy() for c in ("n", "id", "g"))
@@ -329,6 +336,9 @@ def long_lists(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
         second = part.column("second").to_numpy().astype(bool)
         mixed_blocks = part.column("i")[0].as_py() != part.column("j")[0].as_py()
         order = np.argsort(n, kind="stable")
+        here = part.column("key")[0].as_py()
+        keys = part.column("keys").to_pylist()
+        keys = [np.array(keys[o], np.int64) for o in order]
         n, ids, g, x, second = n[order], ids[order], g[order], x[order], second[order]
         ends = np.searchsorted(n, n * 100 // percent, "right")
         for k in range(len(n) - 1):
@@ -337,6 +347,8 @@ def long_lists(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
             if len(other):
                 common = np.minimum(x[other], x[k]).sum(1, dtype=np.float64)
                 good = other[100 * common >= percent * (n[k] + n[other] - common)]
+                if len(keys[k]):
+                    good = np.array([o for o in good if first_subset(keys[k], keys[o]) == here], np.int64)
                 if len(good):
                     out.append((np.minimum(ids[good], ids[k]), np.maximum(ids[good], ids[k])))
 
