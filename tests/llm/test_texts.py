@@ -220,6 +220,48 @@ def test_scores_as_brute_force(spark):
         assert math.isclose(got[i].loss_difference, loss[True] - loss[False], rel_tol=1e-6, abs_tol=1e-9)
 
 
+def losses(rows, sample, least):
+    """(loss_target, loss_background) by id with words seen twice and pairs seen `least` times in the sample."""
+    count = collections.Counter(w for _, t in sample for _, w in brute_pairs(t))
+    code = lambda w: w if count[w] >= 2 or w == "<s>" else "<unk>"
+    pair, before = ({True: collections.Counter(), False: collections.Counter()} for _ in range(2))
+    for flag, t in sample:
+        own = [(code(a), code(b)) for a, b in brute_pairs(t)]
+        pair[flag].update(own)
+        before[flag].update(["<s>", *(b for _, b in own)])
+    v = sum(n >= 2 for n in count.values()) + 2
+    out = {}
+    for i, t in rows:
+        own = [(code(a), code(b)) for a, b in brute_pairs(t)]
+        seen = lambda f, p: pair[f][p] if pair[True][p] + pair[False][p] >= least else 0
+        out[i] = [sum(math.log(before[f][a] + 0.1 * v) - math.log(seen(f, (a, b)) + 0.1) for a, b in own) / max(1, len(own))
+                  for f in (True, False)]
+    return out
+
+
+def test_op2_counts_every_pair(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    place = (F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(1 << 30)) / float(1 << 30)).alias("p")
+    rows = [(r.doc_id, r.text, r.p) for r in docs.select("doc_id", "text", place).collect()]
+    good = {r.doc_id for r in spark.read.parquet(f"{FOLDER}/labels.parquet").filter("quality = 1").collect()}
+    size = lambda own: sum(len((t or "").encode()) for _, t, _ in own)
+    drawn = min(1.0, size([r for r in rows if r[0] in good]) / size(rows))
+    sample = [(True, t) for i, t, _ in rows if i in good] + [(False, t) for _, t, p in rows if p < drawn]
+    want = losses([r[:2] for r in rows], sample, 1)
+    got = queries.QUERIES["op2_lm_scoring"](spark, FOLDER).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert np.allclose([r.loss_target, r.loss_background], want[r.doc_id], rtol=1e-9)
+
+
+def test_words_stay_known_in_a_large_corpus(spark):
+    rows = [(0, "x " * 3_100_000), (1, "rare word here"), (2, "word rare"), (3, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    got = {r.doc_id: r for r in scoring.score(df, df.select("doc_id")).collect()}
+    want = losses(rows, [(flag, t) for _, t in rows for flag in (True, False)], 2)
+    assert all(np.allclose([got[i].loss_target, got[i].loss_background], want[i], rtol=1e-9) for i, _ in rows)
+
+
 def test_scores_of_odd_rows(spark):
     none = spark.createDataFrame([], "doc_id bigint")
     assert len(scoring.score(frame(spark, ODD), none).collect()) == len(ODD)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -13,32 +14,103 @@ from pyspark.sql import functions as F
 from tidewright.llm.wordhash import mixed, word_hashes
 from tidewright.session import Scratch
 
-#: A word of the shared vocabulary is at least this share of the words read, so it has at most 1 / SHARE words.
-SHARE = 1e-6
+#: A word seen less often in both samples together is the unknown word, in a corpus of any size.
+SEEN = 2
 #: Pairs of words seen less often in both samples together count as unseen.
 LEAST = 2
 ALPHA = 0.1
 UNKNOWN, BEGIN = np.uint64(1), np.uint64(2)
 #: Texts, and pairs of their words, that a task works on at once.
 TEXTS, PAIRS = 512, 1 << 20
+#: Neighbouring rows, as a power of two, whose words are looked up together.
+PART = 10
+#: Parts are scored in so many batches, one after the other, so that the pairs of one batch only are on disk.
+BATCHES = 4
+
+
+@dataclass
+class Rest:
+    """What stands in no table of words: size of the vocabulary, and counts of UNKNOWN and BEGIN in both samples."""
+
+    size: int
+    target: tuple[int, int]
+    background: tuple[int, int]
 
 
 @dataclass
 class Vocabulary:
-    """Words by hash, in order, with how often each goes before another in either sample."""
+    """Words of one part by hash, in order, with how often each goes before another in either sample."""
 
     words: np.ndarray
     target: np.ndarray
     background: np.ndarray
 
+    @classmethod
+    def of(cls, rows: list[pa.RecordBatch], rest: Rest) -> Vocabulary:
+        word, t, b = (np.concatenate([*(r.column(c).to_numpy() for r in rows), end]).astype(np.int64) for c, end in (
+            ("word", np.array([UNKNOWN, BEGIN]).view(np.int64)), ("t", rest.target), ("b", rest.background)))
+        words, first = np.unique(word.view(np.uint64), return_index=True)
+        return cls(words, t[first], b[first])
+
     def place(self, hashes: np.ndarray) -> np.ndarray:
         """Place of every word, that of UNKNOWN for words that are not here."""
         at = np.searchsorted(self.words, hashes).clip(max=len(self.words) - 1)
         return np.where(self.words[at] == hashes, at, np.searchsorted(self.words, UNKNOWN))
 
+    def keys(self, pairs: np.ndarray) -> np.ndarray:
+        """Keys of pairs of places, the same in all parts and never negative."""
+        first, second = self.words[pairs // len(self.words)], self.words[pairs % len(self.words)]
+        return (mixed(mixed(first) + second) >> np.uint64(1)).view(np.int64)
+
+
+def runs(*columns: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(start, end) of neighbouring rows that agree in all columns."""
+    if len(columns[0]):
+        cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        yield from zip([0, *cuts.tolist()], [*cuts.tolist(), len(columns[0])])
+
+
+def beside_words(texts: DataFrame, words: DataFrame) -> DataFrame:
+    """Rows (row, text, is_target) in parts of neighbours, each part behind those of `words` that its texts hold.
+
+    A part's words are looked up by a join, each once, so no task holds more words than those of its texts.
+    """
+    own = texts.withColumn("part", F.shiftright("row", PART))
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = batch.column("part").to_numpy()
+            for start, end in runs(parts):
+                held = [np.unique(word_hashes(batch.column("text").slice(low, min(TEXTS, end - low)))[0])
+                        for low in range(start, end, TEXTS)]
+                found = np.unique(np.concatenate(held)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), parts[start])), pa.array(found)], ["part", "word"])
+
+    known = own.select("part", "text").mapInArrow(distinct, "part bigint, word bigint").join(words, "word")
+    none = [F.lit(None).cast(kind).alias(c) for c, kind in (("row", "long"), ("text", "string"), ("is_target", "boolean"))]
+    return (known.select("part", "word", "t", "b", *none).unionByName(own, allowMissingColumns=True)
+            .repartition("part").sortWithinPartitions("part", "row"))  # words have no row and come first
+
+
+def parts_of(batches: Iterator[pa.RecordBatch], rest: Rest) -> Iterator[tuple[Vocabulary, pa.RecordBatch]]:
+    """The texts of `beside_words` with the vocabulary of their part."""
+    part, held, own = None, [], None
+    for batch in batches:
+        parts = batch.column("part").to_numpy()
+        is_word = batch.column("row").is_null().to_numpy(zero_copy_only=False)
+        for start, end in runs(parts, is_word):
+            if parts[start] != part:
+                part, held, own = parts[start], [], None
+            if is_word[start]:
+                held.append(batch.slice(start, end - start))
+                continue
+            if own is None:
+                own = Vocabulary.of(held, rest)
+            yield own, batch.slice(start, end - start)
+
 
 def pairs_of(texts: pa.Array, vocabulary: Vocabulary) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(text number, places of the words before, pairs, how often) of each text; a text begins with BEGIN."""
+    """(text number, places of the words before, keys of the pairs, how often) of each text; a text begins with BEGIN."""
     begin = np.searchsorted(vocabulary.words, BEGIN)
     for low in range(0, len(texts), TEXTS):
         hashes, size = word_hashes(texts.slice(low, TEXTS))
@@ -48,7 +120,7 @@ def pairs_of(texts: pa.Array, vocabulary: Vocabulary) -> Iterator[tuple[int, np.
             own = places[start:start + n]
             before = np.concatenate([[begin], own[:-1]]) if n else own
             pairs, count = np.unique(before.astype(np.int64) * len(vocabulary.words) + own, return_counts=True)
-            yield low + i, before, pairs, count
+            yield low + i, before, vocabulary.keys(pairs), count
 
 
 def summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], name: str) -> pa.RecordBatch:
@@ -57,8 +129,9 @@ def summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], name: str) ->
     return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *map(pa.array, sums)], [name, "t", "b"])
 
 
-def learn_words(train: DataFrame, share: float) -> Vocabulary:
-    """The words that are at least `share` of all in both samples, counted over all their texts."""
+def learn_words(train: DataFrame, seen: int, scratch: Scratch) -> tuple[DataFrame, Rest]:
+    """(word, t, b) of all words, counted over all texts of both samples, and what a vocabulary of those seen
+    at least `seen` times has besides."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -68,45 +141,37 @@ def learn_words(train: DataFrame, share: float) -> Vocabulary:
                 own = np.repeat(flag[low:low + TEXTS], size)
                 yield summed([(hashes, own.astype(np.int64), (~own).astype(np.int64))], "word")
 
-    scratch = Scratch(train.sparkSession)
     counts = scratch.settle(train.select("is_target", "text").mapInArrow(count, "word bigint, t bigint, b bigint").groupBy(
         "word").agg(F.sum("t").alias("t"), F.sum("b").alias("b")))
-    sums = counts.agg(F.coalesce(F.sum("t"), F.lit(0)).alias("t"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
+    known = F.col("t") + F.col("b") >= seen
+    sums = counts.agg(F.count_if(known).alias("n"), *[
+        F.coalesce(F.sum(F.when(~known, F.col(c))), F.lit(0)).alias(c) for c in ("t", "b")]).first()
     texts = {r["is_target"]: r["count"] for r in train.groupBy("is_target").count().collect()}
-    rows = counts.filter(F.col("t") + F.col("b") >= max(2.0, share * (sums["t"] + sums["b"]))).toPandas()  # at most 1 / share
-    scratch.drop(counts)
-    words = rows["word"].to_numpy(np.int64).view(np.uint64)
-    t, b = rows["t"].to_numpy(np.int64), rows["b"].to_numpy(np.int64)
-    words = np.concatenate([words, np.array([UNKNOWN, BEGIN])])
-    t = np.concatenate([t, [sums["t"] - t.sum(), texts.get(True, 0)]])
-    b = np.concatenate([b, [sums["b"] - b.sum(), texts.get(False, 0)]])
-    order = np.argsort(words)
-    return Vocabulary(words[order], t[order], b[order])
-
-
-def learn_pairs(train: DataFrame, vocabulary: Vocabulary, least: int) -> DataFrame:
+    return counts, Rest(sums["n"] + 2, (sums["t"], texts.get(True, 0)), (sums["b"], texts.get(False, 0)))
+
+
+def learn_pairs(train: DataFrame, words: DataFrame, rest: Rest, least: int) -> DataFrame:
     """(pair, t, b): how often the pairs of words follow each other in either sample."""
-    sent = train.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
-        for batch in batches:
+        parts, size = [], 0
+        for own, batch in parts_of(batches, rest):
             flag = batch.column("is_target").to_numpy(zero_copy_only=False).astype(bool)
-            parts, size = [], 0
             for i, _, pairs, n in pairs_of(batch.column("text"), own):
                 parts.append((pairs, n * flag[i], n * (not flag[i])))
                 size += len(pairs)
                 if size >= PAIRS:
                     yield summed(parts, "pair")
                     parts, size = [], 0
-            if parts:
-                yield summed(parts, "pair")
+        if parts:
+            yield summed(parts, "pair")
 
-    return train.select("is_target", "text").mapInArrow(count, "pair bigint, t bigint, b bigint").groupBy("pair").agg(
+    numbered = train.select(F.monotonically_increasing_id().alias("row"), "text", "is_target")
+    return beside_words(numbered, words).mapInArrow(count, "pair bigint, t bigint, b bigint").groupBy("pair").agg(
         F.sum("t").alias("t"), F.sum("b").alias("b")).filter(F.col("t") + F.col("b") >= least)
 
 
-def score(docs: DataFrame, is_target: DataFrame, key: str = "doc_id", text: str = "text", share: float = SHARE,
+def score(docs: DataFrame, is_target: DataFrame, key: str = "doc_id", text: str = "text", seen: int = SEEN,
           least: int = LEAST, alpha: float = ALPHA) -> DataFrame:
     """(key, n_tokens, loss_target, loss_background, loss_difference) per row of `docs`.
 
@@ -115,9 +180,10 @@ def score(docs: DataFrame, is_target: DataFrame, key: str = "doc_id", text: str
     chance of w is (count(h w) + alpha) / (count(h) + alpha * V). A loss is the mean of -log over the text's
     words; the difference, target less background, is low for texts like the target's.
 
-    Words of the vocabulary are bounded by `share` and sent to all tasks; pairs are as many as the corpus
-    has and stay a table. A text is looked up by joining its distinct pairs with that table, in a join that Spark
-    splits where a pair is in very many texts.
+    The vocabulary is all words seen `seen` times or more in both samples together, however large these are; pairs seen
+    less than `least` times count as unseen. Words and pairs are as many as the corpus has and stay tables. Texts are looked
+    up by joining the distinct words of each part of them with the one, and their distinct pairs with the other, in a
+    join that Spark splits where a pair is in very many texts.
 
     Null and empty texts have no words and losses of 0; words outside the vocabulary are one unknown word; a
     null key is never a target; rows that repeat are rows of their own; with no target or no background the counts of
@@ -136,21 +202,22 @@ def score(docs: DataFrame, is_target: DataFrame, key: str = "doc_id", text: str
     place: Column = F.pmod(F.xxhash64(F.lit(17), "key"), F.lit(1 << 30)) / float(1 << 30)
     train = scratch.settle(target.select(F.lit(True).alias("is_target"), "text").union(
         read.filter(place < drawn).select(F.lit(False).alias("is_target"), "text")))
-    vocabulary = learn_words(train, share)
-    pairs = scratch.settle(learn_pairs(train, vocabulary, least))
+    counts, rest = learn_words(train, seen, scratch)
+    words = counts.filter(F.col("t") + F.col("b") >= seen)
+    pairs = scratch.settle(learn_pairs(train, words, rest, least))
     scratch.drop(train)
-    sent = spark.sparkContext.broadcast(vocabulary)
-    v = float(len(vocabulary.words))
+    v = float(rest.size)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
-        after = [np.log(c + alpha * v) for c in (own.target, own.background)]
         def rows(out: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["row", "pair", "n", "t0", "b0"])
 
-        for batch in batches:
+        last, after = None, []
+        out, size = [[], [], [], [], []], 0
+        for own, batch in parts_of(batches, rest):
+            if own is not last:
+                last, after = own, [np.log(c + alpha * v) for c in (own.target, own.background)]
             ids = batch.column("row").to_numpy()
-            out, size = [[], [], [], [], []], 0
             for i, before, found, n in pairs_of(batch.column("text"), own):
                 # One more row per text, of a pair that no text has, holds what needs no lookup.
                 own_pair = -1 - int(mixed(ids[i:i + 1].view(np.uint64))[0] >> np.uint64(2))
@@ -165,19 +232,24 @@ def score(docs: DataFrame, is_target: DataFrame, key: str = "doc_id", text: str
                 if size >= PAIRS:
                     yield rows(out)
                     out, size = [[], [], [], [], []], 0
-            if size:
-                yield rows(out)
+        if size:
+            yield rows(out)
 
     numbered = read.withColumn("row", F.monotonically_increasing_id())
-    looked = numbered.select("row", "text").mapInArrow(look, "row bigint, pair bigint, n bigint, t0 double, b0 double")
     log = lambda c: F.log(F.coalesce(c, F.lit(0)) + F.lit(alpha)) * F.col("n")
-    # The pairs of the model are few beside those of all texts and stand once each, so each partition of theirs is
-    # held as a hash table and the texts' side, a hundred times as large, need not be sorted.
-    sums = looked.join(pairs.hint("shuffle_hash"), "pair", "left").groupBy("row").agg(
-        F.sum("n").alias("n_tokens"), F.sum(F.col("t0") - log("t")).alias("lt"), F.sum(F.col("b0") - log("b")).alias("lb"))
+    batch_of = F.pmod(F.xxhash64(F.shiftright("row", PART)), F.lit(BATCHES))
     per = F.greatest("n_tokens", F.lit(1))
+    sums = []
+    for k in range(BATCHES):
+        texts = numbered.select("row", "text", F.lit(None).cast("boolean").alias("is_target")).filter(batch_of == k)
+        looked = beside_words(texts, words).mapInArrow(look, "row bigint, pair bigint, n bigint, t0 double, b0 double")
+        # The pairs of the model stand once each, so each partition of theirs is held as a hash table and the
+        # texts' side need not be sorted.
+        sums.append(scratch.settle(looked.join(pairs.hint("shuffle_hash"), "pair", "left").groupBy("row").agg(
+            F.sum("n").alias("n_tokens"), F.sum(F.col("t0") - log("t")).alias("lt"), F.sum(F.col("b0") - log("b")).alias("lb"))))
+    scratch.drop(counts, pairs)
     keys = scratch.settle(numbered.select("row", "key"))
-    scratch.keep(pairs, keys)
-    return keys.join(sums, "row").select(
+    scratch.keep(keys, *sums)
+    return keys.join(functools.reduce(DataFrame.union, sums), "row").select(
         F.col("key").alias(key), "n_tokens", (F.col("lt") / per).alias("loss_target"), (F.col("lb") / per).alias("loss_background"),
         ((F.col("lt") - F.col("lb")) / per).alias("loss_difference"))
