@@ -31,11 +31,26 @@ def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that near-duplicate links join, the one with the smallest doc_id; rows without doc_id stay."""
-    groups = jaccard.jaccard_components(docs, words=WORDS, percent=PERCENT)
-    stay = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("stays")).distinct()
-    known = docs.filter("doc_id IS NOT NULL").join(stay, F.col("doc_id") == F.col("stays"), "left_semi")
-    return known.dropDuplicates(["doc_id"]).select(*COLUMNS).union(docs.filter("doc_id IS NULL").select(*COLUMNS))
+    """Of rows that near-duplicate links join, the one with the smallest doc_id; rows without doc_id stay.
+
+    Different rows under one doc_id are documents of their own, so only whole repeats and linked texts go.
+    """
+    scratch = Scratch(spark)
+    mark = F.xxhash64(*COLUMNS, *[F.col(c).isNull() for c in COLUMNS])
+    marked = docs.filter("doc_id IS NOT NULL").select(*COLUMNS, mark.alias("_mark"))
+    # A doc_id of one row is that row's node; other rows are nodes by their mark.
+    shared = scratch.settle(marked.groupBy(F.col("doc_id").alias("_of")).agg(
+        F.min("_mark").alias("low"), F.max("_mark").alias("high")).filter("low < high").select("_of"))
+    nodes = marked.join(shared, F.col("doc_id") == F.col("_of"), "left").withColumn(
+        "_node", F.when(F.col("_of").isNull(), F.col("doc_id").cast("long")).otherwise(F.col("_mark")))
+    groups = jaccard.jaccard_components(nodes, key="_node", words=WORDS, percent=PERCENT).select("_node", "component_id")
+    names = nodes.filter("_of IS NOT NULL").select(F.col("_node").alias("_named"), F.col("doc_id").alias("_id")).distinct()
+    first = F.min(F.struct(F.coalesce("_id", "_node").alias("id"), F.col("_node").alias("node")))
+    stay = groups.join(names, F.col("_node") == F.col("_named"), "left").groupBy("component_id").agg(
+        first.alias("first")).select(F.col("first.node").alias("_stays"))
+    known = nodes.join(stay, F.col("_node") == F.col("_stays"), "left_semi").dropDuplicates(["_node"])
+    scratch.keep(shared)
+    return known.select(*COLUMNS).union(docs.filter("doc_id IS NULL").select(*COLUMNS))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

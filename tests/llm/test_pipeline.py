@@ -38,6 +38,23 @@ def test_group_stage_keeps_one_of_each(spark, docs):
     assert Counter(r.doc_id for r in out.collect()) == Counter([*{i for i, g in name.items() if i == g}, None])
 
 
+def test_group_stage_keeps_other_texts_of_a_doc_id(spark, docs):
+    text = lambda name, n=40: " ".join(f"{name}{i}" for i in range(n))
+    rows = [(5, text("a"), "en", "s", 1), (5, text("b"), "en", "s", 1), (5, text("b"), "en", "s", 1), (5, text("c", 30), None, "s", 1),
+            (7, text("a"), "en", "s", 1), (3, text("b"), "de", "s", 1), (8, text("d"), "en", "s", 1), (8, text("e"), "en", "s", 1)]
+    out = cp.one_of_each_group(spark, spark.createDataFrame(rows, docs.schema), FOLDER).collect()
+    want = [(5, text("a")), (3, text("b")), (5, text("c", 30)), (8, text("d")), (8, text("e"))]
+    assert Counter((r.doc_id, r.text) for r in out) == Counter(want)
+
+
+def test_links_of_every_text_of_a_key(spark):
+    text = lambda name: " ".join(f"{name}{i}" for i in range(60))
+    rows = [(1, text("a")), (1, text("b")), (2, text("a") + " more"), (3, text("b") + " more")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in cp.jaccard.jaccard_components(df).collect()}
+    assert got == brute_components(rows, 3, 90) == {1: 1, 2: 1, 3: 1}
+
+
 def test_repeat_stage_cuts_what_repeats(spark, docs):
     rows = docs.collect()
     out = {r.doc_id: r for r in cp.without_repeats(spark, docs, FOLDER).collect()}

@@ -221,7 +221,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     filled = table.filter("n > 0 AND id IS NOT NULL")
     group = ["n", "sig", "sig2"]
     same = scratch.settle(filled.groupBy(*group).agg(F.min("id").alias("rep")))
-    reps = scratch.settle(filled.join(same, [*group], "inner").filter("id = rep").select("id", "n", "prefix", "sieve").dropDuplicates(["id", "n"]))
+    reps = scratch.settle(filled.join(same, [*group], "inner").filter("id = rep").dropDuplicates(["id", *group]).select("id", "n", "prefix", "sieve"))
     sizes = {r["n"]: r["count"] for r in reps.groupBy("n").count().collect()}  # one row per size of a set
     index = scratch.settle(postings(reps, percent, boundary(sizes, percent)))
     lists = index.groupBy("key").agg(F.count("*").alias("c"), F.min_by("id", F.xxhash64("key", "id")).alias("lead")).filter("c > 1")
