@@ -243,6 +243,23 @@ def test_vectors_as_brute_force(spark, monkeypatch, tile):
     assert got == brute_vectors(rows, 0.95)
 
 
+@pytest.mark.parametrize("tile", [2048, 16])
+def test_vectors_of_every_length(spark, monkeypatch, tile):
+    monkeypatch.setattr(embeddings, "TILE", tile)
+    r = np.random.default_rng(5)
+    rows = vector_rows()
+    for dims in (8, 2, 1):
+        rows += [(len(rows) + i, [float(x) for x in r.normal(size=dims)]) for i in range(60)]
+        rows += [(len(rows) + i, [2 * x for x in rows[-1 - i][1]]) for i in range(40)]
+        rows += [(len(rows) + i, rows[-1][1]) for i in range(5)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {x.vec_id: (x.n_links, x.component_id, x.kept) for x in embeddings.near_vectors(df).collect()}
+    want = {i: (0, i, True) for i, _ in rows}
+    for dims in (16, 8, 2, 1):
+        want.update(brute_vectors([(i, v) for i, v in rows if v and len(v) == dims], 0.95))
+    assert got == want
+
+
 def test_vectors_of_the_smallest_tables(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     rows = [(r.vec_id, r.embedding) for r in df.collect()]

@@ -33,32 +33,36 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
-def directions(vectors: DataFrame, dims: int) -> np.ndarray:
-    """Principal directions of the unit vectors, strongest first: dims x dims numbers, summed in tasks."""
+def directions(vectors: DataFrame) -> dict[int, np.ndarray]:
+    """Principal directions of the unit vectors of each length, strongest first: length x length numbers, summed in tasks."""
 
     def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((dims, dims))
+        totals: dict[int, np.ndarray] = {}
         for batch in batches:
-            if len(batch):
-                y = unit(stacked(batch["v"]))
-                total += y.T @ y
-        yield pd.DataFrame({"at": np.arange(dims * dims), "value": total.ravel()})
+            for dims, own in batch.groupby(batch["v"].map(len)):
+                y = unit(stacked(own["v"]))
+                totals[dims] = totals.get(dims, 0) + y.T @ y
+        for dims, total in totals.items():
+            yield pd.DataFrame({"dims": dims, "at": np.arange(dims * dims), "value": total.ravel()})
 
-    rows = vectors.select("v").mapInPandas(moments, "at int, value double").groupBy("at").agg(
+    rows = vectors.select("v").mapInPandas(moments, "dims int, at int, value double").groupBy("dims", "at").agg(
         F.sum("value").alias("value")).toPandas()
-    moment = np.zeros(dims * dims)
-    moment[rows["at"]] = rows["value"]
-    moment = moment.reshape(dims, dims)
-    _, vectors_ = np.linalg.eigh((moment + moment.T) / 2)
-    return vectors_[:, ::-1].copy()
+    out = {}
+    for dims, own in rows.groupby("dims"):
+        moment = np.zeros(dims * dims)
+        moment[own["at"]] = own["value"]
+        moment = moment.reshape(dims, dims)
+        _, vectors_ = np.linalg.eigh((moment + moment.T) / 2)
+        out[int(dims)] = vectors_[:, ::-1].copy()
+    return out
 
 
 def cell_plan(counts: dict[tuple[int, ...], int], width: float, limit: float) -> tuple[int, list]:
-    """How many leading directions to cut along, and the pairs of cells that may hold linked vectors:
+    """How many leading directions to cut vectors of one length along, and the pairs of cells that may hold linked vectors:
     (cell, rows, other, rows). Cut finer while cells hold more than a tile on average."""
     dims = 1
     cells: dict[tuple[int, ...], int] = {}
-    for dims in range(1, CELL_DIMS + 1):
+    for dims in range(1, len(next(iter(counts))) + 1):
         cells = {}
         for key, n in counts.items():
             cells[key[:dims]] = cells.get(key[:dims], 0) + n
@@ -111,7 +115,7 @@ def compare(a: pd.DataFrame, b: pd.DataFrame, turn: np.ndarray, threshold: float
     return found
 
 
-def tile_links(frame: pd.DataFrame, turn: np.ndarray, threshold: float) -> pd.DataFrame:
+def tile_links(frame: pd.DataFrame, turns: dict[int, np.ndarray], threshold: float) -> pd.DataFrame:
     """(id, links, root) of the rows of one pair of tiles that are linked: how many vectors, and the
     smallest row reachable within these tiles, so a tile of copies gives a row each and not their pairs."""
     frame = frame.sort_values("id")
@@ -121,7 +125,7 @@ def tile_links(frame: pd.DataFrame, turn: np.ndarray, threshold: float) -> pd.Da
     if not len(a) or (not len(b) and not same):
         return pd.DataFrame({"id": [], "links": [], "root": []}).astype("int64")
     other = a if same else b
-    found = compare(a, other, turn, threshold, same)
+    found = compare(a, other, turns[len(a["v"].iloc[0])], threshold, same)
     if not found.any():
         return pd.DataFrame({"id": [], "links": [], "root": []}).astype("int64")
     ia, ib = a["id"].to_numpy(np.int64), other["id"].to_numpy(np.int64)
@@ -152,8 +156,9 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     into tiles, and each pair of tiles that touch is one group of bounded size. A vector in a third of
     all rows is one row; a dense cell is many tiles.
 
-    Vectors that are null, empty, zero, hold a null or non-finite component, or are not of the
-    commonest length link with nothing. Rows that repeat a key are rows of their own; a null key is
+    Vectors of each length are compared among themselves, in cells along directions of their own.
+
+    Vectors that are null, empty, zero, or hold a null or non-finite component link with nothing. Rows that repeat a key are rows of their own; a null key is
     never the name of a component with other keys; an empty table gives an empty result.
     """
     if not 0 < threshold <= 1:
@@ -165,33 +170,37 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     sound = (F.col("v").isNotNull() & (F.size("v") > 0) & F.col("key").isNotNull()
              & F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
              & F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False)))
-    usual = rows.filter(sound).groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    dims = usual[0]["d"] if usual else 0
-    marked = rows.withColumn("ok", F.coalesce(sound & (F.size("v") == dims), F.lit(False)))
-    members = scratch.settle(marked.select("key", F.when(F.col("ok"), F.col("v")).alias("v")))
+    members = scratch.settle(rows.select("key", F.when(F.coalesce(sound, F.lit(False)), F.col("v")).alias("v")))
     reps = scratch.settle(members.filter("v IS NOT NULL").groupBy("v").agg(F.min("key").cast("long").alias("id"), F.count("*").alias("n")))
-    if dims == 0:
+    turns = directions(reps)
+    if not turns:
         linked = spark.createDataFrame([], "id bigint, links bigint, root bigint")
     else:
-        turn = directions(reps, dims)
         width = float(np.sqrt(max(2 - 2 * threshold, 0.0))) * (1 + 1e-9) + 1e-9
-        lead = min(CELL_DIMS, dims)
 
         def locate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                if len(batch):
-                    y = np.floor(unit(stacked(batch["v"])) @ turn[:, :lead] / width).astype(np.int32)
-                    yield batch.assign(cell=list(y))
-
-        located = scratch.settle(reps.mapInPandas(locate, "v array<double>, id bigint, n bigint, cell array<int>"))
-        counts = {tuple(r["cell"]): r["count"] for r in located.groupBy("cell").count().collect()}  # bounded by CELL_DIMS
-        cut, pairs = cell_plan(counts, width, threshold)
+                for dims, own in batch.groupby(batch["v"].map(len)):
+                    y = np.floor(unit(stacked(own["v"])) @ turns[dims][:, :CELL_DIMS] / width).astype(np.int32)
+                    yield own.assign(dims=dims, cell=list(y))
+
+        located = scratch.settle(reps.mapInPandas(locate, "v array<double>, id bigint, n bigint, dims int, cell array<int>"))
+        counts: dict[int, dict[tuple[int, ...], int]] = {}
+        for r in located.groupBy("dims", "cell").count().collect():  # bounded by CELL_DIMS for each length
+            counts.setdefault(r["dims"], {})[tuple(r["cell"])] = r["count"]
         blocks = lambda n: -(-n // TILE)
-        plan = [(",".join(map(str, c)), side, ",".join(map(str, o)), blocks(m), blocks(k), c == o)
-                for cell, n, other, m2 in pairs
-                for c, side, o, m, k in ([(cell, 0, other, m2, n)] + ([] if cell == other else [(other, 1, cell, n, m2)]))]
+        cuts, plan = [], []
+        for dims, cells in counts.items():
+            cut, pairs = cell_plan(cells, width, threshold)
+            cuts.append((dims, cut))
+            named = lambda c: ",".join(map(str, (dims, *c)))  # noqa: E731, B023
+            plan += [(named(c), side, named(o), blocks(m), blocks(k), c == o)
+                     for cell, n, other, m2 in pairs
+                     for c, side, o, m, k in ([(cell, 0, other, m2, n)] + ([] if cell == other else [(other, 1, cell, n, m2)]))]
         to = spark.createDataFrame(plan, "at string, side int, other string, blocks long, own long, inner boolean")
-        placed = located.withColumn("at", F.concat_ws(",", F.slice("cell", 1, cut))).drop("cell").join(F.broadcast(to), "at")
+        cut_of = spark.createDataFrame(cuts, "dims int, cut int")
+        placed = located.join(F.broadcast(cut_of), "dims").withColumn(
+            "at", F.concat_ws(",", "dims", F.slice("cell", F.lit(1), F.col("cut")))).drop("dims", "cell", "cut").join(F.broadcast(to), "at")
         block = F.pmod(F.xxhash64("id"), F.col("own"))
         spread = placed.withColumn("block", block).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         first, second = F.least("block", "with"), F.greatest("block", "with")
@@ -203,7 +212,7 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
         tiles = spread.select("id", "v", "n", side.alias("side"), left.alias("l"), right.alias("r"),
                               (F.col("inner") & (F.col("block") == F.col("with"))).alias("alone"))
         linked = scratch.settle(tiles.groupBy("l", "r").applyInPandas(
-            lambda frame: tile_links(frame, turn, threshold), "id bigint, links bigint, root bigint"))
+            lambda frame: tile_links(frame, turns, threshold), "id bigint, links bigint, root bigint"))
     counted = linked.groupBy("id").agg(F.sum("links").alias("links"))
     named = components(linked.select(F.col("id").alias("a"), F.col("root").alias("b")), scratch)
     named = scratch.settle(reps.join(counted, "id", "left").join(named.withColumnRenamed("node", "id"), "id", "left").select(
