@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,3 +36,19 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     """`df` without the columns that an operator is about to add under these names."""
     drop = {n.lower() for n in names}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in drop])
+
+
+def slices(batch: pa.RecordBatch, column: str, rows: int = 256, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most `rows` rows and, unless one row alone has more, `size` bytes of `column`."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    low = 0
+    while low < len(batch):
+        high = int(np.searchsorted(ends, (ends[low - 1] if low else 0) + size, "right"))
+        high = max(low + 1, min(high, low + rows))
+        yield batch.slice(low, high - low)
+        low = high
+
+
+def columns_of(schema) -> str:
+    """The columns of a schema, as Spark's schema strings have them."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import embeddings, jaccard, language, line_rules, mixing, packing, scoring, sharding, suffixes, warc
+from tidewright.llm import (bpe, embeddings, jaccard, language, line_rules, mixing, packing, periods, scoring, sharding, spelling,
+                            suffixes, warc)
+from tidewright.llm.common import WORD
 from tidewright.session import fresh_path, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +19,7 @@ ORACLES: dict[str, str] = {}
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def query(name: str, sql: str | None = None):
@@ -138,3 +141,52 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_embedding_near_dups")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, folder, "embeddings"))
+
+
+def slip(run: str, checksum: int) -> str:
+    """The run without one of its code points, for one in 97."""
+    if checksum % 97:
+        return run
+    at = checksum % len(run)
+    return run[:at] + run[at + 1:]
+
+
+@query("op11_spelling_variants")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group_variants(spelling.count_words(table(spark, folder, "documents"), edit=slip))
+
+
+@query("op12_byte_bpe")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path(RANKS)
+    ids = bpe.encode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN, keep=[F.col("doc_id")])
+    back = bpe.decode(ids, path, public_tokenizers.PATTERN)
+    return back.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+def repeating(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) in which every tenth document, by checksum, repeats some of its words to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when((h % 10 == 0) & (F.regexp_count("text", F.lit(WORD)) > 0), F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))
+    n = F.size("_words")
+    rest = docs.select("doc_id", "text", words.alias("_words"), F.floor(h / 10).alias("_g"))
+    start = rest.withColumn("_a", F.when(n > 0, F.col("_g") % n).cast("int"))
+    period = start.withColumn("_p", (1 + F.floor((n - F.col("_a")) / (3 + F.col("_g") % 8))).cast("int"))
+    at = F.col("_a")
+    changed = F.transform("_words", lambda w, i: F.when(i < at, w).otherwise(F.get(F.col("_words"), at + (i - at) % F.col("_p"))))
+    return period.select("doc_id", F.when(F.col("_words").isNotNull(), F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    found = periods.find_runs(repeating(table(spark, folder, "documents")), keep=[F.col("doc_id")])
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    # A run's rank: most words first, then least start, then least period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.back")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
