@@ -207,7 +207,7 @@ def test_scores_as_brute_force(spark):
         before[flag].update(b for _, b in own)
         before[flag]["<s>"] += 1
     v = len(words) + 2
-    got = {r.doc_id: r for r in scoring.score(df, spark.createDataFrame([(i,) for i in good], "doc_id bigint")).collect()}
+    got = {r.doc_id: r for r in scoring.score(df, spark.createDataFrame([(i,) for i in good], "doc_id bigint"), least=2).collect()}
     assert len(got) == len(rows)
     for i, t in rows:
         own = [(code(a), code(b)) for a, b in brute_pairs(t)]
@@ -220,8 +220,9 @@ def test_scores_as_brute_force(spark):
         assert math.isclose(got[i].loss_difference, loss[True] - loss[False], rel_tol=1e-6, abs_tol=1e-9)
 
 
-def losses(rows, sample, least):
-    """(loss_target, loss_background) by id with words seen twice and pairs seen `least` times in the sample."""
+def losses(rows, sample, least, learned_from=None):
+    """(loss_target, loss_background) by id with words seen twice and pairs seen `least` times in the sample, without the counts of
+    the text itself in the models that learned_from(id) names."""
     count = collections.Counter(w for _, t in sample for _, w in brute_pairs(t))
     code = lambda w: w if count[w] >= 2 or w == "<s>" else "<unk>"
     pair, before = ({True: collections.Counter(), False: collections.Counter()} for _ in range(2))
@@ -234,8 +235,10 @@ def losses(rows, sample, least):
     for i, t in rows:
         own = [(code(a), code(b)) for a, b in brute_pairs(t)]
         seen = lambda f, p: pair[f][p] if pair[True][p] + pair[False][p] >= least else 0
-        out[i] = [sum(math.log(before[f][a] + 0.1 * v) - math.log(seen(f, (a, b)) + 0.1) for a, b in own) / max(1, len(own))
-                  for f in (True, False)]
+        mine = {f: bool(learned_from and f in learned_from(i)) for f in (True, False)}
+        pairs, firsts = collections.Counter(own), collections.Counter(["<s>", *(b for _, b in own)])
+        out[i] = [sum(math.log(before[f][a] - mine[f] * firsts[a] + 0.1 * v) - math.log(seen(f, (a, b)) - mine[f] * pairs[a, b] + 0.1)
+                      for a, b in own) / max(1, len(own)) for f in (True, False)]
     return out
 
 
@@ -247,7 +250,8 @@ def test_op2_counts_every_pair(spark):
     size = lambda own: sum(len((t or "").encode()) for _, t, _ in own)
     drawn = min(1.0, size([r for r in rows if r[0] in good]) / size(rows))
     sample = [(True, t) for i, t, _ in rows if i in good] + [(False, t) for _, t, p in rows if p < drawn]
-    want = losses([r[:2] for r in rows], sample, 1)
+    drawn_ids = {i for i, _, p in rows if p < drawn}
+    want = losses([r[:2] for r in rows], sample, 1, lambda i: {f for f, ids in ((True, good), (False, drawn_ids)) if i in ids})
     got = queries.QUERIES["op2_lm_scoring"](spark, FOLDER).collect()
     assert len(got) == len(rows)
     for r in got:
@@ -257,11 +261,27 @@ def test_op2_counts_every_pair(spark):
 def test_words_stay_known_in_a_large_corpus(spark):
     rows = [(0, "x " * 3_100_000), (1, "rare word here"), (2, "word rare"), (3, None)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
-    got = {r.doc_id: r for r in scoring.score(df, df.select("doc_id")).collect()}
+    got = {r.doc_id: r for r in scoring.score(df, df.select("doc_id"), least=2).collect()}
     want = losses(rows, [(flag, t) for _, t in rows for flag in (True, False)], 2)
     assert all(np.allclose([got[i].loss_target, got[i].loss_background], want[i], rtol=1e-9) for i, _ in rows)
 
 
+@pytest.mark.parametrize("part,bucket,hot", [(300, 200, 1000), (2000, 64, 2)])
+def test_scores_in_many_parts(spark, monkeypatch, part, bucket, hot):
+    """A text's scores do not depend on parts and buckets; a key of many rows goes to many parts."""
+    rows = [(i % 40 if i % 3 else 7, f"some words {i % 5} and {i % 11} more of them {'x' * (i % 4)}") for i in range(300)]
+    rows += [(None, "a text without key " * 3)] * 9 + [(8, "the same row again")] * 50 + [(9, None), (9, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    good = spark.createDataFrame([(7,), (8,), (12,), (None,)], "doc_id bigint")
+    whole = [collections.Counter((r.doc_id, r.n_tokens, round(r.loss_target, 9), round(r.loss_background, 9))
+                                 for r in scoring.score(df, good, leave_out=out).collect()) for out in (False, True)]
+    for name, value in (("PART", part), ("BUCKET", bucket), ("HOT", hot)):
+        monkeypatch.setattr(scoring, name, value)
+    for out in (False, True):
+        got = scoring.score(df, good, leave_out=out).collect()
+        assert collections.Counter((r.doc_id, r.n_tokens, round(r.loss_target, 9), round(r.loss_background, 9)) for r in got) == whole[out]
+
+
 def test_scores_of_odd_rows(spark):
     none = spark.createDataFrame([], "doc_id bigint")
     assert len(scoring.score(frame(spark, ODD), none).collect()) == len(ODD)

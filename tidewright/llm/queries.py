@@ -48,7 +48,7 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_lm_scoring")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     good = table(spark, folder, "labels").filter("quality = 1").select("doc_id")
-    return scoring.score(table(spark, folder, "documents"), good, least=1)
+    return scoring.score(table(spark, folder, "documents"), good, leave_out=True)
 
 
 @query("op3_suffix_dedup")

@@ -2,177 +2,199 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
+from tidewright.llm.common import slices
 from tidewright.llm.wordhash import mixed, word_hashes
 from tidewright.session import Scratch
 
 #: A word seen less often in both samples together is the unknown word, in a corpus of any size.
 SEEN = 2
 #: Pairs of words seen less often in both samples together count as unseen.
-LEAST = 2
+LEAST = 1
 ALPHA = 0.1
 UNKNOWN, BEGIN = np.uint64(1), np.uint64(2)
-#: Texts, and pairs of their words, that a task works on at once.
-TEXTS, PAIRS = 512, 1 << 20
-#: Neighbouring rows, as a power of two, whose words are looked up together.
-PART = 10
-#: Parts are scored in so many batches, one after the other, so that the pairs of one batch only are on disk.
-BATCHES = 4
-
-
-@dataclass
-class Rest:
-    """What stands in no table of words: size of the vocabulary, and counts of UNKNOWN and BEGIN in both samples."""
-
-    size: int
-    target: tuple[int, int]
-    background: tuple[int, int]
-
-
-@dataclass
-class Vocabulary:
-    """Words of one part by hash, in order, with how often each goes before another in either sample."""
-
-    words: np.ndarray
-    target: np.ndarray
-    background: np.ndarray
-
-    @classmethod
-    def of(cls, rows: list[pa.RecordBatch], rest: Rest) -> Vocabulary:
-        word, t, b = (np.concatenate([*(r.column(c).to_numpy() for r in rows), end]).astype(np.int64) for c, end in (
-            ("word", np.array([UNKNOWN, BEGIN]).view(np.int64)), ("t", rest.target), ("b", rest.background)))
-        words, first = np.unique(word.view(np.uint64), return_index=True)
-        return cls(words, t[first], b[first])
-
-    def place(self, hashes: np.ndarray) -> np.ndarray:
-        """Place of every word, that of UNKNOWN for words that are not here."""
-        at = np.searchsorted(self.words, hashes).clip(max=len(self.words) - 1)
-        return np.where(self.words[at] == hashes, at, np.searchsorted(self.words, UNKNOWN))
-
-    def keys(self, pairs: np.ndarray) -> np.ndarray:
-        """Keys of pairs of places, the same in all parts and never negative."""
-        first, second = self.words[pairs // len(self.words)], self.words[pairs % len(self.words)]
-        return (mixed(mixed(first) + second) >> np.uint64(1)).view(np.int64)
-
-
-def runs(*columns: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(start, end) of neighbouring rows that agree in all columns."""
-    if len(columns[0]):
-        cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
-        yield from zip([0, *cuts.tolist()], [*cuts.tolist(), len(columns[0])])
-
-
-def beside_words(texts: DataFrame, words: DataFrame) -> DataFrame:
-    """Rows (row, text, is_target) in parts of neighbours, each part behind those of `words` that its texts hold.
-
-    A part's words are looked up by a join, each once, so no task holds more words than those of its texts.
-    """
-    own = texts.withColumn("part", F.shiftright("row", PART))
-
-    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = batch.column("part").to_numpy()
-            for start, end in runs(parts):
-                held = [np.unique(word_hashes(batch.column("text").slice(low, min(TEXTS, end - low)))[0])
-                        for low in range(start, end, TEXTS)]
-                found = np.unique(np.concatenate(held)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), parts[start])), pa.array(found)], ["part", "word"])
-
-    known = own.select("part", "text").mapInArrow(distinct, "part bigint, word bigint").join(words, "word")
-    none = [F.lit(None).cast(kind).alias(c) for c, kind in (("row", "long"), ("text", "string"), ("is_target", "boolean"))]
-    return (known.select("part", "word", "t", "b", *none).unionByName(own, allowMissingColumns=True)
-            .repartition("part").sortWithinPartitions("part", "row"))  # words have no row and come first
-
-
-def parts_of(batches: Iterator[pa.RecordBatch], rest: Rest) -> Iterator[tuple[Vocabulary, pa.RecordBatch]]:
-    """The texts of `beside_words` with the vocabulary of their part."""
-    part, held, own = None, [], None
+#: Bytes of text of a part, and of all texts for one bucket of words or pairs.
+PART, BUCKET = 8 << 20, 8 << 20
+#: Rows of one key that go to one part.
+HOT = 1024
+
+COUNTED = "bucket bigint, part bigint, words binary, t binary, b binary"
+SUMMED = "part bigint, bucket bigint, t binary, b binary, n bigint, known bigint, unknown_t bigint, unknown_b bigint"
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Whole numbers in the fewest bytes that hold the largest, compressed; the first byte tells how many."""
+    top = int(x.max(initial=0))
+    wide = next(w for w in (1, 2, 4, 8) if top < 1 << 8 * w)
+    return bytes([wide]) + pa.compress(x.astype(f"<u{wide}").tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(raw[1:], n * raw[0], codec="zstd", asbytes=True), f"<u{raw[0]}").astype(np.int64)
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Keys in order, as the steps between them, all first bytes together and so on, compressed; how many stands ahead."""
+    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)
+    return len(keys).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(steps.T).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked_keys(raw: bytes) -> np.ndarray:
+    n = int.from_bytes(raw[:8], "little")
+    steps = np.frombuffer(pa.decompress(raw[8:], 8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(steps.T).view("<u8").ravel(), dtype=np.uint64)
+
+
+class Part:
+    """The texts of a part by words, each different text once, and what has been looked up for them."""
+
+    def __init__(self, number: int):
+        self.number = number
+        self.targets: set = set()
+        self.words: list[tuple[np.ndarray, np.ndarray]] = []
+        self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
+        self.rows: list[tuple] = []  # (key, number of its text, is target, is background)
+        self.numbers: dict[int, int] = {}
+        self.held: list[np.ndarray] = []
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        kind = batch.column("kind")[0].as_py()
+        if kind == 0:
+            self.targets.update(batch.column("key").to_pylist())
+        elif kind < 3:
+            held = self.words if kind == 1 else self.pairs
+            for t, b, n in zip(*(batch.column(c).to_pylist() for c in ("t", "b", "n"))):
+                held.append((unpacked(t, n), unpacked(b, n)))
+        else:
+            for own in slices(batch, "text", 512):
+                hashes, sizes = word_hashes(own.column("text"))
+                ends = np.cumsum(sizes)
+                drawn = own.column("drawn").to_pylist()
+                marks = own.column("mark").to_pylist()
+                for key, mark, flag, end, n in zip(own.column("key").to_pylist(), marks, drawn, ends.tolist(), sizes.tolist()):
+                    if mark not in self.numbers:
+                        self.numbers[mark] = len(self.numbers)
+                        self.held.append(hashes[end - n:end])
+                    self.rows.append((key, self.numbers[mark], key in self.targets, flag))
+
+    def close(self) -> Part:
+        """All texts are there."""
+        n = len(self.held)
+        self.text_of_row = np.array([r[1] for r in self.rows], np.int64)
+        self.is_target, self.is_drawn = (np.array([r[i] for r in self.rows], bool) for i in (2, 3))
+        self.weights = [np.bincount(self.text_of_row, weights=x, minlength=n) for x in (self.is_target, self.is_drawn)]
+        self.sizes = np.array([len(h) for h in self.held], np.int64)
+        self.hashes = np.concatenate(self.held) if n else np.zeros(0, np.uint64)
+        self.held = []
+        self.text = np.repeat(np.arange(n), self.sizes)
+        return self
+
+    def distinct_words(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.unique(self.hashes, return_inverse=True)
+
+    def counts(self, place: np.ndarray, n: int) -> list[np.ndarray]:
+        """How often each of `n` things stands in target and in background texts; `place` tells the one of each word."""
+        return [np.bincount(place, weights=w[self.text], minlength=n).astype(np.int64) for w in self.weights]
+
+    def mapped(self, seen: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash of each word, UNKNOWN outside the vocabulary; its place; whether the word of each place is known)."""
+        words, place = self.distinct_words()
+        self.word_totals = joined(self.words, len(words))
+        known = self.word_totals[0] + self.word_totals[1] >= seen
+        return np.where(known, words, UNKNOWN)[place], place, known
+
+    def distinct_pairs(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the pairs of words, those before in a text and BEGIN before its first, and the place of each word's."""
+        before = np.empty_like(own)
+        before[1:] = own[:-1]
+        before[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = BEGIN
+        return np.unique(mixed(mixed(before) + own), return_inverse=True)
+
+    def blobs(self, keys: np.ndarray, counts: list[np.ndarray], buckets: int) -> Iterator[pa.RecordBatch]:
+        """Keys in order with their counts, by ranges of the keys."""
+        edges = np.array([-(-(k << 64) // buckets) for k in range(1, buckets)], np.uint64)
+        cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
+        full = [k for k in range(buckets) if cuts[k] < cuts[k + 1]]
+        for low in range(0, len(full), 512):
+            own = [(k, slice(cuts[k], cuts[k + 1])) for k in full[low:low + 512]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in own], pa.int64()), pa.array([self.number] * len(own), pa.int64()),
+                 pa.array([packed_keys(keys[s]) for _, s in own], pa.binary()),
+                 *[pa.array([packed(c[s]) for _, s in own], pa.binary()) for c in counts]], ["bucket", "part", "words", "t", "b"])
+
+
+def joined(found: list[tuple[np.ndarray, np.ndarray]], n: int) -> list[np.ndarray]:
+    """Totals of all buckets, which come in order."""
+    out = [np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in (0, 1)]
+    if len(out[0]) != n:
+        raise ValueError(f"looked up {len(out[0])} of {n}: texts of a part have changed between two passes")
+    return out
+
+
+def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Part]:
+    """The parts of rows in order of part and kind."""
+    part = None
     for batch in batches:
-        parts = batch.column("part").to_numpy()
-        is_word = batch.column("row").is_null().to_numpy(zero_copy_only=False)
-        for start, end in runs(parts, is_word):
-            if parts[start] != part:
-                part, held, own = parts[start], [], None
-            if is_word[start]:
-                held.append(batch.slice(start, end - start))
+        number, kind = (batch.column(c).to_numpy() for c in ("part", "kind"))
+        cuts = np.flatnonzero((number[1:] != number[:-1]) | (kind[1:] != kind[:-1])) + 1
+        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)]):
+            if low == high:
                 continue
-            if own is None:
-                own = Vocabulary.of(held, rest)
-            yield own, batch.slice(start, end - start)
-
+            if part is None or part.number != number[low]:
+                if part is not None:
+                    yield part.close()
+                part = Part(int(number[low]))
+            part.add(batch.slice(low, high - low))
+    if part is not None:
+        yield part.close()
 
-def pairs_of(texts: pa.Array, vocabulary: Vocabulary) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(text number, places of the words before, keys of the pairs, how often) of each text; a text begins with BEGIN."""
-    begin = np.searchsorted(vocabulary.words, BEGIN)
-    for low in range(0, len(texts), TEXTS):
-        hashes, size = word_hashes(texts.slice(low, TEXTS))
-        places = vocabulary.place(hashes)
-        ends = np.cumsum(size)
-        for i, (start, n) in enumerate(zip(ends - size, size)):
-            own = places[start:start + n]
-            before = np.concatenate([[begin], own[:-1]]) if n else own
-            pairs, count = np.unique(before.astype(np.int64) * len(vocabulary.words) + own, return_counts=True)
-            yield low + i, before, vocabulary.keys(pairs), count
 
+def totals(counted: DataFrame, seen: int) -> DataFrame:
+    """For each part and bucket the sums, over all parts, of the counts of its keys, in their order; and for each bucket a
+    row without part: how many keys are seen `seen` times or more, and the counts of the others.
 
-def summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], name: str) -> pa.RecordBatch:
-    keys, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    sums = [np.bincount(back, weights=np.concatenate([p[i] for p in parts]), minlength=len(keys)).astype(np.int64) for i in (1, 2)]
-    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *map(pa.array, sums)], [name, "t", "b"])
-
-
-def learn_words(train: DataFrame, seen: int, scratch: Scratch) -> tuple[DataFrame, Rest]:
-    """(word, t, b) of all words, counted over all texts of both samples, and what a vocabulary of those seen
-    at least `seen` times has besides."""
+    A bucket's keys are as many as one task can hold, whatever the corpus; a key in all texts stands in it once a part.
+    """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def settle(bucket: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+            keys = [unpacked_keys(h[1]) for h in held]
+            sizes = [len(k) for k in keys]
+            every, place = np.unique(np.concatenate(keys), return_inverse=True)
+            sums = [np.bincount(place, weights=np.concatenate([unpacked(h[i], n) for h, n in zip(held, sizes)]),
+                                minlength=len(every)).astype(np.int64) for i in (2, 3)]
+            known = sums[0] + sums[1] >= seen
+            ends = np.cumsum(sizes).tolist()
+            cut = [slice(e - n, e) for e, n in zip(ends, sizes)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*(h[0] for h in held), None], pa.int64()), pa.array([bucket] * (len(held) + 1), pa.int64()),
+                 *[pa.array([*(packed(s[place[c]]) for c in cut), None], pa.binary()) for s in sums], pa.array([*sizes, None], pa.int64()),
+                 *[pa.array([None] * len(held) + [int(x)], pa.int64()) for x in (known.sum(), sums[0][~known].sum(), sums[1][~known].sum())]],
+                ["part", "bucket", "t", "b", "n", "known", "unknown_t", "unknown_b"])
+
+        bucket, held = None, []
         for batch in batches:
-            flag = batch.column("is_target").to_numpy(zero_copy_only=False).astype(bool)
-            for low in range(0, len(batch), TEXTS):
-                hashes, size = word_hashes(batch.column("text").slice(low, TEXTS))
-                own = np.repeat(flag[low:low + TEXTS], size)
-                yield summed([(hashes, own.astype(np.int64), (~own).astype(np.int64))], "word")
-
-    counts = scratch.settle(train.select("is_target", "text").mapInArrow(count, "word bigint, t bigint, b bigint").groupBy(
-        "word").agg(F.sum("t").alias("t"), F.sum("b").alias("b")))
-    known = F.col("t") + F.col("b") >= seen
-    sums = counts.agg(F.count_if(known).alias("n"), *[
-        F.coalesce(F.sum(F.when(~known, F.col(c))), F.lit(0)).alias(c) for c in ("t", "b")]).first()
-    texts = {r["is_target"]: r["count"] for r in train.groupBy("is_target").count().collect()}
-    return counts, Rest(sums["n"] + 2, (sums["t"], texts.get(True, 0)), (sums["b"], texts.get(False, 0)))
-
-
-def learn_pairs(train: DataFrame, words: DataFrame, rest: Rest, least: int) -> DataFrame:
-    """(pair, t, b): how often the pairs of words follow each other in either sample."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size = [], 0
-        for own, batch in parts_of(batches, rest):
-            flag = batch.column("is_target").to_numpy(zero_copy_only=False).astype(bool)
-            for i, _, pairs, n in pairs_of(batch.column("text"), own):
-                parts.append((pairs, n * flag[i], n * (not flag[i])))
-                size += len(pairs)
-                if size >= PAIRS:
-                    yield summed(parts, "pair")
-                    parts, size = [], 0
-        if parts:
-            yield summed(parts, "pair")
-
-    numbered = train.select(F.monotonically_increasing_id().alias("row"), "text", "is_target")
-    return beside_words(numbered, words).mapInArrow(count, "pair bigint, t bigint, b bigint").groupBy("pair").agg(
-        F.sum("t").alias("t"), F.sum("b").alias("b")).filter(F.col("t") + F.col("b") >= least)
+            for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "part", "words", "t", "b"))):
+                if row[0] != bucket:
+                    if held:
+                        yield from settle(bucket, held)
+                    bucket, held = row[0], []
+                held.append(row[1:])
+        if held:
+            yield from settle(bucket, held)
+
+    return counted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add, SUMMED)
 
 
 def score(docs: DataFrame, is_target: DataFrame, key: str = "doc_id", text: str = "text", seen: int = SEEN,
-          least: int = LEAST, alpha: float = ALPHA) -> DataFrame:
+          least: int = LEAST, alpha: float = ALPHA, leave_out: bool = False) -> DataFrame:
     """(key, n_tokens, loss_target, loss_background, loss_difference) per row of `docs`.
 
     Two models of word pairs are learned: from all documents whose key is in `is_target`, and from a background
@@ -181,75 +203,114 @@ def score(docs: DataFrame, is_target: DataFrame, key: str = "doc_id", text: str
     words; the difference, target less background, is low for texts like the target's.
 
     The vocabulary is all words seen `seen` times or more in both samples together, however large these are; pairs seen
-    less than `least` times count as unseen. Words and pairs are as many as the corpus has and stay tables. Texts are looked
-    up by joining the distinct words of each part of them with the one, and their distinct pairs with the other, in a
-    join that Spark splits where a pair is in very many texts.
+    less than `least` times count as unseen. With `leave_out` a document that a model was learned from is scored without its
+    own counts.
+
+    Texts are dealt into parts by key. A part sends its different words with their counts in its texts of both samples, in
+    ranges of their hashes, to buckets; a bucket adds up what all parts sent and answers each with the sums. With
+    these the part knows its vocabulary and does the same with its pairs; then it has all that its texts' scores need.
+    So words and pairs, which are as many as the corpus has, are never in one place, and what moves is a row for each
+    part and bucket. A key of very many rows is dealt to many parts by text.
 
     Null and empty texts have no words and losses of 0; words outside the vocabulary are one unknown word; a
-    null key is never a target; rows that repeat are rows of their own; with no target or no background the counts of
-    that model are 0 and every word is as likely; an empty table gives an empty result; other columns are not looked at.
+    null key is never a target; rows that repeat are rows of their own; a text of any length is in one part; with no target
+    or no background the counts of that model are 0 and every word is as likely; an empty table gives an empty result;
+    other columns are not looked at.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    wanted = is_target.select(F.col(key).alias("of")).filter("of IS NOT NULL")
+    kind = docs.schema[key].dataType.simpleString()
+    wanted = is_target.select(F.col(key).cast(kind).alias("key")).filter("key IS NOT NULL").distinct()
     read = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # Only texts of the target move: Spark sifts the documents by a filter of the keys wanted before the join.
-    target = read.join(wanted, F.col("key") == F.col("of"), "left_semi")
-    lengths = read.select("key", F.octet_length("text").alias("n"))
-    volume = F.coalesce(F.sum("n"), F.lit(0))
-    drawn = min(1.0, lengths.join(wanted, F.col("key") == F.col("of"), "left_semi").agg(volume).first()[0]
-                / max(1, lengths.agg(volume).first()[0]))
-    place: Column = F.pmod(F.xxhash64(F.lit(17), "key"), F.lit(1 << 30)) / float(1 << 30)
-    train = scratch.settle(target.select(F.lit(True).alias("is_target"), "text").union(
-        read.filter(place < drawn).select(F.lit(False).alias("is_target"), "text")))
-    counts, rest = learn_words(train, seen, scratch)
-    words = counts.filter(F.col("t") + F.col("b") >= seen)
-    pairs = scratch.settle(learn_pairs(train, words, rest, least))
-    scratch.drop(train)
-    v = float(rest.size)
-
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(out: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["row", "pair", "n", "t0", "b0"])
-
-        last, after = None, []
-        out, size = [[], [], [], [], []], 0
-        for own, batch in parts_of(batches, rest):
-            if own is not last:
-                last, after = own, [np.log(c + alpha * v) for c in (own.target, own.background)]
-            ids = batch.column("row").to_numpy()
-            for i, before, found, n in pairs_of(batch.column("text"), own):
-                # One more row per text, of a pair that no text has, holds what needs no lookup.
-                own_pair = -1 - int(mixed(ids[i:i + 1].view(np.uint64))[0] >> np.uint64(2))
-                out[0].append(np.full(len(found) + 1, ids[i]))
-                out[1].append(np.append(found, own_pair))
-                out[2].append(np.append(n, 0))
-                for k in (0, 1):
-                    extra = np.zeros(len(found) + 1)
-                    extra[-1] = after[k][before].sum()
-                    out[3 + k].append(extra)
-                size += len(found) + 1
-                if size >= PAIRS:
-                    yield rows(out)
-                    out, size = [[], [], [], [], []], 0
-        if size:
-            yield rows(out)
-
-    numbered = read.withColumn("row", F.monotonically_increasing_id())
-    log = lambda c: F.log(F.coalesce(c, F.lit(0)) + F.lit(alpha)) * F.col("n")
-    batch_of = F.pmod(F.xxhash64(F.shiftright("row", PART)), F.lit(BATCHES))
-    per = F.greatest("n_tokens", F.lit(1))
-    sums = []
-    for k in range(BATCHES):
-        texts = numbered.select("row", "text", F.lit(None).cast("boolean").alias("is_target")).filter(batch_of == k)
-        looked = beside_words(texts, words).mapInArrow(look, "row bigint, pair bigint, n bigint, t0 double, b0 double")
-        # The pairs of the model stand once each, so each partition of theirs is held as a hash table and the
-        # texts' side need not be sorted.
-        sums.append(scratch.settle(looked.join(pairs.hint("shuffle_hash"), "pair", "left").groupBy("row").agg(
-            F.sum("n").alias("n_tokens"), F.sum(F.col("t0") - log("t")).alias("lt"), F.sum(F.col("b0") - log("b")).alias("lb"))))
-    scratch.drop(counts, pairs)
-    keys = scratch.settle(numbered.select("row", "key"))
-    scratch.keep(keys, *sums)
-    return keys.join(functools.reduce(DataFrame.union, sums), "row").select(
-        F.col("key").alias(key), "n_tokens", (F.col("lt") / per).alias("loss_target"), (F.col("lb") / per).alias("loss_background"),
-        ((F.col("lt") - F.col("lb")) / per).alias("loss_difference"))
+    per_key = scratch.settle(read.groupBy("key").agg(F.sum(F.octet_length("text").cast("long")).alias("size"), F.count("*").alias("rows")))
+    volume = F.coalesce(F.sum("size"), F.lit(0))
+    size = per_key.agg(volume).first()[0]
+    share = min(1.0, per_key.join(wanted, "key", "left_semi").agg(volume).first()[0] / max(1, size))
+    hot = scratch.settle(per_key.filter((F.col("rows") > HOT) & F.col("key").isNotNull()).select(
+        "key", F.ceil(F.col("rows") / HOT).alias("salts")))
+    scratch.drop(per_key)
+    parts, buckets = -(-size // PART) or 1, -(-size // BUCKET) or 1
+    mark = F.xxhash64("text")
+    drawn = F.pmod(F.xxhash64(F.lit(17), "key"), F.lit(1 << 30)) / float(1 << 30) < share
+    rows = read.select("key", "text", mark.alias("mark"), drawn.alias("drawn"))
+    if hot.isEmpty():
+        salted, asked = rows.withColumn("salt", F.lit(0).cast("long")), wanted.withColumn("salt", F.lit(0).cast("long"))
+    else:
+        salted = rows.join(hot, "key", "left").withColumn("salt", F.coalesce(F.pmod("mark", "salts"), F.lit(0).cast("long"))).drop("salts")
+        asked = wanted.join(hot, "key", "left").select("key", F.explode(F.sequence(
+            F.lit(0).cast("long"), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
+    place = F.pmod(F.xxhash64("key", "salt"), F.lit(parts)).cast("long")
+    texts = salted.select(F.when(F.col("key").isNull(), F.pmod("mark", F.lit(parts))).otherwise(place).alias("part"),
+                          F.lit(3).alias("kind"), "key", "text", "mark", "drawn")
+    targets = asked.select(place.alias("part"), F.lit(0).alias("kind"), "key")
+
+    def gathered(**looked: DataFrame) -> DataFrame:
+        """Rows of all parts: their targets, what has been looked up for them, their texts."""
+        out = texts.unionByName(targets, allowMissingColumns=True)
+        for number, name in enumerate(("words", "pairs"), 1):
+            found = looked.get(name)
+            if found is None:
+                found = spark.createDataFrame([], SUMMED)
+            out = out.unionByName(found.filter("part IS NOT NULL").select(
+                "part", F.lit(number).alias("kind"), "bucket", "t", "b", "n"), allowMissingColumns=True)
+        return out.repartition("part").sortWithinPartitions("part", "kind", "bucket")
+
+    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts_of(batches):
+            words, at = part.distinct_words()
+            yield from part.blobs(words, part.counts(at, len(words)), buckets)
+
+    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts_of(batches):
+            keys, at = part.distinct_pairs(part.mapped(seen)[0])
+            yield from part.blobs(keys, part.counts(at, len(keys)), buckets)
+
+    words = scratch.settle(totals(gathered().mapInArrow(count_words, COUNTED), seen))
+    sums = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("known", "unknown_t", "unknown_b")]).first()
+    began = rows.select("key", "drawn").join(wanted.withColumn("is_target", F.lit(True)), "key", "left").agg(
+        F.count_if("is_target").alias("t"), F.count_if("drawn").alias("b")).first()
+    pairs = scratch.settle(totals(gathered(words=words).mapInArrow(count_pairs, COUNTED), least))
+    v, key_type = float(sums["known"] + 2), to_arrow_type(docs.schema[key].dataType)
+    rest = ((sums["unknown_t"], began["t"]), (sums["unknown_b"], began["b"]))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts_of(batches):
+            own, at, known = part.mapped(seen)
+            keys, pair = part.distinct_pairs(own)
+            pair_totals = joined(part.pairs, len(keys))
+            heard = pair_totals[0] + pair_totals[1] >= least
+            n = len(part.sizes)
+            # The word before each word: its place among the part's words, then UNKNOWN, then BEGIN.
+            unknown, begin = len(known), len(known) + 1
+            here = np.where(known[at], at, unknown)
+            before = np.empty_like(here)
+            before[1:] = here[:-1]
+            before[(np.cumsum(part.sizes) - part.sizes)[part.sizes > 0]] = begin
+            # How often each word's pair, and the word before it, stand in its own text.
+            _, back, times = np.unique(part.text * len(keys) + pair, return_inverse=True, return_counts=True)
+            own_pairs = times[back]
+            spots, times = np.unique(part.text * begin + here, return_counts=True)
+            asked = np.searchsorted(spots, part.text * begin + before).clip(max=max(len(spots) - 1, 0))
+            own_words = np.where(before == begin, 1, times[asked]) if len(spots) else before
+            losses = []
+            for side in (0, 1):
+                after = np.concatenate([part.word_totals[side], rest[side]])[before]
+                both = np.where(heard, pair_totals[side], 0)[pair]
+                for out in (0, 1):
+                    less = np.minimum(both, own_pairs) if out else 0
+                    fewer = np.minimum(after, own_words) if out else 0
+                    loss = np.log(after - fewer + alpha * v) - np.log(both - less + alpha)
+                    losses.append(np.bincount(part.text, weights=loss, minlength=n))
+            row = part.text_of_row
+            size_of = part.sizes[row]
+            lt, lb = (np.where(flag & leave_out, losses[2 * k + 1][row], losses[2 * k][row]) / np.maximum(size_of, 1)
+                      for k, flag in enumerate((part.is_target, part.is_drawn)))
+            names = pa.array([r[0] for r in part.rows], key_type)
+            for low in range(0, len(row), 65_536):
+                s = slice(low, low + 65_536)
+                yield pa.RecordBatch.from_arrays([names[s], *(pa.array(c[s]) for c in (size_of, lt, lb, lt - lb))],
+                                                 ["key", "n_tokens", "loss_target", "loss_background", "loss_difference"])
+
+    scratch.keep(words, pairs, hot)
+    return gathered(words=words, pairs=pairs).mapInArrow(
+        judge, f"key {kind}, n_tokens bigint, loss_target double, loss_background double, loss_difference double").withColumnRenamed("key", key)
