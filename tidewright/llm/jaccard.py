@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.llm.common import slices
 from tidewright.llm.graph import components
 from tidewright.llm.wordhash import mixed, shingle_sets
 from tidewright.session import Scratch
@@ -30,46 +30,51 @@ HEAVY = 16
 BLOCK = 1024
 #: Leaders that a document is compared with before the groups are known.
 LEADERS = 4
-#: Counters by which pairs are sifted before their sets are read.
-SIEVE = 256
+#: Counters by which pairs are sifted before their sets are read, and sums of them that are looked at first.
+SIEVE, COARSE = 256, 16
 
 
 def sketch(docs: DataFrame, words: int) -> np.ndarray:
     """Frequency class of each of SKETCH counters, over the shingles of all texts.
 
-    Every task adds up its own counters and sends them in compressed strips; strips are added as they come, first in
-    LANES lanes and then all, so a task holds its strips once however many tasks sent some.
+    Every task adds up its own counters and sends them in compressed strips; strips are added one after the other, first
+    in LANES lanes and then all, so a task holds one however many there are.
     """
 
-    def rows(strips: dict[int, np.ndarray], lane: int) -> Iterator[pa.RecordBatch]:
-        for strip, counts in strips.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([strip], pa.int32()), pa.array([lane], pa.int32()),
-                 pa.array([pa.compress(counts.tobytes(), codec="zstd", asbytes=True)], pa.binary())], ["strip", "lane", "counts"])
+    def strip_row(strip: int, counts: np.ndarray, lane: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([strip], pa.int32()), pa.array([lane], pa.int32()),
+             pa.array([pa.compress(counts.tobytes(), codec="zstd", asbytes=True)], pa.binary())], ["strip", "lane", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SKETCH, np.int64)
+        total = np.zeros(SKETCH, np.uint32)
         for batch in batches:
-            for low in range(0, len(batch), 1024):
-                held = [own for own in shingle_sets(batch.column("text").slice(low, 1024), words) if len(own)]
+            for part in slices(batch, "text", 1024, 1 << 20):
+                held = [own for own in shingle_sets(part.column("text"), words) if len(own)]
                 if held:
                     at, n = np.unique(np.concatenate(held) & np.uint64(SKETCH - 1), return_counts=True)
-                    total[at.astype(np.int64)] += n
-        yield from rows({i: total[i * STRIP:(i + 1) * STRIP] for i in range(SKETCH // STRIP)},
-                        TaskContext.get().partitionId() % LANES)
+                    total[at.astype(np.int64)] += n.astype(np.uint32)
+        for i in range(SKETCH // STRIP):
+            yield strip_row(i, total[i * STRIP:(i + 1) * STRIP].astype(np.int64), TaskContext.get().partitionId() % LANES)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        strips: dict[int, np.ndarray] = {}
+        here, total = None, None
         for batch in batches:
             for strip, raw in zip(batch.column("strip").to_pylist(), batch.column("counts").to_pylist()):
                 own = np.frombuffer(pa.decompress(raw, decompressed_size=8 * STRIP, codec="zstd", asbytes=True), np.int64)
-                strips[strip] = strips[strip] + own if strip in strips else own
-        yield from rows(strips, 0)
+                if strip != here:
+                    if here is not None:
+                        yield strip_row(here, total, 0)
+                    here, total = strip, own.copy()
+                else:
+                    total += own
+        if here is not None:
+            yield strip_row(here, total, 0)
 
     kind = "strip int, lane int, counts binary"
-    sums = docs.select("text").mapInArrow(count, kind).repartition("strip", "lane").mapInArrow(add, kind)
+    sums = docs.select("text").mapInArrow(count, kind).repartition("strip", "lane").sortWithinPartitions("strip").mapInArrow(add, kind)
     classes = np.zeros(SKETCH, np.uint8)
-    for row in sums.repartition("strip").mapInArrow(add, kind).collect():  # SKETCH counters, compressed
+    for row in sums.repartition("strip").sortWithinPartitions("strip").mapInArrow(add, kind).collect():  # SKETCH counters, compressed
         counts = np.frombuffer(pa.decompress(row["counts"], decompressed_size=8 * STRIP, codec="zstd", asbytes=True), np.int64)
         classes[row["strip"] * STRIP:(row["strip"] + 1) * STRIP] = np.minimum(2 * np.log2(1 + counts), 63).astype(np.uint8)
     return classes
@@ -107,7 +112,7 @@ def shingle_table(docs: DataFrame, words: int, percent: int, classes: np.ndarray
     sent = docs.sparkSession.sparkContext.broadcast(classes)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text", 1024)):
             n, sig, sig2, prefix, sieve = [], [], [], [], []
             for own in shingle_sets(batch.column("text"), words):
                 n.append(len(own))
@@ -115,7 +120,7 @@ def shingle_table(docs: DataFrame, words: int, percent: int, classes: np.ndarray
                 sig2.append(int(mixed(own ^ np.uint64(0xA0761D6478BD642F)).sum(dtype=np.uint64)))
                 keep = reach(len(own), percent) + SUBSET - 1 if len(own) else 0
                 prefix.append(ordered(own, sent.value)[:keep].tobytes())
-                sieve.append(np.bincount((own >> np.uint64(56)).astype(np.int64), minlength=SIEVE).astype(np.uint32).tobytes())
+                sieve.append(narrow(np.bincount((own >> np.uint64(56)).astype(np.int64), minlength=SIEVE)))
             yield pa.RecordBatch.from_arrays([
                 batch.column("id"), pa.array(n, pa.int64()), pa.array(np.array(sig, np.uint64).view(np.int64)),
                 pa.array(np.array(sig2, np.uint64).view(np.int64)), pa.array(prefix, pa.binary()), pa.array(sieve, pa.binary())],
@@ -124,15 +129,33 @@ def shingle_table(docs: DataFrame, words: int, percent: int, classes: np.ndarray
     return docs.mapInArrow(describe, "id bigint, n bigint, sig bigint, sig2 bigint, prefix binary, sieve binary")
 
 
+def narrow(counters: np.ndarray) -> bytes:
+    """Counters in one byte each where the largest fits, else in four."""
+    return counters.astype(np.uint8 if counters.max() < 256 else np.uint32).tobytes()
+
+
+def counters_of(column: pa.Array) -> np.ndarray:
+    """The counters of many documents, in as few bytes as all of them need."""
+    own = [np.frombuffer(v, np.uint8 if len(v) == SIEVE else np.uint32) for v in column.to_pylist()]
+    return np.stack(own)
+
+
 def subsets(own: np.ndarray) -> np.ndarray:
     """Even keys of all subsets of SUBSET elements."""
     a, b = np.triu_indices(len(own), 1)
     return mixed(mixed(own[a]) + own[b]) & ~np.uint64(1)
 
 
-def first_subset(a: np.ndarray, b: np.ndarray) -> int:
-    """Key of the first subset of SUBSET elements that two ordered arrays share."""
-    return int(subsets(np.intersect1d(a, b, assume_unique=True)[:SUBSET].view(np.uint64)).view(np.int64)[0])
+def shared_ahead(keys: list[list[int]], here: int) -> list[frozenset] | None:
+    """For each member of the list of the subset `here` its keys that come before the second one of that subset, but for the
+    first one. The subset is the first that two members share if they have none of these in common."""
+    own = np.array(keys[0], np.int64)
+    if not len(own):
+        return None
+    a, b = np.triu_indices(len(own), 1)
+    at = np.flatnonzero(subsets(own.view(np.uint64)).view(np.int64) == here)[0]
+    first, second = int(own[a[at]]), int(own[b[at]])
+    return [frozenset(k for k in x if k < second and k != first) for x in keys]
 
 
 def heavy_subsets(rows: DataFrame) -> DataFrame:
@@ -263,9 +286,8 @@ def sifted(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             for low in range(0, len(batch), 4096):
                 part = batch.slice(low, 4096)
-                x, y = (np.stack([np.frombuffer(v.as_buffer(), np.uint32) for v in part.column(c)]).astype(np.int64)
-                        for c in ("x", "y"))
-                common, both = np.minimum(x, y).sum(1), x.sum(1) + y.sum(1)
+                x, y = (counters_of(part.column(c)) for c in ("x", "y"))
+                common, both = np.minimum(x, y).sum(1, dtype=np.int64), x.sum(1, dtype=np.int64) + y.sum(1, dtype=np.int64)
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(common / (both - common))],
                                                  ["a", "b", "bound"]).filter(pa.array(100 * common >= percent * (both - common)))
 
@@ -311,13 +333,17 @@ def cross_pairs(shared: DataFrame, named: DataFrame, reps: DataFrame, percent: i
         F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
     none = F.array().cast("array<bigint>").alias("keys")
     long = first.filter(heavy & ~alone).select("*", none).unionByName(second.filter(heavy).join(held, "id"))
+    # Each pair of blocks is a piece of work that grows with the square of a block: as many tasks as pairs, within reason.
+    lengths = first.filter(heavy & ~alone).select("key", "c").union(second.filter(heavy).select("key", "c")).distinct()
+    work = lengths.agg(F.sum(F.pow(F.ceil(F.col("c") / BLOCK), F.lit(2)) / 2)).first()[0] or 0
+    parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = scratch.settle(sifted(pairs, reps, percent).select("a", "b").union(
-        long_lists(long, reps, percent)).distinct())
+        long_lists(long, reps, percent, max(parts, min(int(work), 64 * parts)))).distinct())
     scratch.drop(first, second)
     return out
 
 
-def long_lists(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+def long_lists(rows: DataFrame, reps: DataFrame, percent: int, tasks: int) -> DataFrame:
     """(a, b) of the pairs of different groups in long lists, rows (key, id, n, g, c, keys), that sizes and counters let be similar.
     Of the lists that the subsets of two documents' heavy shingles `keys` share, the first one gives the pair.
 
@@ -331,24 +357,28 @@ def long_lists(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     known = dealt.join(reps.select("id", F.col("sieve").alias("x")), "id").select("key", "i", "j", "second", "n", "id", "g", "keys", "x")
 
     def compare(part: pa.Table, out: list) -> None:
+        order = np.argsort(part.column("n").to_numpy(), kind="stable")
+        part = part.take(pa.array(order)).combine_chunks()
         n, ids, g = (part.column(c).to_numpy() for c in ("n", "id", "g"))
-        x = np.stack([np.frombuffer(v, np.uint32) for v in part.column("x").to_pylist()]).astype(np.float32)
+        x = counters_of(part.column("x"))
+        coarse = x.reshape(len(x), COARSE, -1).sum(2, dtype=np.float32)
         second = part.column("second").to_numpy().astype(bool)
         mixed_blocks = part.column("i")[0].as_py() != part.column("j")[0].as_py()
-        order = np.argsort(n, kind="stable")
-        here = part.column("key")[0].as_py()
-        keys = part.column("keys").to_pylist()
-        keys = [np.array(keys[o], np.int64) for o in order]
-        n, ids, g, x, second = n[order], ids[order], g[order], x[order], second[order]
+        ahead = shared_ahead(part.column("keys").to_pylist(), part.column("key")[0].as_py())
         ends = np.searchsorted(n, n * 100 // percent, "right")
         for k in range(len(n) - 1):
-            other = np.arange(k + 1, ends[k])
-            other = other[(g[other] != g[k]) & ((second[other] != second[k]) if mixed_blocks else True)]
+            near = slice(k + 1, ends[k])
+            able = g[near] != g[k]
+            if mixed_blocks:
+                able &= second[near] != second[k]
+            # A bound by a few sums of counters first: what it leaves is looked at by all of them.
+            able &= 100 * np.minimum(coarse[near], coarse[k]).sum(1) >= percent / (100 + percent) * 100 * (n[k] + n[near]) - 1e-3 * n[k]
+            other = np.flatnonzero(able) + k + 1
             if len(other):
-                common = np.minimum(x[other], x[k]).sum(1, dtype=np.float64)
+                common = np.minimum(x[other], x[k]).sum(1, dtype=np.int64)
                 good = other[100 * common >= percent * (n[k] + n[other] - common)]
-                if len(keys[k]):
-                    good = np.array([o for o in good if first_subset(keys[k], keys[o]) == here], np.int64)
+                if ahead is not None and len(good):
+                    good = good[[ahead[k].isdisjoint(ahead[o]) for o in good.tolist()]]
                 if len(good):
                     out.append((np.minimum(ids[good], ids[k]), np.maximum(ids[good], ids[k])))
 
@@ -378,7 +408,7 @@ def long_lists(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
         if held and sum(len(h) for h in held):
             yield from flush(pa.Table.from_batches(held))
 
-    return (known.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return (known.repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j")
             .mapInArrow(walk, "a bigint, b bigint"))
 
 
@@ -386,7 +416,7 @@ def shingle_store(docs: DataFrame, pairs: DataFrame, scratch: Scratch, words: in
     """(id, size, own): the whole sets of the documents in `pairs`, from their texts."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text", 1024)):
             own = list(shingle_sets(batch.column("text"), words))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(x) for x in own], pa.int64()),
                                               pa.array([x.tobytes() for x in own], pa.binary())], ["id", "size", "own"])
