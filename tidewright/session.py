@@ -24,6 +24,8 @@ RUNTIME_SETTINGS = {
     # A shuffled join with a small filtered side sifts the large side by a filter of its keys first,
     # from this size of scan on.
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "32MB",
+    # What Python functions are given at once, in bytes and in rows: wide rows would fill an executor otherwise.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 #: Settings of the context: checkpoints go when nothing refers to them any more.
 CONTEXT_SETTINGS = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
