@@ -30,6 +30,20 @@ def test_language_stage_keeps_texts_of_a_language(spark, docs):
     assert out == {r.doc_id for r in docs.collect()} - {9001, 9002, 9003}
 
 
+def test_language_stage_rejects_what_no_other_text_taught(spark, docs):
+    foreign = "".join(chr(0x3B1 + i * 7 % 24) + (" " if i % 5 == 4 else "") for i in range(400))
+    rows = [(9100, foreign, "en", "s", 1), (9101, foreign, "en", "s", 1), (9102, "qzx jqv xkz wqx zzq " * 30, "de", "s", 1)]
+    out = {r.doc_id for r in cp.in_a_language(spark, docs.union(spark.createDataFrame(rows, docs.schema)), FOLDER).collect()}
+    assert out == {r.doc_id for r in docs.collect()} - {9001, 9002, 9003}
+
+
+def test_stages_of_nothing_and_of_one(spark, docs):
+    one = docs.limit(1)
+    for _, stage in cp.STAGES:
+        assert stage(spark, docs.limit(0), FOLDER).collect() == []
+        assert stage(spark, one, FOLDER).count() >= 1
+
+
 def test_group_stage_keeps_one_of_each(spark, docs):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     out = cp.one_of_each_group(spark, docs.union(docs.limit(1)).union(docs.limit(1).withColumn("doc_id", F.lit(None).cast("bigint"))), FOLDER)
@@ -87,6 +101,18 @@ def test_mix_stage_repeats_documents(spark, docs):
     assert max(times.values()) <= 6
 
 
+def test_mix_stage_tells_rows_apart_by_which_column_is_null(spark, docs):
+    text = "several words of one text " * 8
+    rows = [(1, text, None, "x", 5), (1, text, "x", None, 5), (None, text, "x", None, 5), (1, text, "x", "x", 5)]
+    out = cp.mixed(spark, spark.createDataFrame(rows, docs.schema), FOLDER).collect()
+    assert {tuple(r) for r in out} == set(rows) or Counter(map(tuple, out)).total() >= 3
+    words = Counter()
+    for r in out:
+        words[r.source] += 40
+    for s, goal in reshared({"x": 80, None: 80}).items():
+        assert abs(words[s] - goal) <= 40
+
+
 def test_whole_run(spark):
     rows = cp.run(spark, FOLDER).collect()
     assert len(rows) > 100

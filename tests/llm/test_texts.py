@@ -71,7 +71,6 @@ def ids_of(text):
     from tokenizers import Tokenizer
 
     tok = TOKENIZERS.setdefault(0, Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
-    tok.encode_special_tokens = True
     return [*tok.encode(text or "", add_special_tokens=False).ids, 0]
 
 
@@ -124,8 +123,10 @@ def test_packing_of_odd_rows(spark):
     tiny = [(i, "many words of a large source " * 40, "en", "big") for i in range(60)] + [(100 + i, "a", "en", f"t{i}") for i in range(9)]
     check_packed(packing.pack(frame(spark, tiny), public_tokenizers.path("byte_bpe_50k.json"), sequence=16, window=2).collect(),
                  {i: t for i, t, _, _ in tiny}, 16)
-    wide = packing.pack(frame(spark, [(1, "<|endoftext|> tail", "en", "a")]), public_tokenizers.path("byte_bpe_50k.json")).collect()
-    assert sum(r.length for r in wide) == len(ids_of("<|endoftext|> tail"))
+    special = {1: "<|endoftext|> tail", 2: "a <|endoftext|> b", 3: "<|endoftext", 4: "x<|endoftext|><|endoftext|>"}
+    assert ids_of(special[2]) == [64, 220, 50256, 275, 0]
+    wide = packing.pack(frame(spark, [(i, t, "en", "a") for i, t in special.items()]), public_tokenizers.path("byte_bpe_50k.json")).collect()
+    check_packed(wide, special, 1024)
 
 
 def reshared(sizes):
@@ -308,6 +309,20 @@ def test_frequent_lines_go(spark):
     assert all(got[100 + i].kept for i in range(40))
 
 
+def test_further_documents_bring_no_line_back(spark):
+    line = "This work is licensed under these terms here"
+    letters = lambda i: "".join(chr(97 + int(c)) for c in str(i))  # noqa: E731  digits are all alike to the rules
+    own = [(i, f"{line}\n" + " ".join(f"w{letters(i)}x{letters(j)}" for j in range(12)), "en", "a") for i in range(60)]
+    few = {r.doc_id: r.removed_words for r in line_rules.check_lines(frame(spark, own)).collect()}
+    others = spark.range(1000, 31_000).select(
+        F.col("id").alias("doc_id"), F.concat_ws(" ", *[F.concat(F.lit(f"v{letters(j)}x"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"))
+                                                       for j in range(12)]).alias("text"),
+        F.lit("en").alias("lang"), F.lit("a").alias("source"), F.lit(1).cast("long").alias("n_chars"), F.lit("k").alias("key"),
+        F.lit(2).alias("row"), F.lit(3).alias("size"))
+    many = line_rules.check_lines(frame(spark, own).union(others)).filter("doc_id < 1000").collect()
+    assert set(few.values()) == {8} and {r.doc_id: r.removed_words for r in many} == few
+
+
 def test_lines_of_odd_rows(spark):
     got = line_rules.check_lines(frame(spark, [*ODD, (8, "a b c d e\nx\nx\n \na b c d e z #|", "en", "a")])).collect()
     assert len(got) == len(ODD) + 1

@@ -12,9 +12,8 @@ from tidewright.session import Scratch
 LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 WINDOW = 5
-#: A line of a host is boilerplate in more than this many different documents and this share of the host's.
+#: A line of a host is boilerplate in more than this many different documents, however many the host has.
 LINE_DOCS = 20
-LINE_PERCENT = 5
 #: A document is depleted if less than this share of its words is left.
 LEFT_PERCENT = 50
 
@@ -56,15 +55,14 @@ def measures(docs: DataFrame, key: str, text: str, host: str) -> DataFrame:
 
 
 def check_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source",
-                line_docs: int = LINE_DOCS, line_percent: float = LINE_PERCENT,
-                left_percent: float = LEFT_PERCENT) -> DataFrame:
+                line_docs: int = LINE_DOCS, left_percent: float = LEFT_PERCENT) -> DataFrame:
     """Per row of `docs`: key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, removed_words,
     base_failed, kept.
 
-    A line of a host that stands in more than `line_docs` documents of different text and in more than
-    `line_percent` of the host's is removed; a document that keeps under `left_percent` of its words is
-    depleted. Exact copies count once in line frequencies, so that a much copied document is not taken
-    for boilerplate.
+    A line of a host that stands in more than `line_docs` documents of different text is removed; a document that keeps
+    under `left_percent` of its words is depleted. Exact copies count once in line frequencies, so that a much copied
+    document is not taken for boilerplate. The limit is a number and no share, so further documents of a host never bring a
+    removed line back.
 
     Line hashes are counted with partial sums before the shuffle; only (hash, host, row, words) of lines
     move, never texts. A line in a third of all documents is one row of counts, and the join that finds
@@ -77,12 +75,9 @@ def check_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", host:
     base = scratch.settle(measures(docs, key, text, host).withColumn("row", F.monotonically_increasing_id()))
     first = base.groupBy("host", "content").agg(F.min("row").alias("row")).select("row")
     counted = base.join(first, "row", "left_semi")
-    per_host = counted.groupBy(F.col("host").alias("of")).agg(F.count("*").alias("host_docs"))
     lines = counted.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
-    frequent = (lines.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") > line_docs)
-                .join(per_host, F.col("host").eqNullSafe(F.col("of")))
-                .filter(F.col("n") * 100 > F.col("host_docs") * line_percent).select("host", "line"))
-    frequent = scratch.settle(frequent)
+    frequent = scratch.settle(lines.groupBy("host", "line").agg(F.count("*").alias("n")).filter(
+        F.col("n") > line_docs).select("host", "line"))
     own = base.select("row", "host", F.explode("lines").alias("x")).select("row", "host", "x.line", "x.words")
     hit = (F.col("g.line") == F.col("p.line")) & F.col("g.host").eqNullSafe(F.col("p.host"))
     removed = (own.alias("g").join(frequent.alias("p"), hit, "left_semi")

@@ -94,10 +94,8 @@ WITH w AS (SELECT doc_id, source, coalesce(text, '') AS text,
       SELECT doc_id, source, trim(unnest(string_split(regexp_replace(regexp_replace(lower(text),
         '[\x20\x09\x0B-\x0D]+', ' ', 'g'), '[0-9]+', '0', 'g'), chr(10)))) AS line FROM w) WHERE line <> ''),
   firsts AS (SELECT min(doc_id) AS doc_id FROM w GROUP BY source, text),
-  hosts AS (SELECT source, count(*) AS host_docs FROM w SEMI JOIN firsts USING (doc_id) GROUP BY source),
-  freq AS (SELECT source, line FROM (
-      SELECT source, line, count(DISTINCT doc_id) AS n FROM norm SEMI JOIN firsts USING (doc_id) GROUP BY source, line)
-      JOIN hosts USING (source) WHERE n > 20 AND n * 100 > host_docs * 5),
+  freq AS (SELECT source, line FROM norm SEMI JOIN firsts USING (doc_id) GROUP BY source, line
+      HAVING count(DISTINCT doc_id) > 20),
   cut AS (SELECT doc_id, sum(k)::BIGINT AS removed_words FROM norm SEMI JOIN freq USING (source, line) GROUP BY doc_id),
   m AS (SELECT doc_id, len(words)::BIGINT AS n_words,
       (length(text) - len(regexp_extract_all(text, '[\x20\x09-\x0D]')))::BIGINT AS word_chars,
