@@ -141,11 +141,13 @@ def test_ids_of_odd_texts(spark, monkeypatch):
     odd += ["".join(chr(random.choice([random.randrange(32, 127), random.randrange(0xA0, 0x2FF), random.randrange(0x3040, 0x9FFF)]))
                     for _ in range(random.randrange(60))) for _ in range(400)]
     odd += ["".join(random.choice("abcdeint ") for _ in range(4000))] + ["".join(random.choice("thesin") for _ in range(3000))]
-    monkeypatch.setattr(bpe, "BLOCK", 7)
-    for text in odd:
-        raw = made.encode(text)
-        assert np.frombuffer(raw, "<u4").tolist() == own.encode_ordinary(text)
-        assert made.decode(raw) == text.encode()
+    odd += ["inininin banana " * 20, "aaaa aaaaa aaaaaa"]
+    for short in (256, 3):  # pre-tokens in one queue, and one by one
+        monkeypatch.setattr(bpe, "SHORT", short)
+        made.forget()
+        for text, raw in zip(odd, made.encode(odd)):
+            assert np.frombuffer(raw, "<u4").tolist() == own.encode_ordinary(text)
+            assert made.decode(raw) == text.encode()
         assert made.queue.first() == -1
     docs = frame(spark, ODD).withColumn("ids", F.lit("clash"))
     rows = bpe.decode(bpe.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS, public_tokenizers.PATTERN).collect()
@@ -157,7 +159,7 @@ def test_every_code_point_is_cut_alike():
     own, made = reference_encoding(), bpe.Codec(RANKS, public_tokenizers.PATTERN)
     for low in range(0, 0x30000, 256):
         text = "".join(f"x{chr(c)}1" for c in range(low, low + 256) if not 0xD800 <= c < 0xE000)
-        assert np.frombuffer(made.encode(text), "<u4").tolist() == own.encode_ordinary(text), hex(low)
+        assert np.frombuffer(made.encode([text])[0], "<u4").tolist() == own.encode_ordinary(text), hex(low)
 
 
 def test_queue_gives_lowest_rank_and_leftmost_place():
@@ -181,7 +183,10 @@ def test_small_memory_of_pre_tokens(monkeypatch):
     monkeypatch.setattr(bpe, "KNOWN", 3)
     own, made = reference_encoding(), bpe.Codec(RANKS, public_tokenizers.PATTERN)
     text = "several quite different words stand here, several of them twice"
-    assert np.frombuffer(made.encode(text), "<u4").tolist() == own.encode_ordinary(text) and len(made) <= 3
+    for _ in range(3):
+        assert [np.frombuffer(x, "<u4").tolist() for x in made.encode([text, "and more"])] == [own.encode_ordinary(t) for t in (text, "and more")]
+    made.encode(["x"])
+    assert len(made) == 1
 
 
 def brute_runs(words, least=6, times=4):
