@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tidewright.catalog import query
 from tidewright.functions.columns import words
 from tidewright.operators import features as fe
+from tidewright.operators import terms as tm
+from tidewright.session import settle
 
 WIDTH = 64
 INF = float("inf")
@@ -279,12 +281,10 @@ WITH {DOC_WORDS}, tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id
 df AS (SELECT term, count(*) AS df FROM tf GROUP BY term)
 SELECT doc_id, term, round(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 6) AS x FROM tf JOIN df USING (term)""")
 def _(spark, t):
-    # The whole vocabulary: as many terms as there are, found in one document or more.
-    terms = doc_words(t).select(F.explode("words")).distinct().count()
-    counted, model = fe.count_terms(doc_words(t), "words", "counts", terms, 1)
-    weighed = fe.vector_rows(fe.weigh_rare_terms(counted, "counts", "w")[0], ["doc_id"], "w", sparse=True)
-    names = spark.createDataFrame(list(enumerate(model.vocabulary)), "pos int, term string")
-    return weighed.join(names, "pos").select("doc_id", "term", F.round("x", 6).alias("x"))
+    # Counted once, for the frequencies and for the result; the vocabulary is as large as it is and stays a table.
+    counts = settle(tm.term_counts(doc_words(t), ["doc_id"]))
+    weights = tm.TermWeights.of_counts(counts, t.documents.count())
+    return weights.weigh(counts, ["doc_id"]).select("doc_id", "term", F.round("tfidf", 6).alias("x"))
 
 
 @query("fe_24_vector_assembler", f"""

@@ -1,6 +1,7 @@
 """Fitted models. Where a fit has a closed form the SQL computes it; elsewhere the query
 returns row counts and properties that must hold."""
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator,
@@ -13,10 +14,13 @@ from tidewright.catalog import query
 from tidewright.catalog.evaluation import rounded
 from tidewright.catalog.features import COMMON, DOC_WORDS, doc_words, vectors
 from tidewright.catalog.relational import ratings
+from tidewright.operators import certificates as ct
 from tidewright.operators import evaluation as ev
 from tidewright.operators import features as fe
 from tidewright.operators import models as md
 from tidewright.operators import recommend as rc
+from tidewright.operators import terms as tm
+from tidewright.operators.graphs import logistic_descent
 from tidewright.operators.relational import key_split
 from tidewright.session import Scratch, fresh_path
 
@@ -34,16 +38,21 @@ def ten_classes(t):
 
 
 EMBEDDED = "FROM embeddings"
+#: How far from level a converged fit may be, as a share of the slope at weights of 0; a hinge has kinks that no fit meets exactly.
+SLOPE, HINGE_SLOPE, SURVIVAL_SLOPE = 1e-4, 0.05, 1e-3
+#: Share of the right side that solved factors, which are single precision, may be off by.
+RESIDUAL = 1e-3
 HELD_OUT = "SELECT count(*) AS n_rows, TRUE AS better_than_constant FROM lineitem"
 
 
 def price_classes(t):
-    """Three classes of line price, to be told from quantity, retail price, discount and tax."""
+    """Three classes of what a line's quantity comes to after discount and tax, to be told from quantity, retail price,
+    discount and tax: no single one of them tells the class near its limits."""
     retail = t.part.select(F.col("p_partkey").alias("l_partkey"), (F.col("p_retailprice") / 1000).alias("retail"))
-    price = F.col("l_extendedprice")
+    net = F.col("l_quantity") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
     d = t.lineitem.join(retail, "l_partkey").select(
         "l_orderkey", "l_partkey", (F.col("l_quantity") / 50).alias("qty"), "retail", "l_discount", "l_tax",
-        F.when(price < 20000, 0.0).when(price < 50000, 1.0).otherwise(2.0).alias("label"))
+        F.when(net < 15, 0.0).when(net < 32, 1.0).otherwise(2.0).alias("label"))
     return fe.assemble(d, ["qty", "retail", "l_discount", "l_tax"])
 
 
@@ -60,37 +69,45 @@ def held_out(model, train, test):
 
 
 @query("cl_01_logistic_elastic_net", f"""
-SELECT count(*) AS n_rows, TRUE AS sparse, TRUE AS loss_falls, TRUE AS ranks_well {EMBEDDED}""")
+SELECT count(*) AS n_rows, TRUE AS sparse, TRUE AS loss_falls, TRUE AS optimal {EMBEDDED}""")
 def _(spark, t):
     d = two_classes(t)
-    m = md.logistic(d, maxIter=20, regParam=0.05, elasticNetParam=0.8)
+    m = md.logistic(d, maxIter=200, tol=1e-10, regParam=0.05, elasticNetParam=0.8)
     loss = m.summary.objectiveHistory
     zeros = sum(1 for w in m.coefficients if w == 0.0)
-    auc = m.summary.areaUnderROC
+    slopes = ct.linear_slopes(d, m.coefficients.toArray(), m.intercept, "logistic", 0.05, 0.8)
     return d.agg(F.count("*").alias("n_rows")).select(
         "n_rows", F.lit(zeros > 0).alias("sparse"), F.lit(loss[-1] < loss[0]).alias("loss_falls"),
-        F.lit(auc > 0.5).alias("ranks_well"))
+        F.lit(slopes.worst() < SLOPE).alias("optimal"))
 
 
-@query("cl_02_logistic_by_gradient_steps", f"SELECT count(*) AS n_rows, TRUE AS close_to_label_order {EMBEDDED}")
+@query("cl_02_logistic_by_gradient_steps", f"SELECT count(*) AS n_rows, TRUE AS steps_follow_slopes, TRUE AS slopes_halved {EMBEDDED}")
 def _(spark, t):
-    from tidewright.operators.graphs import logistic_descent
-    d = two_classes(t).select((F.col("label") * 2 - 1).alias("y"), vector_to_array("features").alias("x"))
-    w = logistic_descent(d, [0.0] * 64, rounds=10, step=0.1)
-    score = F.aggregate(F.zip_with("x", F.array(*[F.lit(v) for v in w]), lambda a, b: a * b),
-                        F.lit(0.0), lambda s, v: s + v)
-    right = F.avg(F.when(score * F.col("y") > 0, 1.0).otherwise(0.0))
-    return d.agg(F.count("*").alias("n_rows"), (right > 0.5).alias("close_to_label_order"))
+    d = two_classes(t)
+    points = d.select((F.col("label") * 2 - 1).alias("y"), vector_to_array("features").alias("x"))
+    n = d.count()
+    # A step is as long as the curvature allows: that of the mean loss is at most a quarter of the mean squared length.
+    width = points.agg(F.avg(F.aggregate("x", F.lit(0.0), lambda a, x: a + x * x))).first()[0]
+    step = 4 / width / n
+    before = np.array(logistic_descent(points, [0.0] * 64, rounds=9, step=step))
+    after = np.array(logistic_descent(points, list(before), rounds=1, step=step))
+    level = lambda w: ct.loss_slopes(d, w, 0.0, "logistic")
+    moved = np.abs(before - step * n * level(before)[2][0, :-1] - after).max()
+    _, _, last, _, first, _ = level(logistic_descent(points, list(after), rounds=60, step=step))
+    left = np.abs(last[0, :-1]).max() / np.abs(first[0, :-1]).max()
+    return d.agg(F.count("*").alias("n_rows")).select(
+        "n_rows", F.lit(bool(moved < 1e-9 * np.abs(after).max())).alias("steps_follow_slopes"), F.lit(bool(left < 0.5)).alias("slopes_halved"))
 
 
-@query("cl_03_logistic_ten_classes", f"SELECT count(*) AS n_rows, 10 AS classes, TRUE AS scores_sum_to_one {EMBEDDED}")
+@query("cl_03_logistic_ten_classes", f"SELECT count(*) AS n_rows, 10 AS classes, TRUE AS scores_sum_to_one, TRUE AS optimal {EMBEDDED}")
 def _(spark, t):
     d = ten_classes(t)
-    m = md.logistic(d, maxIter=10, tol=1e-4, regParam=0.01, family="multinomial")
+    m = md.logistic(d, maxIter=200, tol=1e-10, regParam=0.01, family="multinomial")
+    slopes = ct.linear_slopes(d, m.coefficientMatrix.toArray(), m.interceptVector.toArray(), "logistic", 0.01)
     p = m.transform(d).select(vector_to_array("probability").alias("p"))
     total = F.aggregate("p", F.lit(0.0), lambda s, x: s + x)
     return p.agg(F.count("*").alias("n_rows"), F.lit(m.numClasses).alias("classes"),
-                 F.every(F.abs(total - 1) < 1e-9).alias("scores_sum_to_one"))
+                 F.every(F.abs(total - 1) < 1e-9).alias("scores_sum_to_one"), F.lit(slopes.worst() < SLOPE).alias("optimal"))
 
 
 @query("cl_04_summary_and_best_threshold", f"""
@@ -108,15 +125,17 @@ def _(spark, t):
         F.lit(abs(f1 - best["f1"]) < 1e-9).alias("threshold_agrees"), F.lit(loss[-1] < loss[0]).alias("loss_falls"))
 
 
-@query("cl_05_margin_classifier", f"SELECT count(*) AS n_rows, TRUE AS auc_agrees, TRUE AS ranks_well {EMBEDDED}")
+@query("cl_05_margin_classifier", f"SELECT count(*) AS n_rows, TRUE AS auc_agrees, TRUE AS nearly_optimal {EMBEDDED}")
 def _(spark, t):
     d = two_classes(t)
-    raw = md.margin_classifier(d, maxIter=10, regParam=0.01).transform(d)
+    m = md.margin_classifier(d.persist(), maxIter=150, tol=1e-12, regParam=0.01)
+    slopes = ct.linear_slopes(d, m.coefficients.toArray(), m.intercept, "hinge", 0.01)
+    raw = m.transform(d)
     s = raw.select(F.get(vector_to_array("rawPrediction"), 1).alias("score"), "label")
     auc = ev.area_under_roc(ev.threshold_counts(s, "score", "label")).first()["auc"]
     other = BinaryClassificationEvaluator().evaluate(raw)
     return d.agg(F.count("*").alias("n_rows")).select(
-        "n_rows", F.lit(abs(auc - other) < 0.01).alias("auc_agrees"), F.lit(auc > 0.5).alias("ranks_well"))
+        "n_rows", F.lit(abs(auc - other) < 0.01).alias("auc_agrees"), F.lit(slopes.worst() < HINGE_SLOPE).alias("nearly_optimal"))
 
 
 @query("cl_06_naive_bayes", f"""
@@ -129,12 +148,8 @@ SELECT CAST(q.quality AS DOUBLE) AS class, v.term, round(ln((coalesce(tf, 0) + 1
  LEFT JOIN c ON c.quality = q.quality AND c.term = v.term""")
 def _(spark, t):
     docs = doc_words(t).join(t.labels, "doc_id")
-    terms = docs.select(F.explode("words")).distinct().count()
-    counted, vocabulary = fe.count_terms(docs, "words", "features", terms, 1)
-    m = md.naive_bayes(counted.select(F.col("quality").cast("double").alias("label"), "features"), smoothing=1.0)
-    theta, names = m.theta.toArray(), vocabulary.vocabulary
-    rows = [(float(c), w, float(theta[c, p]), float(m.pi[c])) for c in range(2) for p, w in enumerate(names)]
-    return rounded(spark.createDataFrame(rows, "class double, term string, log_term double, log_class double"), "class", "term")
+    m = tm.TermBayes.fit(docs, "quality", smoothing=1.0)
+    return rounded(m.log_terms().select("class", "term", "log_term", "log_class"), "class", "term")
 
 
 @query("cl_07_tree_classifier", "SELECT count(*) AS n_rows, TRUE AS better_than_constant, TRUE AS printed FROM lineitem")
@@ -201,14 +216,17 @@ def _(spark, t):
         F.round(F.lit(float(m.coefficients[0])), 4).alias("slope"), F.round(F.lit(float(m.intercept)), 3).alias("intercept"))
 
 
-@query("rg_03_survival", "SELECT count(*) AS n_rows, TRUE AS quantiles_ordered FROM events")
+@query("rg_03_survival", "SELECT count(*) AS n_rows, TRUE AS quantiles_ordered, TRUE AS most_likely FROM events")
 def _(spark, t):
     # The value is the time to an error; events of other kinds are censored.
     e = t.events.select(F.col("value").alias("label"), (F.col("event_type") == "error").cast("double").alias("censor"),
                         F.hour("ts").alias("hour"), F.from_json("props", "k int").alias("p")).filter("label > 0")
     d = fe.assemble(e.select("label", "censor", "hour", F.col("p.k").alias("k")), ["hour", "k"])
-    q = md.survival(d).transform(d).select(vector_to_array("quantiles").alias("q"))
-    return q.agg(F.count("*").alias("n_rows"), F.every(F.get("q", 0) < F.get("q", 1)).alias("quantiles_ordered"))
+    m = md.survival(d)
+    slopes = ct.survival_slopes(d, m.coefficients.toArray(), m.intercept, m.scale)
+    q = m.transform(d).select(vector_to_array("quantiles").alias("q"))
+    return q.agg(F.count("*").alias("n_rows"), F.every(F.get("q", 0) < F.get("q", 1)).alias("quantiles_ordered"),
+                 F.lit(bool(np.abs(slopes).max() < SURVIVAL_SLOPE)).alias("most_likely"))
 
 
 def regression_rows(t):
@@ -320,28 +338,29 @@ def ids(df):
                      F.col("rating").cast("float").alias("rating"))
 
 
-@query("rc_01_factors", f"SELECT count(*) AS predicted, TRUE AS fits, CAST(0 AS BIGINT) AS unknown_predicted FROM {RATED}")
+@query("rc_01_factors", f"SELECT count(*) AS predicted, TRUE AS solved, CAST(0 AS BIGINT) AS unknown_predicted FROM {RATED}")
 def _(spark, t):
     r = ids(ratings(t))
     m = rc.fit_factors(r, rank=4, rounds=10, reg=0.1, seed=5)
     scored = m.transform(r)
     strangers = m.transform(r.select((-F.col("user") - 1).alias("user"), "item"))
-    base = r.agg(F.stddev_pop("rating")).scalar()
-    return scored.agg(F.count("*").alias("predicted"),
-                      (F.sqrt(F.avg(F.pow(F.col("rating") - F.col("prediction"), 2))) < base).alias("fits"),
+    # Users are solved last, so their factors are exact for the items' as these are.
+    left = ct.factor_residuals(r, m.userFactors, m.itemFactors, 0.1).agg(F.max("residual")).scalar()
+    return scored.agg(F.count("*").alias("predicted"), (left < RESIDUAL).alias("solved"),
                       strangers.agg(F.count("*")).scalar().alias("unknown_predicted"))
 
 
 @query("rc_02_rank_by_validation", """
-SELECT CAST(rank AS INTEGER) AS rank, TRUE AS finite, CAST(1 AS BIGINT) AS n_chosen FROM (SELECT unnest([4, 8, 12]) AS rank)""")
-def _(spark, t):
-    train, validation = key_split(ids(ratings(t)), ["user", "item"], [0.8, 0.2], 3)
-    train = train.persist()
-    best, _, errors = rc.choose_rank(train, validation, (4, 8, 12), rounds=10, seed=5)
-    train.unpersist()
-    rows = spark.createDataFrame([(r, float(e)) for r, e in errors.items()], "rank int, rmse double")
-    n = rows.filter((F.col("rank") == best) & (F.col("rmse") == min(errors.values()))).count()
-    return rows.select("rank", (F.col("rmse") < 1e6).alias("finite"), F.lit(n).cast("bigint").alias("n_chosen"))
+SELECT CAST(rank AS INTEGER) AS rank, TRUE AS solved, TRUE AS better_than_no_factors, CAST(1 AS BIGINT) AS n_chosen
+FROM (SELECT unnest([4, 8, 12]) AS rank)""")
+def _(spark, t):
+    train, validation = (x.persist() for x in key_split(ids(ratings(t)), ["user", "item"], [0.8, 0.2], 3))
+    best, models, errors = rc.fit_ranks(train, validation, (4, 8, 12), rounds=10, seed=5)
+    left = {r: ct.factor_residuals(train, m.userFactors, m.itemFactors, 0.1).agg(F.max("residual")).first()[0] for r, m in models.items()}
+    guess = rc.zero_error(validation, train)
+    train.unpersist(), validation.unpersist()
+    rows = [(r, left[r] < RESIDUAL, errors[best] < guess, int(errors[best] == min(errors.values()))) for r in errors]
+    return spark.createDataFrame(rows, "rank int, solved boolean, better_than_no_factors boolean, n_chosen bigint")
 
 
 NEW_USER = -1
