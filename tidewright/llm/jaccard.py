@@ -26,8 +26,8 @@ SCAN_COST = 6
 SKETCH, STRIP, LANES = 1 << 22, 1 << 16, 16
 #: An inverted list of more members that are not all in one group is heavy.
 HEAVY = 16
-#: Members of a list that are compared with each other at once.
-BLOCK = 1024
+#: Members of a list that are compared with each other at once; a list of more is copied as often as it has blocks.
+BLOCK = 4096
 #: Leaders that a document is compared with before the groups are known.
 LEADERS = 4
 #: Counters by which pairs are sifted before their sets are read, and sums of them that are looked at first.
@@ -333,12 +333,12 @@ def cross_pairs(shared: DataFrame, named: DataFrame, reps: DataFrame, percent: i
         F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
     none = F.array().cast("array<bigint>").alias("keys")
     long = first.filter(heavy & ~alone).select("*", none).unionByName(second.filter(heavy).join(held, "id"))
-    # Each pair of blocks is a piece of work that grows with the square of a block: as many tasks as pairs, within reason.
+    # Work grows with the square of a list: as many tasks as pairs of full blocks, within reason.
     lengths = first.filter(heavy & ~alone).select("key", "c").union(second.filter(heavy).select("key", "c")).distinct()
-    work = lengths.agg(F.sum(F.pow(F.ceil(F.col("c") / BLOCK), F.lit(2)) / 2)).first()[0] or 0
+    work = lengths.agg(F.sum(F.pow(F.col("c") / BLOCK, F.lit(2)) / 2)).first()[0] or 0
     parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = scratch.settle(sifted(pairs, reps, percent).select("a", "b").union(
-        long_lists(long, reps, percent, max(parts, min(int(work), 64 * parts)))).distinct())
+        long_lists(long, reps, percent, max(parts, min(int(work), 16 * parts)))).distinct())
     scratch.drop(first, second)
     return out
 
