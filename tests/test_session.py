@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tidewright.session import CLEAN_SHUFFLES, Scratch, shared_dir, shuffles_removed
+from tidewright.session import CLEAN_SHUFFLES, Scratch, owned, release, save_bucketed, shared_dir, shuffles_removed
 
 
 def folders(spark):
@@ -51,3 +51,14 @@ def test_shuffle_setting_is_put_back(spark):
     with shuffles_removed(spark):
         assert spark.conf.get(CLEAN_SHUFFLES) == "true"
     assert spark.conf.get(CLEAN_SHUFFLES, None) == before
+
+
+def test_release_removes_all_that_the_session_wrote(spark):
+    base = shared_dir(spark).removeprefix("file:")
+    table = save_bucketed(spark.range(100), "bucketed_for_a_test", 2, "id")
+    Scratch(spark).settle(spark.range(3))
+    mine = {p.rsplit("/", 1)[-1] for p in owned(spark)}
+    assert table.count() == 100 and len(mine & set(os.listdir(base))) >= 2
+    release(spark)
+    assert not mine & set(os.listdir(base)) and owned(spark) == []
+    assert not [t for t in spark.catalog.listTables() if t.name == "bucketed_for_a_test"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import os
 import tempfile
@@ -24,6 +25,8 @@ RUNTIME_SETTINGS = {
     # A shuffled join with a small filtered side sifts the large side by a filter of its keys first,
     # from this size of scan on.
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "32MB",
+    # A bucket of one file is read in the order it was sorted in.
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
     # What Python functions are given at once, in bytes and in rows: wide rows would fill an executor otherwise.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
@@ -86,8 +89,30 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing has used yet."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing has used yet. What is written there is the session's: `release` removes it,
+    and so does the end of the program."""
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    owned(spark).append(path)
+    return path
+
+
+def owned(spark: SparkSession) -> list[str]:
+    """Paths that this session has been given and that have not been removed."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_tidewright_owned"):
+        sc._tidewright_owned = []
+        atexit.register(lambda: release(spark) if sc._jsc is not None else None)
+    return sc._tidewright_owned
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all that functions here have written in the shared folder and that results may still read. Results that
+    were not saved elsewhere can't be read any more."""
+    for name in list(getattr(spark.sparkContext, "_tidewright_tables", [])):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sparkContext._tidewright_tables = []
+    for path in list(owned(spark)):
+        remove(spark, path)
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -166,21 +191,29 @@ class Scratch:
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared store, whatever file system that is."""
+    if path in owned(spark):
+        owned(spark).remove(path)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def lay_out(df: DataFrame, parts: int, *keys: str) -> DataFrame:
-    """Checkpoint `df` hash-partitioned and sorted by `keys`, in a way later joins can see:
-    a join on these keys then neither moves nor sorts this side.
-
-    Adaptive planning is off while this one copy is planned, since it would hide the partitioning.
-    """
-    conf = df.sparkSession.conf
-    shared_dir(df.sparkSession)
-    before = conf.get("spark.sql.adaptive.enabled")
-    conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return df.repartition(parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
-    finally:
-        conf.set("spark.sql.adaptive.enabled", before)
+def save_bucketed(df: DataFrame, name: str, parts: int, *keys: str) -> DataFrame:
+    """Save `df` as a table in `parts` buckets, each one file sorted by `keys`, which the planner knows: a join on these keys
+    neither moves nor sorts this side, under adaptive planning too, in this call and in later ones."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.repartition(parts, *keys).sortWithinPartitions(*keys).write.option("path", path).option("compression", "zstd").bucketBy(
+        parts, *keys).sortBy(*keys).saveAsTable(name)
+    spark.sparkContext._tidewright_tables = [*getattr(spark.sparkContext, "_tidewright_tables", []), name]
+    return spark.table(name)
+
+
+def drop_bucketed(spark: SparkSession, name: str) -> None:
+    """Drop a table of `save_bucketed` with its files."""
+    places = [r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r["col_name"] == "Location"]
+    spark.sql(f"DROP TABLE {name}")
+    held = getattr(spark.sparkContext, "_tidewright_tables", [])
+    spark.sparkContext._tidewright_tables = [x for x in held if x != name]
+    for place in places:
+        for path in [p for p in owned(spark) if p.rsplit("/", 1)[-1] == place.rsplit("/", 1)[-1]]:
+            remove(spark, path)
