@@ -29,7 +29,7 @@ HEAVY = 16
 #: Members of a list that are compared with each other at once; a list of more is copied as often as it has blocks.
 BLOCK = 4096
 #: Leaders that a document is compared with before the groups are known.
-LEADERS = 4
+LEADERS = 2
 #: Counters by which pairs are sifted before their sets are read, and sums of them that are looked at first.
 SIEVE, COARSE = 256, 16
 
@@ -198,22 +198,28 @@ def postings(reps: DataFrame, percent: int, limit: int) -> DataFrame:
     return reps.mapInArrow(spread, "key bigint, id bigint")
 
 
-def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar, counted exactly."""
+def similar(pairs: DataFrame, docs: DataFrame, repeated: DataFrame | None, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar, counted exactly from the texts: a text is less than half as large as its set.
+
+    A key of several texts, one of `repeated`, is similar if one of them is; its equal texts are one."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                u, v = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                common = len(np.intersect1d(u, v, assume_unique=True))
-                good.append(100 * common >= percent * (len(u) + len(v) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+        for whole in batches:
+            for batch in slices(whole, "x", 256):
+                good = []
+                for u, v in zip(shingle_sets(batch.column("x"), words), shingle_sets(batch.column("y"), words)):
+                    low, high = sorted((len(u), len(v)))
+                    common = len(np.intersect1d(u, v, assume_unique=True)) if low * 100 >= high * percent else 0
+                    good.append(low > 0 and 100 * common >= percent * (low + high - common))
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    left = sets.select(F.col("id").alias("a"), F.col("own").alias("x"), F.col("size").alias("nx"))
-    right = sets.select(F.col("id").alias("b"), F.col("own").alias("y"), F.col("size").alias("ny"))
-    near = (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent)
-    return pairs.join(left, "a").join(right, "b").filter(near).select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint")
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    texts = docs.join(wanted, "id", "left_semi")
+    if repeated is not None:
+        texts = texts.join(repeated, "id", "left_anti").union(texts.join(repeated, "id", "left_semi").dropDuplicates(["id", "text"]))
+    left = texts.select(F.col("id").alias("a"), F.col("text").alias("x"))
+    right = texts.select(F.col("id").alias("b"), F.col("text").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint")
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
@@ -241,12 +247,18 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     scratch = Scratch(docs.sparkSession)
     read = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     table = scratch.settle(shingle_table(read, words, percent, sketch(read, words)))
+    sized = scratch.settle(table.drop("prefix", "sieve"))
     filled = table.filter("n > 0 AND id IS NOT NULL")
+    repeated = scratch.settle(sized.filter("id IS NOT NULL").groupBy("id").count().filter("count > 1").select("id"))
+    repeated = None if repeated.isEmpty() else repeated
     group = ["n", "sig", "sig2"]
     same = scratch.settle(filled.groupBy(*group).agg(F.min("id").alias("rep")))
     reps = scratch.settle(filled.join(same, [*group], "inner").filter("id = rep").dropDuplicates(["id", *group]).select("id", "n", "prefix", "sieve"))
+    scratch.drop(table)
     sizes = {r["n"]: r["count"] for r in reps.groupBy("n").count().collect()}  # one row per size of a set
     index = scratch.settle(postings(reps, percent, boundary(sizes, percent)))
+    reps, old = scratch.settle(reps.drop("prefix")), reps
+    scratch.drop(old)
     lists = index.groupBy("key").agg(F.count("*").alias("c"), F.min_by("id", F.xxhash64("key", "id")).alias("lead")).filter("c > 1")
     shared = scratch.settle(index.join(lists, "key"))
     scratch.drop(index)
@@ -255,21 +267,18 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     nearest = F.slice(F.sort_array(F.collect_list(F.struct("bound", "a")), False), 1, LEADERS)
     star = scratch.settle(sifted(leads, reps, percent).groupBy("b").agg(nearest.alias("x")).select(
         F.explode("x.a").alias("a"), "b"))
-    sets = shingle_store(read, star, scratch, words)
-    links = scratch.settle(similar(star, sets, percent))
-    scratch.drop(sets, star)
+    links = scratch.settle(similar(star, read, repeated, words, percent))
+    scratch.drop(star)
     named = scratch.settle(components(links, scratch))
     rest = cross_pairs(shared, named, reps, percent, scratch)
     scratch.drop(shared)
     if not rest.isEmpty():
-        sets = shingle_store(read, rest, scratch, words)
-        more = scratch.settle(similar(rest, sets, percent))
-        scratch.drop(sets, rest)
+        more = scratch.settle(similar(rest, read, repeated, words, percent))
+        scratch.drop(rest)
         named = scratch.settle(components(links.union(more), scratch))
     classes = scratch.settle(same.join(named.withColumnRenamed("node", "rep"), "rep", "left").select(
         *group, F.coalesce("component", "rep").alias("component_id")))
     # What the result reads is small and stays; the rest goes with the other tables.
-    sized = scratch.settle(table.drop("prefix", "sieve"))
     out = sized.join(classes, group, "left").select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
@@ -410,17 +419,3 @@ def long_lists(rows: DataFrame, reps: DataFrame, percent: int, tasks: int) -> Da
 
     return (known.repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j")
             .mapInArrow(walk, "a bigint, b bigint"))
-
-
-def shingle_store(docs: DataFrame, pairs: DataFrame, scratch: Scratch, words: int) -> DataFrame:
-    """(id, size, own): the whole sets of the documents in `pairs`, from their texts."""
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "text", 1024)):
-            own = list(shingle_sets(batch.column("text"), words))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(x) for x in own], pa.int64()),
-                                              pa.array([x.tobytes() for x in own], pa.binary())], ["id", "size", "own"])
-
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    return scratch.settle(docs.join(wanted, "id", "left_semi").dropDuplicates(["id", "text"]).mapInArrow(
-        sets, "id bigint, size bigint, own binary"))
