@@ -144,3 +144,22 @@ def test_streams_run_side_by_side_and_stop(spark, tmp_path):
     run.stop_all(qs, 5)
     assert not any(q.isActive for q in qs)
     assert all(spark.read.parquet(f"{tmp_path}/o{i}").count() == 1 for i in range(2))
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    schema = "event_id bigint, ts timestamp, origin string"
+    counter = run.LateRows()
+    spark.streams.addListener(counter)
+    try:
+        feed = Feed(spark, tmp_path, schema)
+        feed.add([(1, at(0), "a"), (2, at(300), "a")])
+        feed.add([(3, at(301), "a")])
+        feed.add([(4, at(5), "a"), (5, at(6), "b"), (6, at(302), "b")])
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        done = run.start_files(windows.hourly(stream, "ts", [F.count("*").alias("n")], by=["origin"], lateness="10 minutes"),
+                               f"{tmp_path}/out", f"{tmp_path}/log")
+        run.drain([done])
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        assert run.late_rows(done) == 2 == counter.of(done)
+    finally:
+        spark.streams.removeListener(counter)

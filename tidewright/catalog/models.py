@@ -18,6 +18,7 @@ from tidewright.operators import certificates as ct
 from tidewright.operators import evaluation as ev
 from tidewright.operators import features as fe
 from tidewright.operators import models as md
+from tidewright.operators import monotone as mono
 from tidewright.operators import recommend as rc
 from tidewright.operators import terms as tm
 from tidewright.operators.graphs import logistic_descent
@@ -269,8 +270,9 @@ g AS (SELECT i.x AS x, j.x AS lo, min((k.cs - j.cs + j.s) / (k.cw - j.cw + j.w))
       FROM c i JOIN c j ON j.x <= i.x JOIN c k ON k.x >= i.x GROUP BY 1, 2)
 SELECT x AS feature, round(max(m), 4) AS prediction FROM g GROUP BY x""")
 def _(spark, t):
-    model, points = md.isotonic(t.part, "p_size", "p_retailprice")
-    return model.transform(points).select("feature", F.round("prediction", 4).alias("prediction"))
+    blocks = mono.monotone_blocks(t.part, "p_size", "p_retailprice", per_range=20)
+    points = t.part.select(F.col("p_size").cast("double").alias("feature")).distinct()
+    return mono.monotone_values(blocks, points, "feature").select("feature", F.round("prediction", 4).alias("prediction"))
 
 
 # ---- groups ---------------------------------------------------------------------------

@@ -223,3 +223,23 @@ def _(spark, t):
         stream = live.replay_table(spark, folder, "event_id bigint")
         run.drain([run.start_files(stream, out, log)])
     return spark.read.parquet(out).groupBy("event_id").agg(F.count("*").alias("times"))
+
+
+@query("st_11b_rows_that_come_too_late", """
+SELECT count(*) AS late FROM events WHERE event_id % 2 = 1 AND date_trunc('hour', ts) + INTERVAL 1 HOUR
+ <= (SELECT max(ts) FROM events WHERE event_id % 2 = 0) - INTERVAL 10 MINUTE""")
+def _(spark, t):
+    # Rows of even number come first and move the watermark, which holds for late rows a batch later; the others come
+    # in the third batch.
+    folder = fresh_path(spark, "in")
+    kept = t.events.select("event_id", "ts")
+    even = kept.filter("event_id % 2 = 0").coalesce(1)
+    even.write.mode("append").parquet(folder)
+    even.orderBy(F.desc("ts"), "event_id").limit(1).write.mode("append").parquet(folder)
+    kept.filter("event_id % 2 = 1").coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(kept.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    # Each row has a key of its own, so that each counts.
+    per_hour = windows.hourly(stream, "ts", [F.count("*").alias("n")], by=["event_id"], lateness="10 minutes")
+    done = run.start_files(per_hour, fresh_path(spark, "out"), fresh_path(spark, "log"))
+    run.drain([done])
+    return spark.createDataFrame([(run.late_rows(done),)], "late bigint")

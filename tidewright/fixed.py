@@ -2,10 +2,7 @@
 
 # ---- fixed values -------------------------------------------------------------------
 # Combined access-log line: ip, identity, user, time, request, status, bytes, referrer, agent.
-ACCESS_LOG_PATTERN = (
-    r'^([\d.]+) (\S+) (\S+) \[([\w\d:/]+\s[+\-]\d{4})\] "(.+?)" (\d{3}) ([\d\-]+) '
-    r'"([^"]+)" "([^"]+)"'
-)
+ACCESS_LOG_PATTERN = r'^([\d.]+) (\S+) (\S+) \[([\w\d:/]+\s[+\-]\d{4})\] "(.+?)" (\d{3}) ([\d\-]+) "([^"]+)" "([^"]+)"'  # noqa: E501
 ANONYMOUS_USER = '"-"'
 
 # Flight record, comma separated, positions from 0.

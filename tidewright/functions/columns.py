@@ -67,7 +67,7 @@ def on_calendar_day(c: Column, month: int, day: int) -> Column:
 def bearing(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Clockwise angle in (0, 360] from the first point to the second, 360 along the x axis."""
     turn = F.degrees(F.atan2(lat2 - lat1, lon2 - lon1))
-    return F.lit(360.0) - F.pmod(turn + F.lit(360.0), F.lit(360.0))
+    return F.lit(360.0) - F.pmod(turn, F.lit(360.0))
 
 
 def compass_region(angle: Column) -> Column:

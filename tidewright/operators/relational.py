@@ -153,7 +153,7 @@ def take_sample(df: DataFrame, n: int, with_replacement: bool = False, seed: int
     if size == 0:
         return numbered.drop("_at")
     draws = (df.sparkSession.range(n)
-             .select(F.floor(F.rand(seed) * size).alias("_at")).groupBy("_at").count())
+             .select(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(size)).alias("_at")).groupBy("_at").count())
     return (numbered.join(draws, "_at")
             .select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("count"))).alias("_copy"))
             .drop("_copy"))

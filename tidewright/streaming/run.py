@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 
@@ -58,3 +59,36 @@ def stop_all(queries: Iterable[StreamingQuery], seconds: int = 5) -> None:
     for q in queries:
         q.stop()
         q.awaitTermination(seconds)
+
+
+class LateRows(StreamingQueryListener):
+    """Counts what came too late for its window, by query, as long as the session runs.
+
+    `spark.streams.addListener(counter)` starts it; `counter.of(query)` is the number so far. Rows are counted where the
+    watermark drops them: behind the sums that tasks make of their own rows, so equal keys and windows of one task
+    count once.
+    """
+
+    def __init__(self):
+        self.counts: dict[str, int] = {}
+
+    def of(self, query: StreamingQuery) -> int:
+        return self.counts.get(str(query.id), 0)
+
+    def onQueryStarted(self, event) -> None:
+        self.counts.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        own = str(event.progress.id)
+        self.counts[own] = self.counts.get(own, 0) + sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """The same of a query that has ended, from the progress it has kept (its last hundred batches by default)."""
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
