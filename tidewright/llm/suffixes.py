@@ -1,4 +1,4 @@
-"""Removal of repeated passages by a family of suffix arrays of growing levels."""
+"""Removal of repeated passages by an index of seed fingerprints in levels of growing size, in place of whole suffix arrays."""
 
 from __future__ import annotations
 
@@ -139,11 +139,11 @@ def suffix_rows(docs: DataFrame, length: int, seed: int) -> DataFrame:
 
 
 class SuffixLevels:
-    """Sorted arrays of suffixes, of sizes that grow by doubling.
+    """Fingerprints of the seeds that suffixes start with, in levels whose sizes grow by doubling.
 
-    `add` makes the array of a new batch, scans it side by side with every level there is for seeds that both
-    hold, and puts it in as a level of rank 0; two levels of one rank are merged into one of the next. So n batches
-    leave log2(n) levels, and a suffix is merged as often.
+    `add` counts the seeds of a new batch, joins them with every level there is for seeds that both
+    hold, and puts them in as a level of rank 0; two levels of one rank are merged into one of the next. So n batches
+    leave log2(n) levels, and a seed is merged as often. Levels are in order of fingerprints, not of suffixes.
 
     A level has one row per seed: how many suffixes start with it, however many there are. `found` holds the
     seeds of two suffixes or more.
@@ -330,8 +330,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", keep: list[Column] | Non
     anywhere else in the input, in the same text or another, judged on the input as it is. spans are the removed
     stretches (start, stop), kept_bytes the rest.
 
-    The rows arrive in `batches` batches, dealt by hash. The suffixes of a batch are sorted into an array, scanned
-    side by side with the levels of earlier batches, and merged into them (`SuffixLevels`). Suffixes start only
+    The rows arrive in `batches` batches, dealt by hash. The seeds of a batch are counted, joined with the levels of
+    earlier batches, and merged into them (`SuffixLevels`). Suffixes start only
     where each string of `length` bytes is sure to have one in the same place of all its occurrences. Suffixes
     whose seed is found twice are compared by all bytes around them at once, and where these differ string by string, so the
     result is that of comparing all strings, up to equal 64-bit fingerprints of one seed's strings.
