@@ -40,6 +40,34 @@ def test_language_of_rows_not_learned_from(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in out)
 
 
+def brute_grams(text):
+    low = f"\n{(text or '').lower()}\n"
+    return [tuple(c if c.isalpha() else "" for c in low[i - 1:i + 2]) for i in range(1, len(low) - 1) if low[i].isalpha()]
+
+
+def test_language_as_sets_of_ngrams(spark):
+    """Filters tell what sets of n-grams tell, up to hits by chance, which are few and corrected."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    taught = docs.filter("doc_id % 2 = 0")
+    counts = collections.defaultdict(collections.Counter)
+    for r in taught.collect():
+        if r.text is not None and r.lang is not None:
+            counts[r.lang].update(brute_grams(r.text))
+    known = {lang: {g for g, n in c.items() if n >= max(2, language.SHARE * c.total())} for lang, c in counts.items()}
+    judged = language.predict(docs, language.train(taught)).collect()
+    assert len(judged) == docs.count()
+    for r in judged:
+        own = brute_grams(r.text)
+        share = {lang: sum(g in known[lang] for g in own) / max(1, len(own)) for lang in sorted(known)}
+        best, *rest = sorted(share.values(), reverse=True)
+        if not own:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        assert abs(r.score - best) < 0.01 and share[r.lang_pred] > best - 0.01
+        if best - rest[0] > 0.01:
+            assert share[r.lang_pred] == best
+
+
 def test_language_of_odd_rows(spark):
     learned = language.train(frame(spark, [(i, f"the cat {i} sat on the mat", "en", "s") for i in range(5)]
                                    + [(i, f"die katze {i} sitzt auf", "de", "s") for i in range(5)]))
