@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import columns_of, free_name, slices
+from tidewright.llm.common import columns_of, free_name, lean, slices
 
 #: Bytes of texts whose new pre-tokens are merged together.
 TEXTS = 8 << 20
@@ -293,7 +293,7 @@ def with_column(docs: DataFrame, source: Column, keep: list[Column] | None, made
                 values = pa.array(one(part.column(read).to_pylist()), pa.binary())
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept.names), values], [*kept.names, out])
 
-    return named.mapInArrow(walk, f"{columns_of(kept)}, {out} binary" if kept.fields else f"{out} binary")
+    return named.mapInArrow(lean(walk), f"{columns_of(kept)}, {out} binary" if kept.fields else f"{out} binary")
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: list[Column] | None = None) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,3 +55,21 @@ def slices(batch: pa.RecordBatch, column: str, rows: int = 256, size: int = 1 <<
 def columns_of(schema) -> str:
     """The columns of a schema, as Spark's schema strings have them."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def lean(walk: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`walk` over the batches of a task; behind it the worker gives back what memory it no longer needs. Workers are kept for
+    further tasks, and an executor would otherwise hold the peaks of all of them at once."""
+
+    @functools.wraps(walk)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from walk(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run

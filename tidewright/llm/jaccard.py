@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import slices
+from tidewright.llm.common import lean, slices
 from tidewright.llm.graph import components
 from tidewright.llm.wordhash import mixed, shingle_sets
 from tidewright.session import Scratch
@@ -72,9 +72,9 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
             yield strip_row(here, total, 0)
 
     kind = "strip int, lane int, counts binary"
-    sums = docs.select("text").mapInArrow(count, kind).repartition("strip", "lane").sortWithinPartitions("strip").mapInArrow(add, kind)
+    sums = docs.select("text").mapInArrow(lean(count), kind).repartition("strip", "lane").sortWithinPartitions("strip").mapInArrow(lean(add), kind)
     classes = np.zeros(SKETCH, np.uint8)
-    for row in sums.repartition("strip").sortWithinPartitions("strip").mapInArrow(add, kind).collect():  # SKETCH counters, compressed
+    for row in sums.repartition("strip").sortWithinPartitions("strip").mapInArrow(lean(add), kind).collect():  # SKETCH counters, compressed
         counts = np.frombuffer(pa.decompress(row["counts"], decompressed_size=8 * STRIP, codec="zstd", asbytes=True), np.int64)
         classes[row["strip"] * STRIP:(row["strip"] + 1) * STRIP] = np.minimum(2 * np.log2(1 + counts), 63).astype(np.uint8)
     return classes
@@ -126,7 +126,7 @@ def shingle_table(docs: DataFrame, words: int, percent: int, classes: np.ndarray
                 pa.array(np.array(sig2, np.uint64).view(np.int64)), pa.array(prefix, pa.binary()), pa.array(sieve, pa.binary())],
                 ["id", "n", "sig", "sig2", "prefix", "sieve"])
 
-    return docs.mapInArrow(describe, "id bigint, n bigint, sig bigint, sig2 bigint, prefix binary, sieve binary")
+    return docs.mapInArrow(lean(describe), "id bigint, n bigint, sig bigint, sig2 bigint, prefix binary, sieve binary")
 
 
 def narrow(counters: np.ndarray) -> bytes:
@@ -169,7 +169,7 @@ def heavy_subsets(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(ids, [len(k) for k in keys]))], ["key", "id"])
 
-    return rows.mapInArrow(spread, "key bigint, id bigint")
+    return rows.mapInArrow(lean(spread), "key bigint, id bigint")
 
 
 def postings(reps: DataFrame, percent: int, limit: int) -> DataFrame:
@@ -195,7 +195,7 @@ def postings(reps: DataFrame, percent: int, limit: int) -> DataFrame:
             if keys:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids))], ["key", "id"])
 
-    return reps.mapInArrow(spread, "key bigint, id bigint")
+    return reps.mapInArrow(lean(spread), "key bigint, id bigint")
 
 
 def similar(pairs: DataFrame, docs: DataFrame, repeated: DataFrame | None, words: int, percent: int) -> DataFrame:
@@ -219,7 +219,7 @@ def similar(pairs: DataFrame, docs: DataFrame, repeated: DataFrame | None, words
         texts = texts.join(repeated, "id", "left_anti").union(texts.join(repeated, "id", "left_semi").dropDuplicates(["id", "text"]))
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("x"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(lean(verify), "a bigint, b bigint")
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
@@ -305,7 +305,7 @@ def sifted(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     right = known.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sieve").alias("y"))
     sized = (pairs.join(left.drop("x"), "a").join(right.drop("y"), "b")
              .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b"))
-    return sized.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(sift, "a bigint, b bigint, bound double")
+    return sized.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(lean(sift), "a bigint, b bigint, bound double")
 
 
 def cross_pairs(shared: DataFrame, named: DataFrame, reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
@@ -418,4 +418,4 @@ def long_lists(rows: DataFrame, reps: DataFrame, percent: int, tasks: int) -> Da
             yield from flush(pa.Table.from_batches(held))
 
     return (known.repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInArrow(walk, "a bigint, b bigint"))
+            .mapInArrow(lean(walk), "a bigint, b bigint"))

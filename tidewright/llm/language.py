@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import free_name
+from tidewright.llm.common import free_name, lean
 from tidewright.session import Scratch
 
 UNKNOWN = "und"
@@ -19,7 +19,7 @@ SHARE = 1e-5
 SLOTS = 1 << 20
 HASHES = 3
 #: Characters handled at once; a longer text goes through in slices.
-SLICE = 1 << 20
+SLICE = 1 << 17
 
 _LETTERS: list[np.ndarray] = []
 
@@ -69,7 +69,7 @@ def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return keys, np.bincount(back, weights=np.concatenate([n for _, n in parts]), minlength=len(keys)).astype(np.int64)
 
 
-def count_grams(batches: Iterator[pd.DataFrame], most: int = 1 << 21) -> Iterator[pd.DataFrame]:
+def count_grams(batches: Iterator[pd.DataFrame], most: int = 1 << 19) -> Iterator[pd.DataFrame]:
     """(lang, gram, n) of rows (lang, text), summed within the task while there are at most `most`."""
     held: dict[str, list] = {}
     size = 0
@@ -138,7 +138,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", share: float
     known = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
     scratch = Scratch(docs.sparkSession)
-    counts = scratch.settle(known.mapInPandas(count_grams, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(
+    counts = scratch.settle(known.mapInPandas(lean(count_grams), "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(
         F.sum("n").alias("n")))
     rows = counts.groupBy("lang").agg(F.sum("n").alias("all"))
     totals = {r["lang"]: r["all"] for r in rows.collect()}  # one row per language
@@ -199,5 +199,5 @@ def predict(docs: DataFrame, filters: Filters, text: str = "text", keep: list[Co
             out["margin"] = np.where(known, score - rest.max(1), 0.0)
             yield out
 
-    return named.mapInPandas(judge, ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields],
+    return named.mapInPandas(lean(judge), ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields],
                                                "lang_pred string", "score double", "margin double"]))

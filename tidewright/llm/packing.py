@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewright.llm.common import lean
 from tidewright.session import Scratch
 
 SEQUENCE = 1024
@@ -72,7 +73,7 @@ def tokenized(docs: DataFrame, tokenizer: str, key: str, source: str, text: str)
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("key"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"),
                        F.coalesce(F.col(text), F.lit("")).alias("text")).mapInPandas(
-        encode, f"key {kind}, source string, part int, before bigint, n bigint, wide boolean, ids binary")
+        lean(encode), f"key {kind}, source string, part int, before bigint, n bigint, wide boolean, ids binary")
 
 
 def pieces(batches: Iterator[pd.DataFrame], sequence: int, window: int) -> Iterator[pd.DataFrame]:

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import columns_of, free_name, slices
+from tidewright.llm.common import columns_of, free_name, lean, slices
 
 #: A run has this many words, and this many times its period, at least.
 LEAST, TIMES = 6, 4
@@ -279,4 +279,4 @@ def find_runs(docs: DataFrame, text: str = "text", keep: list[Column] | None = N
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept.names), *described(part.column(read), least, times)],
                                                  [*kept.names, "runs", "collapsed"])
 
-    return named.mapInArrow(walk, f"{columns_of(kept)}, runs array<struct<start: bigint, length: bigint, period: bigint>>, collapsed string")
+    return named.mapInArrow(lean(walk), f"{columns_of(kept)}, runs array<struct<start: bigint, length: bigint, period: bigint>>, collapsed string")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidewright.llm.common import slices
+from tidewright.llm.common import lean, slices
 from tidewright.llm.wordhash import mixed, word_hashes
 from tidewright.session import Scratch
 
@@ -190,7 +190,7 @@ def totals(counted: DataFrame, seen: int) -> DataFrame:
         if held:
             yield from settle(bucket, held)
 
-    return counted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add, SUMMED)
+    return counted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lean(add), SUMMED)
 
 
 def score(docs: DataFrame, is_target: DataFrame, key: str = "doc_id", text: str = "text", seen: int = SEEN,
@@ -265,11 +265,11 @@ def score(docs: DataFrame, is_target: DataFrame, key: str = "doc_id", text: str
             keys, at = part.distinct_pairs(part.mapped(seen)[0])
             yield from part.blobs(keys, part.counts(at, len(keys)), buckets)
 
-    words = scratch.settle(totals(gathered().mapInArrow(count_words, COUNTED), seen))
+    words = scratch.settle(totals(gathered().mapInArrow(lean(count_words), COUNTED), seen))
     sums = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("known", "unknown_t", "unknown_b")]).first()
     began = rows.select("key", "drawn").join(wanted.withColumn("is_target", F.lit(True)), "key", "left").agg(
         F.count_if("is_target").alias("t"), F.count_if("drawn").alias("b")).first()
-    pairs = scratch.settle(totals(gathered(words=words).mapInArrow(count_pairs, COUNTED), least))
+    pairs = scratch.settle(totals(gathered(words=words).mapInArrow(lean(count_pairs), COUNTED), least))
     v, key_type = float(sums["known"] + 2), to_arrow_type(docs.schema[key].dataType)
     rest = ((sums["unknown_t"], began["t"]), (sums["unknown_b"], began["b"]))
 
@@ -313,4 +313,4 @@ def score(docs: DataFrame, is_target: DataFrame, key: str = "doc_id", text: str
 
     scratch.keep(words, pairs, hot)
     return gathered(words=words, pairs=pairs).mapInArrow(
-        judge, f"key {kind}, n_tokens bigint, loss_target double, loss_background double, loss_difference double").withColumnRenamed("key", key)
+        lean(judge), f"key {kind}, n_tokens bigint, loss_target double, loss_background double, loss_difference double").withColumnRenamed("key", key)

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.llm.common import lean
 from tidewright.llm.wordhash import mixed
 from tidewright.session import Scratch
 
@@ -65,7 +66,7 @@ def count_words(docs: DataFrame, key: str = "doc_id", text: str = "text", letter
             yield rows()
 
     read = docs.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
-    return read.mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_count)
+    return read.mapInArrow(lean(count), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_count)
 
 
 def vectors(words: list[str], parts: int) -> np.ndarray:
@@ -124,7 +125,7 @@ def signatures(words: DataFrame, parts: int = PARTS) -> DataFrame:
                     [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(roles, len(own)), pa.int32()),
                      part.column("word").take(every), part.column("n").take(every)], ["key", "role", "word", "n"])
 
-    return words.mapInArrow(spread, "key bigint, role int, word string, n bigint")
+    return words.mapInArrow(lean(spread), "key bigint, role int, word string, n bigint")
 
 
 def near_pairs(words: DataFrame, parts: int = PARTS) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import free_name
+from tidewright.llm.common import free_name, lean
 from tidewright.session import Scratch
 
 #: A repeat has this many bytes at least.
@@ -135,7 +135,7 @@ def suffix_rows(docs: DataFrame, length: int, seed: int) -> DataFrame:
                     [pa.array(uid[x["row"]]), pa.array(x["at"]), pa.array(x["low"].astype(np.int16)),
                      pa.array(x["high"].astype(np.int16)), pa.array(x["key"]), pa.array(x["ring"])], ["uid", *names])
 
-    return docs.mapInArrow(find, "uid bigint, at bigint, low smallint, high smallint, key bigint, ring bigint")
+    return docs.mapInArrow(lean(find), "uid bigint, at bigint, low smallint, high smallint, key bigint, ring bigint")
 
 
 class SuffixLevels:
@@ -243,7 +243,7 @@ def compare_contexts(rows: DataFrame, length: int) -> DataFrame:
             yield settle_rows(pa.Table.from_batches(held))
 
     return (rows.repartition("key").sortWithinPartitions("key")
-            .mapInArrow(compare, "uid bigint, start bigint, stop bigint"))
+            .mapInArrow(lean(compare), "uid bigint, start bigint, stop bigint"))
 
 
 def compare_windows(rows: DataFrame, length: int) -> DataFrame:
@@ -259,7 +259,7 @@ def compare_windows(rows: DataFrame, length: int) -> DataFrame:
                     [pa.array(prints.view(np.int64)), pa.array(col["uid"][row]), pa.array(col["at"][row] - before),
                      pa.array(col["open"][row])], ["print", "uid", "start", "open"])
 
-    single = rows.mapInArrow(spread, "print bigint, uid bigint, start bigint, open int")
+    single = rows.mapInArrow(lean(spread), "print bigint, uid bigint, start bigint, open int")
     twice = single.groupBy("print").agg(F.count("*").alias("n")).filter("n > 1").select("print")
     return single.filter("open = 1").join(twice, "print").select("uid", "start", (F.col("start") + length).alias("stop"))
 
@@ -300,7 +300,7 @@ def stretches(docs: DataFrame, scratch: Scratch, batches: int, length: int, seed
                 yield pd.DataFrame(out, columns=["key", "uid", "at", "low", "high", "open", "rings", "bytes"])
 
     contexts = scratch.settle(docs.dropDuplicates(["uid"]).join(per_doc, "uid").select("uid", "bytes", "asks").mapInPandas(
-        cut, "key bigint, uid bigint, at bigint, low smallint, high smallint, open int, rings bigint, bytes binary"))
+        lean(cut), "key bigint, uid bigint, at bigint, low smallint, high smallint, open int, rings bigint, bytes binary"))
     few = compare_contexts(contexts.filter(F.col("rings") <= crowd), length)
     many = compare_windows(contexts.filter(F.col("rings") > crowd), length)
     # Stretches that follow each other within a task are few when joined here, before they move.
@@ -370,7 +370,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", keep: list[Column] | Non
                 yield out
 
     scratch.keep(spans)
-    return both.mapInPandas(split, ", ".join([
+    return both.mapInPandas(lean(split), ", ".join([
         *[f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields],
         "kept_bytes binary, spans array<struct<start: bigint, stop: bigint>>, n_bytes bigint, n_removed bigint, n_spans bigint"]))
 
