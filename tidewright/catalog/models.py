@@ -425,15 +425,18 @@ def _(spark, t):
 
 
 @query("pl_02_stages_with_label_names", """
-SELECT count(*) AS n_rows, TRUE AS only_known_names, TRUE AS tree_read_back FROM lineitem""")
+SELECT count(*) AS n_rows, TRUE AS only_known_names, TRUE AS tree_read_back, TRUE AS better_than_constant FROM lineitem""")
 def _(spark, t):
     from pyspark.ml.classification import DecisionTreeClassifier
-    d = fe.assemble(t.lineitem.select("l_returnflag", "l_quantity", "l_linenumber", "l_discount"),
-                    ["l_quantity", "l_linenumber", "l_discount"])
-    m = md.with_label_names(d, DecisionTreeClassifier(maxDepth=3), "l_returnflag", max_categories=10)
+    d = price_classes(t).withColumn("size", F.element_at(F.array(F.lit("small"), F.lit("middle"), F.lit("large")), (F.col("label") + 1).cast("int")))
+    train, test = halves(d.drop("label"), "l_orderkey", "l_partkey")
+    m = md.with_label_names(train, DecisionTreeClassifier(maxDepth=5), "size", max_categories=10)
     known = m.stages[0].labels
-    return m.transform(d).agg(F.count("*").alias("n_rows"), F.every(F.col("predicted_label").isin(known)).alias("only_known_names"),
-                              F.lit("DecisionTree" in m.stages[2].toDebugString).alias("tree_read_back"))
+    error = m.transform(test).agg(F.avg((F.col("predicted_label") != F.col("size")).cast("double"))).scalar()
+    return m.transform(train.union(test)).agg(
+        F.count("*").alias("n_rows"), F.every(F.col("predicted_label").isin(known)).alias("only_known_names"),
+        F.lit("DecisionTree" in m.stages[2].toDebugString).alias("tree_read_back"),
+        (error < constant_error(test, "size") * 0.9).alias("better_than_constant"))
 
 
 @query("pl_03_parameter_maps", f"""
