@@ -32,6 +32,8 @@ BLOCK = 4096
 LEADERS = 2
 #: Counters by which pairs are sifted before their sets are read, and sums of them that are looked at first.
 SIEVE, COARSE = 256, 16
+#: Sums of counters that a pair carries before it carries all of them.
+FOLDED = 32
 
 
 def sketch(docs: DataFrame, words: int) -> np.ndarray:
@@ -136,8 +138,10 @@ def narrow(counters: np.ndarray) -> bytes:
 
 def counters_of(column: pa.Array) -> np.ndarray:
     """The counters of many documents, in as few bytes as all of them need."""
-    own = [np.frombuffer(v, np.uint8 if len(v) == SIEVE else np.uint32) for v in column.to_pylist()]
-    return np.stack(own)
+    raw = column.to_pylist()
+    size = min(map(len, raw))
+    size = size if size in (SIEVE, FOLDED) else size // 4
+    return np.stack([np.frombuffer(v, np.uint8 if len(v) == size else np.uint32) for v in raw])
 
 
 def subsets(own: np.ndarray) -> np.ndarray:
@@ -300,12 +304,23 @@ def sifted(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(common / (both - common))],
                                                  ["a", "b", "bound"]).filter(pa.array(100 * common >= percent * (both - common)))
 
-    known = reps.select("id", "n", "sieve")
-    left = known.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sieve").alias("x"))
-    right = known.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sieve").alias("y"))
-    sized = (pairs.join(left.drop("x"), "a").join(right.drop("y"), "b")
-             .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b"))
-    return sized.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(lean(sift), "a bigint, b bigint, bound double")
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, len(batch), 4096):
+                part = batch.slice(low, 4096)
+                sums = counters_of(part.column("sieve")).reshape(len(part), FOLDED, -1).sum(2, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("n"), pa.array([narrow(x) for x in sums], pa.binary())],
+                                                 ["id", "n", "x"])
+
+    def two_sided(pairs: DataFrame, known: DataFrame) -> DataFrame:
+        left, right = (known.withColumnsRenamed({"id": i, "n": f"n{i}", "x": x}) for i, x in (("a", "x"), ("b", "y")))
+        sized = (pairs.join(left.drop("x"), "a").join(right.drop("y"), "b")
+                 .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b"))
+        return sized.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(lean(sift), "a bigint, b bigint, bound double")
+
+    # Few sums of counters first: most pairs end there, and only the others carry all counters.
+    coarse = two_sided(pairs, reps.select("id", "n", "sieve").mapInArrow(lean(fold), "id bigint, n bigint, x binary"))
+    return two_sided(coarse.select("a", "b"), reps.select("id", "n", F.col("sieve").alias("x")))
 
 
 def cross_pairs(shared: DataFrame, named: DataFrame, reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
