@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.llm import (bpe, embeddings, jaccard, language, line_rules, mixing, packing, periods, scoring, sharding, spelling,
-                            suffixes, warc)
+                            suffixes, twins, warc)
 from tidewright.llm.common import WORD
 from tidewright.session import fresh_path, prepare
 
@@ -40,7 +40,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-@query("op1_ngram_jaccard")
+@query("op1_ngram_jaccard", twins.SETS)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, folder, "documents"))
 
@@ -51,7 +51,7 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.score(table(spark, folder, "documents"), good, leave_out=True)
 
 
-@query("op3_suffix_dedup")
+@query("op3_suffix_dedup", twins.REPEATS)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     done = suffixes.remove_repeats(table(spark, folder, "documents"), keep=[F.col("doc_id")])
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
@@ -136,7 +136,7 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return back.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-@query("op10_embedding_near_dups")
+@query("op10_embedding_near_dups", twins.VECTORS)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, folder, "embeddings"))
 
@@ -149,7 +149,7 @@ def slip(run: str, checksum: int) -> str:
     return run[:at] + run[at + 1:]
 
 
-@query("op11_spelling_variants")
+@query("op11_spelling_variants", twins.VARIANTS)
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.group_variants(spelling.count_words(table(spark, folder, "documents"), edit=slip))
 
@@ -176,7 +176,7 @@ def repeating(docs: DataFrame) -> DataFrame:
     return period.select("doc_id", F.when(F.col("_words").isNotNull(), F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
 
 
-@query("op13_periodic_runs")
+@query("op13_periodic_runs", twins.RUNS)
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     found = periods.find_runs(repeating(table(spark, folder, "documents")), keep=[F.col("doc_id")])
     line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
