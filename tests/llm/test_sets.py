@@ -133,6 +133,14 @@ def test_family_of_edited_copies(spark, monkeypatch, block):
     assert got == brute_components([x[:2] for x in rows], 3, 90)
 
 
+@pytest.mark.parametrize("tops", [(3,), (3, 200), (15, 16, 255, 256, 70000)])
+def test_counters_of_any_width(tops):
+    rng = np.random.default_rng(1)
+    rows = [rng.integers(0, top + 1, jaccard.SIEVE) for top in tops for _ in range(3)] + [np.full(jaccard.SIEVE, top) for top in tops]
+    got = jaccard.counters_of(pa.array([jaccard.narrow(x) for x in rows], pa.binary()))
+    assert (got == np.stack(rows)).all()
+
+
 def test_boundary_of_least_cost():
     sizes = {20: 1000, 40: 1000, 300: 1000}
     at = jaccard.boundary(sizes, 90)

@@ -30,10 +30,8 @@ HEAVY = 16
 BLOCK = 4096
 #: Leaders that a document is compared with before the groups are known.
 LEADERS = 2
-#: Counters by which pairs are sifted before their sets are read, and sums of them that are looked at first.
+#: Counters by which pairs are sifted before their sets are read, and sums of them that are looked at first in long lists.
 SIEVE, COARSE = 256, 16
-#: Sums of counters that a pair carries before it carries all of them.
-FOLDED = 32
 
 
 def sketch(docs: DataFrame, words: int) -> np.ndarray:
@@ -132,16 +130,27 @@ def shingle_table(docs: DataFrame, words: int, percent: int, classes: np.ndarray
 
 
 def narrow(counters: np.ndarray) -> bytes:
-    """Counters in one byte each where the largest fits, else in four."""
-    return counters.astype(np.uint8 if counters.max() < 256 else np.uint32).tobytes()
+    """Counters in half a byte each where the largest fits, else in one byte, else in four."""
+    top = counters.max()
+    if top < 16:
+        return (counters[::2] | counters[1::2] << 4).astype(np.uint8).tobytes()
+    return counters.astype(np.uint8 if top < 256 else np.uint32).tobytes()
 
 
 def counters_of(column: pa.Array) -> np.ndarray:
-    """The counters of many documents, in as few bytes as all of them need."""
+    """The counters of many documents, in one byte each if all of them fit."""
     raw = column.to_pylist()
-    size = min(map(len, raw))
-    size = size if size in (SIEVE, FOLDED) else size // 4
-    return np.stack([np.frombuffer(v, np.uint8 if len(v) == size else np.uint32) for v in raw])
+    sizes = np.array([len(v) for v in raw])
+    out = np.zeros((len(raw), SIEVE), np.uint32 if sizes.max() > SIEVE else np.uint8)
+    for size, kind in ((SIEVE // 2, np.uint8), (SIEVE, np.uint8), (4 * SIEVE, np.uint32)):
+        at = np.flatnonzero(sizes == size)
+        if len(at):
+            own = np.frombuffer(b"".join([raw[i] for i in at]), kind).reshape(len(at), -1)
+            if size < SIEVE:
+                out[at, ::2], out[at, 1::2] = own & 15, own >> 4
+            else:
+                out[at] = own
+    return out
 
 
 def subsets(own: np.ndarray) -> np.ndarray:
@@ -304,23 +313,11 @@ def sifted(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(common / (both - common))],
                                                  ["a", "b", "bound"]).filter(pa.array(100 * common >= percent * (both - common)))
 
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, len(batch), 4096):
-                part = batch.slice(low, 4096)
-                sums = counters_of(part.column("sieve")).reshape(len(part), FOLDED, -1).sum(2, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("n"), pa.array([narrow(x) for x in sums], pa.binary())],
-                                                 ["id", "n", "x"])
-
-    def two_sided(pairs: DataFrame, known: DataFrame) -> DataFrame:
-        left, right = (known.withColumnsRenamed({"id": i, "n": f"n{i}", "x": x}) for i, x in (("a", "x"), ("b", "y")))
-        sized = (pairs.join(left.drop("x"), "a").join(right.drop("y"), "b")
-                 .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b"))
-        return sized.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(lean(sift), "a bigint, b bigint, bound double")
-
-    # Few sums of counters first: most pairs end there, and only the others carry all counters.
-    coarse = two_sided(pairs, reps.select("id", "n", "sieve").mapInArrow(lean(fold), "id bigint, n bigint, x binary"))
-    return two_sided(coarse.select("a", "b"), reps.select("id", "n", F.col("sieve").alias("x")))
+    left, right = (reps.select(F.col("id").alias(i), F.col("n").alias(f"n{i}"), F.col("sieve").alias(x)) for i, x in (("a", "x"), ("b", "y")))
+    # Sizes first, so that fewer pairs carry counters.
+    sized = (pairs.join(left.drop("x"), "a").join(right.drop("y"), "b")
+             .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b"))
+    return sized.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(lean(sift), "a bigint, b bigint, bound double")
 
 
 def cross_pairs(shared: DataFrame, named: DataFrame, reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
