@@ -103,9 +103,10 @@ def _(spark, t):
 def _(spark, t):
     path = fresh_path(spark, "libsvm")
     files.libsvm_lines(t.embeddings, "vec_id", "embedding").write.text(path)
-    rows = vector_rows(files.read_libsvm(spark, path, 64).withColumn(
-        "vec_id", F.col("label").cast("bigint")), "vec_id", "features")
-    return rows.filter("x <> 0")
+    points = files.read_libsvm(spark, path, 64).withColumn("vec_id", F.col("label").cast("bigint"))
+    # What is 0 is told before rounding: numbers that round to 0 are kept.
+    rows = points.select("vec_id", F.posexplode(vector_to_array("features")).alias("pos", "x")).filter("x <> 0")
+    return rows.withColumn("x", F.round("x", 6))
 
 
 @query("src_07_json_lines", """
