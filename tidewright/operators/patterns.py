@@ -6,6 +6,8 @@ from pyspark.ml.fpm import FPGrowth, PrefixSpan
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.session import settle
+
 
 def baskets(df: DataFrame, key: str, item: str) -> DataFrame:
     """(key, items): the distinct items of each basket. Meant for item kinds of bounded number."""
@@ -14,9 +16,12 @@ def baskets(df: DataFrame, key: str, item: str) -> DataFrame:
 
 def frequent_sets(df: DataFrame, items: str = "items", support: float = 0.3, confidence: float = 0.8,
                   partitions: int | None = None):
-    """FP-growth model: `freqItemsets` (items, freq) and `associationRules`."""
+    """FP-growth model: `freqItemsets` (items, freq) and `associationRules`. Baskets are written once, since a fit reads them
+    three times; the sets are kept, since rules read them three times."""
     step = FPGrowth(itemsCol=items, minSupport=support, minConfidence=confidence)
-    return (step.setNumPartitions(partitions) if partitions else step).fit(df)
+    model = (step.setNumPartitions(partitions) if partitions else step).fit(settle(df.select(items)))
+    model.freqItemsets.persist()
+    return model
 
 
 def rules_from_sets(sets: DataFrame, confidence: float = 0.8) -> DataFrame:
