@@ -280,3 +280,48 @@ def test_no_vectors(spark):
     assert embeddings.near_vectors(df).collect() == []
     alone = spark.createDataFrame([(1, None)], "vec_id bigint, embedding array<float>")
     assert [tuple(r) for r in embeddings.near_vectors(alone).collect()] == [(1, 0, 1, True)]
+
+
+def family(copies, edits):
+    r = random.Random(6)
+    base = [f"b{i}" for i in range(400)]
+    rows = []
+    for i in range(copies):
+        own = list(base)
+        for at in r.sample(range(400), edits):
+            own[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(own), "s", "x"))
+    return rows
+
+
+def rows_written(monkeypatch):
+    sizes, settle = [], jaccard.Scratch.settle
+
+    def count(self, df, *label):
+        out = settle(self, df, *label)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard.Scratch, "settle", count)
+    return sizes
+
+
+def test_family_of_long_texts_is_written_by_keys_and_not_by_pairs_of_keys(spark, monkeypatch):
+    rows = family(24, 9)
+    sizes = rows_written(monkeypatch)
+    got = {x.doc_id: x.component_id for x in jaccard.jaccard_components(spark.createDataFrame(rows, DOCS), percent=80).collect()}
+    assert got == brute_components([x[:2] for x in rows], 3, 80) and len(set(got.values())) > 1
+    assert max(sizes) < 24 * 100
+
+
+@pytest.mark.parametrize("cost", [0, 1 << 30])
+def test_longest_lists_by_subsets_or_as_they_stand(spark, monkeypatch, cost):
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    monkeypatch.setattr(jaccard, "SUBSET_COST", cost)
+    rows = family(24, 7)
+    asked, subsets = [], jaccard.heavy_subsets
+    monkeypatch.setattr(jaccard, "heavy_subsets", lambda rows: asked.append(1) or subsets(rows))
+    monkeypatch.setattr(jaccard, "LEADERS", 1)
+    got = {x.doc_id: x.component_id for x in jaccard.jaccard_components(spark.createDataFrame(rows, DOCS), percent=80).collect()}
+    assert got == brute_components([x[:2] for x in rows], 3, 80)
+    assert bool(asked) == (cost == 0)

@@ -28,6 +28,10 @@ SKETCH, STRIP, LANES = 1 << 22, 1 << 16, 16
 HEAVY = 16
 #: Members of a list that are compared with each other at once; a list of more is copied as often as it has blocks.
 BLOCK = 4096
+#: What enumerating a subset of two heavy shingles costs, in pairs of a scanned list.
+SUBSET_COST = 16
+#: Keys of a document that go with its rows of long lists, so that a pair of several lists comes out of one.
+AHEAD = 32
 #: Leaders that a document is compared with before the groups are known.
 LEADERS = 2
 #: Counters by which pairs are sifted before their sets are read, and sums of them that are looked at first in long lists.
@@ -159,30 +163,21 @@ def subsets(own: np.ndarray) -> np.ndarray:
     return mixed(mixed(own[a]) + own[b]) & ~np.uint64(1)
 
 
-def shared_ahead(keys: list[list[int]], here: int) -> list[frozenset] | None:
-    """For each member of the list of the subset `here` its keys that come before the second one of that subset, but for the
-    first one. The subset is the first that two members share if they have none of these in common."""
-    own = np.array(keys[0], np.int64)
-    if not len(own):
-        return None
-    a, b = np.triu_indices(len(own), 1)
-    at = np.flatnonzero(subsets(own.view(np.uint64)).view(np.int64) == here)[0]
-    first, second = int(own[a[at]]), int(own[b[at]])
-    return [frozenset(k for k in x if k < second and k != first) for x in keys]
-
-
 def heavy_subsets(rows: DataFrame) -> DataFrame:
-    """(key, id): the subsets of the heavy shingles of each document, from rows (id, keys) in key order."""
+    """(key, id, low, high): the subsets of the heavy shingles low < high of each document, from rows (id, keys) in key order."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, len(batch), 512):
-                ids = batch.column("id").slice(low, 512).to_pylist()
-                keys = [subsets(np.array(k, np.int64).view(np.uint64)) for k in batch.column("keys").slice(low, 512).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(ids, [len(k) for k in keys]))], ["key", "id"])
+            for i, held in zip(batch.column("id").to_pylist(), batch.column("keys")):
+                own = held.values.to_numpy(zero_copy_only=False)
+                for first in range(len(own) - 1):
+                    high = own[first + 1:]
+                    key = mixed(mixed(own[first:first + 1].view(np.uint64)) + mixed(high.view(np.uint64))) & ~np.uint64(1)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key.view(np.int64)), pa.array(np.full(len(high), i)), pa.array(np.full(len(high), own[first])),
+                         pa.array(high)], ["key", "id", "low", "high"])
 
-    return rows.mapInArrow(lean(spread), "key bigint, id bigint")
+    return rows.mapInArrow(lean(spread), "key bigint, id bigint, low bigint, high bigint")
 
 
 def postings(reps: DataFrame, percent: int, limit: int) -> DataFrame:
@@ -244,8 +239,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     Equal sets are first brought to one. Shingles stand in one order, seldom ones first, and similar sets share
     SUBSET shingles among the first of both. Small sets enumerate these subsets, large sets scan inverted
-    lists of single shingles, and the boundary between them is the one of least cost for the sizes at hand. Where a list
-    is long, large sets enumerate subsets of such shingles too (`cross_pairs`).
+    lists of single shingles, and the boundary between them is the one of least cost for the sizes at hand. Where lists
+    are very long, large sets may enumerate subsets of such shingles too (`cross_pairs`).
     Each key has one member drawn as its leader, and each document is compared with the LEADERS of these that its size and
     counters (`sifted`) let be most similar; what passes an exact count forms groups.
     Only keys that still join different groups compare the rest, so a group of near copies is a star and never
@@ -272,10 +267,12 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     index = scratch.settle(postings(reps, percent, boundary(sizes, percent)))
     reps, old = scratch.settle(reps.drop("prefix")), reps
     scratch.drop(old)
-    lists = index.groupBy("key").agg(F.count("*").alias("c"), F.min_by("id", F.xxhash64("key", "id")).alias("lead")).filter("c > 1")
+    # Most keys stand alone: only numbers are carried to tell, leaders are drawn among the others.
+    lists = index.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
     shared = scratch.settle(index.join(lists, "key"))
     scratch.drop(index)
-    leads = shared.filter("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    drawn = shared.groupBy("key").agg(F.min_by("id", F.xxhash64("key", "id")).alias("lead"))
+    leads = shared.join(drawn, "key").filter("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     # A document has no more leaders than keys.
     nearest = F.slice(F.sort_array(F.collect_list(F.struct("bound", "a")), False), 1, LEADERS)
     star = scratch.settle(sifted(leads, reps, percent).groupBy("b").agg(nearest.alias("x")).select(
@@ -323,50 +320,77 @@ def sifted(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 def cross_pairs(shared: DataFrame, named: DataFrame, reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Pairs (a, b) of one key that are in different groups, once each.
 
-    A heavy list of single shingles is not paired: similar sets share SUBSET prefix shingles, so either one of these
-    has a light list, which finds them, or all are heavy, and a subset of the heavy shingles finds them. Pairs from lists of at
-    most HEAVY members grow in proportion to the documents. Lists of subsets that are still longer, as those of a family of
-    edited copies, are compared in blocks (`long_lists`). All pairs are sifted by sizes and counters.
+    Pairs from lists of at most HEAVY members grow in proportion to the documents and are joined. Longer lists, as those of a
+    family of edited copies, are compared in blocks (`long_lists`): a row for each key of a document, however many keys it has.
+    Similar sets share SUBSET prefix shingles, so either one of these has a list of at most BLOCK members, which finds them, or all
+    have longer ones, and a subset of these shingles finds them too. Longer lists of single shingles are compared as they
+    stand or by such subsets, whichever costs less (`by_subsets`). All pairs are sifted by sizes and counters.
     """
     group = reps.select("id", "n").join(named.withColumnRenamed("node", "id"), "id", "left").select(
         "id", "n", F.coalesce("component", "id").alias("g"))
 
     def torn(rows: DataFrame) -> DataFrame:
-        """Rows (key, id, n, g, ...) of keys that stand in two groups or more."""
+        """Rows (key, id, ...) of keys that stand in two groups or more, with n, g and the number c of the key's rows."""
         known = scratch.settle(rows.join(group, "id"))
-        keys = known.groupBy("key").agg(F.min("g").alias("low"), F.max("g").alias("high"), F.count("*").alias("c")).filter("low < high")
+        keys = known.groupBy("key").agg(F.min("g").alias("low_g"), F.max("g").alias("high_g"), F.count("*").alias("c")).filter("low_g < high_g")
         out = scratch.settle(known.join(keys.select("key", "c"), "key"))
         scratch.drop(known)
         return out
 
+    def keys_of(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("id").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+
+    def carried(rows: DataFrame, keys: DataFrame, ahead) -> DataFrame:
+        """Rows with the first keys of their documents that `ahead` accepts: a pair that has one of them in common comes out elsewhere."""
+        return rows.join(keys.select("id", F.slice("keys", 1, AHEAD).alias("keys")), "id").select(
+            *OF_LIST, F.filter("keys", ahead).alias("ahead"))
+
     first = torn(shared.select("key", "id"))
     heavy = F.col("c") > HEAVY
     alone = F.col("key").bitwiseAND(1) == 1
-    held = first.filter(heavy & alone).groupBy("id").agg(F.sort_array(F.collect_list("key")).alias("keys")).filter(F.size("keys") >= SUBSET)
-    index = scratch.settle(heavy_subsets(held))
-    lists = index.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key")
-    second = torn(index.join(lists, "key"))
-    scratch.drop(index)
-    short = first.filter(~heavy).unionByName(second.filter(~heavy)).drop("c")
+    single = first.filter(heavy & alone)
+    short, long = first.filter(~heavy).select(*OF_LIST), first.filter(heavy & ~alone).select(*OF_LIST, F.array().cast("array<bigint>").alias("ahead"))
+    longest = single.filter(F.col("c") > BLOCK)
+    if by_subsets(longest):
+        single = single.filter(F.col("c") <= BLOCK)
+        held = scratch.settle(keys_of(longest).filter(F.size("keys") >= SUBSET))
+        index = scratch.settle(heavy_subsets(held))
+        lists = index.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key")
+        second = torn(index.join(lists, "key"))
+        scratch.drop(index)
+        short = short.union(second.filter(~heavy).select(*OF_LIST))
+        # The first subset that two documents share is the one with none of their common keys before its second one, but for its first.
+        long = long.union(carried(second.filter(heavy), held, lambda k: (k < F.col("high")) & (k != F.col("low"))))
+    long = scratch.settle(long.union(carried(single, keys_of(single), lambda k: k < F.col("key"))))
     a, b = short.alias("a"), short.alias("b")
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.g") != F.col("b.g"))
                    & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent)).select(
         F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
-    none = F.array().cast("array<bigint>").alias("keys")
-    long = first.filter(heavy & ~alone).select("*", none).unionByName(second.filter(heavy).join(held, "id"))
     # Work grows with the square of a list: as many tasks as pairs of full blocks, within reason.
-    lengths = first.filter(heavy & ~alone).select("key", "c").union(second.filter(heavy).select("key", "c")).distinct()
-    work = lengths.agg(F.sum(F.pow(F.col("c") / BLOCK, F.lit(2)) / 2)).first()[0] or 0
+    work = long.agg(F.sum(F.col("c") / 2)).first()[0] or 0
     parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = scratch.settle(sifted(pairs, reps, percent).select("a", "b").union(
-        long_lists(long, reps, percent, max(parts, min(int(work), 16 * parts)))).distinct())
-    scratch.drop(first, second)
+    near = scratch.settle(sifted(pairs, reps, percent).select("a", "b"))
+    far = scratch.settle(long_lists(long, reps, percent, max(parts, min(int(work / BLOCK ** 2), 16 * parts))))
+    out = scratch.settle(near.union(far).distinct())
+    scratch.drop(near, far)
     return out
 
 
+OF_LIST = ["key", "id", "n", "g", "c"]
+
+
+def by_subsets(longest: DataFrame) -> bool:
+    """Whether the subsets of the heavy shingles of each document cost less than the pairs of their lists, rows (id, c). A document
+    of k of them has k * (k - 1) / 2 subsets, so those of long documents would fill the disk."""
+    pairs = longest.agg(F.sum(F.col("c") / 2)).first()[0] or 0
+    k = F.col("count")
+    subsets = longest.groupBy("id").count().agg(F.sum(k * (k - 1) / 2)).first()[0] or 0
+    return pairs > SUBSET_COST * subsets
+
+
 def long_lists(rows: DataFrame, reps: DataFrame, percent: int, tasks: int) -> DataFrame:
-    """(a, b) of the pairs of different groups in long lists, rows (key, id, n, g, c, keys), that sizes and counters let be similar.
-    Of the lists that the subsets of two documents' heavy shingles `keys` share, the first one gives the pair.
+    """(a, b) of the pairs of different groups in long lists, rows (key, id, n, g, c, ahead), that sizes and counters let be similar.
+    Pairs that have a key of `ahead` in common are left to that key's list.
 
     The members of a list are dealt into blocks, each pair of blocks is compared in one place, and only the pairs that
     are left come out. A list of any length is spread over tasks in pieces of at most two blocks.
@@ -374,8 +398,8 @@ def long_lists(rows: DataFrame, reps: DataFrame, percent: int, tasks: int) -> Da
     blocks = F.ceil(F.col("c") / BLOCK)
     own = F.pmod(F.xxhash64("id"), blocks)
     dealt = rows.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))).select(
-        "key", "id", "n", "g", "keys", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), (F.col("own") > F.col("with")).alias("second"))
-    known = dealt.join(reps.select("id", F.col("sieve").alias("x")), "id").select("key", "i", "j", "second", "n", "id", "g", "keys", "x")
+        "key", "id", "n", "g", "ahead", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), (F.col("own") > F.col("with")).alias("second"))
+    known = dealt.join(reps.select("id", F.col("sieve").alias("x")), "id").select("key", "i", "j", "second", "n", "id", "g", "ahead", "x")
 
     def compare(part: pa.Table, out: list) -> None:
         order = np.argsort(part.column("n").to_numpy(), kind="stable")
@@ -385,7 +409,7 @@ def long_lists(rows: DataFrame, reps: DataFrame, percent: int, tasks: int) -> Da
         coarse = x.reshape(len(x), COARSE, -1).sum(2, dtype=np.float32)
         second = part.column("second").to_numpy().astype(bool)
         mixed_blocks = part.column("i")[0].as_py() != part.column("j")[0].as_py()
-        ahead = shared_ahead(part.column("keys").to_pylist(), part.column("key")[0].as_py())
+        ahead = [frozenset(k) for k in part.column("ahead").to_pylist()]
         ends = np.searchsorted(n, n * 100 // percent, "right")
         for k in range(len(n) - 1):
             near = slice(k + 1, ends[k])
@@ -398,7 +422,7 @@ def long_lists(rows: DataFrame, reps: DataFrame, percent: int, tasks: int) -> Da
             if len(other):
                 common = np.minimum(x[other], x[k]).sum(1, dtype=np.int64)
                 good = other[100 * common >= percent * (n[k] + n[other] - common)]
-                if ahead is not None and len(good):
+                if ahead[k] and len(good):
                     good = good[[ahead[k].isdisjoint(ahead[o]) for o in good.tolist()]]
                 if len(good):
                     out.append((np.minimum(ids[good], ids[k]), np.maximum(ids[good], ids[k])))
