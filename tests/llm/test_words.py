@@ -298,3 +298,15 @@ def test_runs_of_odd_rows(spark):
     assert len(rows) == len(ODD) and {"row", "size", "_text_read"} <= set(rows[0].asDict())
     assert {r.doc_id: len(r.runs) for r in rows}[5] == 1 and all(r.collapsed == "" for r in rows if r.doc_id in (1, 2, 3))
     assert periods.find_runs(frame(spark, [])).collect() == []
+
+
+def test_no_join_of_words_goes_through_the_driver(spark, monkeypatch):
+    """Spark sizes signatures as one for each word and written words as compressed, so it would broadcast them."""
+    plans, settle = [], spelling.Scratch.settle
+    text = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(spelling.Scratch, "settle", lambda self, df, *a: (plans.append(text(df)), settle(self, df, *a))[1])
+    words = {"aaaaa": 40, "aaaab": 9, "aaabb": 3, "bbbbb": 7}
+    got = spelling.group_variants(spark.createDataFrame(list(words.items()), "word string, n bigint"))
+    plans.append(text(got))
+    assert sum("SortMergeJoin" in p for p in plans) > 2 and not any("Broadcast" in p for p in plans)
+    assert got_variants(got) == brute_variants(words)

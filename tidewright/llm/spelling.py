@@ -128,6 +128,12 @@ def signatures(words: DataFrame, parts: int = PARTS) -> DataFrame:
     return words.mapInArrow(lean(spread), "key bigint, role int, word string, n bigint")
 
 
+def shuffled(side: DataFrame) -> DataFrame:
+    """`side` of a join, never to be broadcast. Spark sizes a written table of words by its compressed files, and signatures as if
+    there were one for each word, so what looks small can be hundreds of times as large in the driver."""
+    return side.hint("merge")
+
+
 def near_pairs(words: DataFrame, parts: int = PARTS) -> DataFrame:
     """(a, na, b, nb): every pair of words of the rows (word, n) that one inserted, deleted or replaced code point parts, once."""
     if parts < 3:
@@ -137,7 +143,7 @@ def near_pairs(words: DataFrame, parts: int = PARTS) -> DataFrame:
     # 0 for two words of one length, 5 for a shorter and a longer one; said so that both sides are one exchange.
     meet = F.col("a.role") * 3 + F.col("b.role")
     near = ((meet == 5) | ((meet == 0) & (F.col("a.word") < F.col("b.word")))) & (F.levenshtein("a.word", "b.word", 1) == 1)
-    return a.join(b, (F.col("a.key") == F.col("b.key")) & near).select(
+    return a.join(shuffled(b), (F.col("a.key") == F.col("b.key")) & near).select(
         F.col("a.word").alias("a"), F.col("a.n").alias("na"), F.col("b.word").alias("b"), F.col("b.n").alias("nb")).distinct()
 
 
@@ -147,7 +153,7 @@ def follow(forms: DataFrame, scratch: Scratch) -> DataFrame:
     now = scratch.settle(forms.select("word", F.col("form").alias("root")))
     while True:
         ahead = now.select(F.col("word").alias("of"), F.col("root").alias("next"))
-        step = scratch.settle(now.join(ahead, F.col("root") == F.col("of"), "left").select(
+        step = scratch.settle(now.join(shuffled(ahead), F.col("root") == F.col("of"), "left").select(
             "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
         scratch.drop(now)
         now = step.select("word", "root")
@@ -183,6 +189,7 @@ def group_variants(words: DataFrame, times: float = TIMES, parts: int = PARTS) -
                            .withColumnRenamed("word", "start"))
     scratch.keep(own, near, roots)
     scratch.drop(*[df for df, _ in list(scratch.tables.values())])
-    return own.join(near, F.col("word") == F.col("of"), "left").join(roots, F.col("word") == F.col("start"), "left").select(
+    return own.join(shuffled(near), F.col("word") == F.col("of"), "left").join(
+        shuffled(roots), F.col("word") == F.col("start"), "left").select(
         "word", "n", "best.form", F.coalesce("root", "word").alias("root"), F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         "best.form_n")
