@@ -325,3 +325,21 @@ def test_longest_lists_by_subsets_or_as_they_stand(spark, monkeypatch, cost):
     got = {x.doc_id: x.component_id for x in jaccard.jaccard_components(spark.createDataFrame(rows, DOCS), percent=80).collect()}
     assert got == brute_components([x[:2] for x in rows], 3, 80)
     assert bool(asked) == (cost == 0)
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_vectors_that_move_at_once_stay_in_proportion(spark, monkeypatch, kind):
+    """One dense cell: every pair of blocks is compared, but not moved at the same time."""
+    monkeypatch.setattr(embeddings, "TILE", 16)
+    monkeypatch.setattr(embeddings, "TILES", 2, raising=False)
+    monkeypatch.setattr(embeddings, "MOVED", 0, raising=False)
+    r = np.random.default_rng(9)
+    centre = r.normal(size=8)
+    rows = [(i, [float(np.float32(x)) for x in centre + r.normal(size=8) * (0.6 if i % 3 else 0.02)]) for i in range(600)]
+    df = spark.createDataFrame(rows, f"vec_id bigint, embedding array<{kind}>")
+    grouped = type(df.groupBy("vec_id"))
+    moved, apply = [], grouped.applyInPandas
+    monkeypatch.setattr(grouped, "applyInPandas", lambda self, *a: (moved.append(self._df.count()), apply(self, *a))[1])
+    got = {x.vec_id: (x.n_links, x.component_id, x.kept) for x in embeddings.near_vectors(df).collect()}
+    assert got == brute_vectors(rows, 0.95) and len({x[1] for x in got.values()}) > 1 and max(x[0] for x in got.values()) > 200
+    assert len(moved) > 3 and max(moved) <= 3 * len(rows)
